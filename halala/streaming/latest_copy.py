@@ -18,13 +18,13 @@ from halala.operators.pick import latest_by
 _BATCH = "_batch"
 
 
-def _holds_data(spark: SparkSession, path: str, marker: str = "") -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path + marker)
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def _complete_slot(spark: SparkSession, slot: str, batch_id: int) -> DataFrame | None:
-    if not _holds_data(spark, slot, "/_SUCCESS"):
+    if not _exists(spark, f"{slot}/_SUCCESS"):
         return None
     merged = spark.read.parquet(slot)
     return merged.drop(_BATCH) if not merged.where(F.col(_BATCH) == batch_id).isEmpty() else None
@@ -45,7 +45,7 @@ def latest_copy_merge(
         merged = _complete_slot(spark, slot, batch_id)
         if merged is None:
             rows = batch
-            if _holds_data(spark, target, "/_SUCCESS"):
+            if _exists(spark, target):
                 touched = checked_broadcast(batch.select(partition).distinct())
                 stored = spark.read.parquet(target).join(touched, partition, "left_semi")
                 rows = rows.unionByName(stored.select(*batch.columns))

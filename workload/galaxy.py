@@ -136,6 +136,17 @@ def dim_source_usage(spark: SparkSession, folder: str) -> DataFrame:
     return galaxy.dim_source.join(used, "source_key", "left").fillna(0, ["prices"])
 
 
+def rounded_holdings(holdings: DataFrame) -> DataFrame:
+    plain = ["quantity", "signed_quantity", "price", "fees", "transaction_value"]
+    return holdings.withColumns(
+        {
+            **{c: F.col(c).cast("double") for c in plain},
+            "exchange_rate": F.round("exchange_rate", 9),
+            "value_sar": F.round("value_sar", 0),
+        }
+    )
+
+
 @register(
     "fact_holdings",
     with_blocks("""
@@ -148,15 +159,7 @@ def dim_source_usage(spark: SparkSession, folder: str) -> DataFrame:
     FROM holding"""),
 )
 def fact_holdings(spark: SparkSession, folder: str) -> DataFrame:
-    facts = Galaxy(spark, folder).fact_holdings
-    plain = ["quantity", "signed_quantity", "price", "fees", "transaction_value"]
-    return facts.withColumns(
-        {
-            **{c: F.col(c).cast("double") for c in plain},
-            "exchange_rate": F.round("exchange_rate", 9),
-            "value_sar": F.round("value_sar", 0),
-        }
-    )
+    return rounded_holdings(Galaxy(spark, folder).fact_holdings)
 
 
 @register(
