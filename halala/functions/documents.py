@@ -55,4 +55,5 @@ def explode_members(df: DataFrame, member_map: Column, key: str, value: str) ->
 def one_object(text: Column | str) -> Column:
     """True when the text is exactly one JSON object; anything malformed raises."""
     wrapped = F.concat(F.lit("["), as_column(text), F.lit("]"))
-    return F.size(F.from_json(wrapped, "array<map<string,string>>", {"mode": "FAILFAST"})) == 1
+    found = F.from_json(wrapped, "array<map<string,string>>", {"mode": "FAILFAST"})
+    return (F.size(found) == 1) & F.get(found, 0).isNotNull()

@@ -13,16 +13,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halala.session import ready_for_checkpoints
+from halala.session import scratch_path
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, in storage that outlives executors."""
-    ready_for_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once, as a Parquet table in the shared folder, and go on from there.
+
+    Lost executors then cost nothing of the work before it, and later reads take only the columns
+    they need.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -71,7 +71,7 @@ def check_unique(df: DataFrame, table: str, *columns: str) -> DataFrame:
     rows = df.select(*columns)
     if len(columns) == 1:
         rows = rows.dropna()
-    repeated = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
     kind = "unique" if len(columns) == 1 else "unique_combination"
     return _report(repeated.agg(F.count(F.lit(1)).alias("failures")), table, kind, ", ".join(columns))
 
@@ -82,10 +82,10 @@ def check_relationship(child: DataFrame, table: str, column: str, parent: DataFr
     The child is reduced to its distinct keys before the join.
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key"))
-    keys = keys.agg(F.count(F.lit(1)).alias("n"))
+    keys = keys.agg(F.count(F.lit(1)).alias("_rows"))
     known = checked_broadcast(parent.select(F.col(parent_column).alias("_key")).distinct())
     orphans = keys.join(known, "_key", "left_anti")
-    total = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+    total = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures"))
     return _report(total, table, "relationships", column)
 
 

@@ -53,8 +53,8 @@ def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
 
     amount = {c: F.col(c).try_cast("decimal(18,4)") for c in ["quantity", "price", "fee_amount", "total"]}
     gross = amount["quantity"] * amount["price"]
-    is_sell = F.col("transaction_type") == "SELL"
-    total = F.when(is_sell, amount["fee_amount"] - gross).otherwise(gross + amount["fee_amount"])
+    side = F.col("transaction_type")
+    total = F.when(side == "BUY", gross + amount["fee_amount"]).when(side == "SELL", amount["fee_amount"] - gross)
 
     def not_positive(column: str) -> Column:
         return ~F.coalesce(amount[column] > 0, F.lit(False))

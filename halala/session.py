@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +44,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ready_for_checkpoints(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder name below the shared folder."""
+    return f"{shared_folder(spark)}/halala/{uuid.uuid4().hex}"

@@ -5,8 +5,6 @@ Each run writes to a new folder below the shared folder of the cluster.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from halala.operators.reshape import stack_rows
 from halala.plans.build import build_tables, refresh_after_late_rates
 from halala.plans.staging import NOT_A_TICKER, SERIES, stg_equity_prices, stg_ledger_transactions
 from halala.schemas import LEDGER_FILE_COLUMNS
-from halala.session import shared_folder
+from halala.session import scratch_path
 from halala.sources.landing import document_files, ledger_files
 from halala.sources.warehouse import ANALYTICS, Warehouse
 from halala.streaming.latest_copy import latest_copy_merge
@@ -33,10 +31,6 @@ from workload.inputs import (
 from workload.registry import ORACLES, register
 
 
-def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/halala/{uuid.uuid4().hex}"
-
-
 # ---- load once ------------------------------------------------------------------------------
 
 LOADED_SQL = """
@@ -60,7 +54,7 @@ def loaded_per_ticker(raw: DataFrame) -> DataFrame:
 @register("ledger_load_once", with_blocks(LOADED_SQL))
 def ledger_load_once(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger files through the streaming load; the second run finds nothing new."""
-    work = new_folder(spark)
+    work = scratch_path(spark)
     land_ledger(spark, folder, f"{work}/landing/internal_ledger")
     for _ in range(2):
         load_feed(spark, ledger_files, f"{work}/landing/internal_ledger", f"{work}/raw", f"{work}/checkpoint")
@@ -70,7 +64,7 @@ def ledger_load_once(spark: SparkSession, folder: str) -> DataFrame:
 @register("ledger_load_listed", with_blocks(LOADED_SQL))
 def ledger_load_listed(spark: SparkSession, folder: str) -> DataFrame:
     """The same files by list: first one of them, then all; each is loaded once."""
-    work = new_folder(spark)
+    work = scratch_path(spark)
     landing = f"{work}/landing/internal_ledger"
     land_ledger(spark, folder, landing)
     landed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing).select("path")
@@ -83,7 +77,7 @@ def ledger_load_listed(spark: SparkSession, folder: str) -> DataFrame:
 @register("load_history_rows", "SELECT 'ledger_transactions_raw' AS table_name, count(*) AS row_count FROM lineitem")
 def load_history_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per loaded file, summed over the files."""
-    work = new_folder(spark)
+    work = scratch_path(spark)
     land_ledger(spark, folder, f"{work}/landing/internal_ledger")
     load_feed(spark, ledger_files, f"{work}/landing/internal_ledger", f"{work}/raw", f"{work}/checkpoint")
     history = load_history(spark.read.parquet(f"{work}/raw"), "ledger_transactions_raw", "_loaded_at")
@@ -125,7 +119,7 @@ def documents_load_once(spark: SparkSession, folder: str) -> DataFrame:
         ).alias(code)
         for code in codes
     ]
-    work = new_folder(spark)
+    work = scratch_path(spark)
     landing = f"{work}/landing"
     months.select("month", *tickers).repartition("month").write.partitionBy("month").json(landing)
     for _ in range(2):
@@ -148,7 +142,7 @@ def documents_load_once(spark: SparkSession, folder: str) -> DataFrame:
 )
 def latest_copy_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Copies delivered in several files, merged batch by batch into monthly partitions."""
-    work = new_folder(spark)
+    work = scratch_path(spark)
     day = F.col("l_shipdate").cast("date")
     copies = table(spark, folder, "lineitem").select(
         "l_partkey",
@@ -185,7 +179,7 @@ def latest_copy_incremental(spark: SparkSession, folder: str) -> DataFrame:
 def late_rate_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Holdings built while the rates of 1998 were missing, then refreshed where those reach."""
     galaxy = Galaxy(spark, folder)
-    warehouse = Warehouse(spark, new_folder(spark))
+    warehouse = Warehouse(spark, scratch_path(spark))
     all_rates = galaxy.int_fx_rates_to_sar
     early = Galaxy(spark, folder)
     for name in ["dim_date", "dim_asset", "dim_client", "dim_currency"]:
@@ -230,7 +224,7 @@ def warehouse_build(spark: SparkSession, folder: str) -> DataFrame:
         "ledger_transactions_raw": ledger_transactions_raw(spark, folder),
     }
     # the derived feeds break gates on purpose
-    built = build_tables(Warehouse(spark, new_folder(spark)), raw, gates=False)
+    built = build_tables(Warehouse(spark, scratch_path(spark)), raw, gates=False)
     counts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows") for name, df in built.items()
     ]
