@@ -48,6 +48,7 @@ def ledger_files(reader, paths) -> DataFrame:
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        .option("columnPruning", False)  # else short lines and headers pass unseen
         .option("quote", '"')
         .option("escape", '"')
         .option("pathGlobFilter", "*.csv")

@@ -56,16 +56,9 @@ def test_views_are_published(spark, built):
     assert "month_key" not in spark.table("analytics_fact_holdings").columns
 
 
-def test_second_run_changes_nothing(spark, built, rows):
-    work, tables = built
-    before = rows(tables["fact_daily_portfolio_summary"])
-    again = run_all(spark, f"{work}/landing", f"{work}/warehouse")
-    assert rows(again["fact_daily_portfolio_summary"]) == before
-
-
 def test_a_failed_gate_stops_the_build(spark, tmp_path):
     land_two_weeks(f"{tmp_path}/landing", rows_per_batch=5)
-    bad = [ledger_row(900, DAY0, client_id="C001", client_name="Somebody else")]
+    bad = [ledger_row(900, DAY0, client_id="C002", client_name="Somebody else")]
     write_ledger(f"{tmp_path}/landing/internal_ledger/20260320T090000.csv", bad)
     with pytest.raises(GateFailure, match=r"dim_client: unique\(client_id\)"):
         run_all(spark, f"{tmp_path}/landing", f"{tmp_path}/warehouse")
@@ -137,3 +130,11 @@ def test_interrupted_publish_is_repeated_from_the_slot(spark, tmp_path, rows):
     assert rows(merged(spark, tmp_path)) != wanted
     merge(second, 1)
     assert rows(merged(spark, tmp_path)) == wanted
+
+
+def test_second_run_changes_nothing(spark, built, rows):
+    # last, because it replaces the files behind `built`
+    work, tables = built
+    before = rows(tables["fact_daily_portfolio_summary"])
+    again = run_all(spark, f"{work}/landing", f"{work}/warehouse")
+    assert rows(again["fact_daily_portfolio_summary"]) == before

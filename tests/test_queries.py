@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from tests.compare import connect, differences
+from workload import checks, galaxy
+from workload.inputs import Galaxy
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,6 +21,16 @@ def database():
     return connect(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_galaxy(spark):
+    """The queries share staged tables here, as they would in a warehouse."""
+    shared = Galaxy(spark, FOLDER)
+    with pytest.MonkeyPatch.context() as patch:
+        for module in (galaxy, checks):
+            patch.setattr(module, "Galaxy", lambda *_: shared)
+        yield
+
+
 def test_every_query_has_sql():
     assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
 
