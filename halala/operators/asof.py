@@ -1,18 +1,20 @@
 """Left as-of join: for each row the latest known row at or before its time.
 
-The left side is first reduced to its distinct (key, time) probes. Probes and known rows are
-merged in time order per key and the last known row is carried forward, so the work is one sort,
-without a range join. The answers then go back to the left rows by plain equality.
-
-How large can one task get?
-* Dates and YYYYMMDD keys: a key has at most one probe and one known row per calendar day, however
-  many rows share the key, so the merge is per key.
+Three forms, none with a range join; the choice follows the type of the time and a counted size.
+
+* Dates, few keys (rates per currency): every known row is repeated for the days it stays valid, so
+  the lookup is plain equality on (key, day). The filled calendar is broadcast after its exact size
+  was counted, and the left side is read once, without a shuffle.
+* Dates beyond that bound, and YYYYMMDD keys: the left side is reduced to its distinct (key, time)
+  probes. Probes and known rows are merged in time order per key and the last known row is carried
+  forward; the answers go back to the left rows by equality. A key has at most one probe and one
+  known row per calendar day, however many rows share the key, so the merge is per key.
 * Timestamps: a key may have very many distinct times, so the merge is per (key, minute). Each
   minute starts from a carry row, found by the same merge over the last known row of every earlier
   minute. A (key, minute) group is bounded by the clock, and the carry merge by the minutes covered.
 
 The right side must be unique on (key, time). NULL keys or times match nothing; such left rows
-stay with NULLs.
+stay with NULLs. Either side may be read more than once: settle one that is costly to compute.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halala.operators.lookup import checked_broadcast, settle
+from halala.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, checked_broadcast, row_bytes, settle
 
 _CARRY, _BEFORE, _PROBE, _AFTER = -1, 0, 1, 2
 
@@ -79,6 +81,29 @@ def _merge_by_minute(probes: DataFrame, known: DataFrame, keys: list[str], stric
     return _merge(probes, known, [*keys, "_minute"], strict, carry)
 
 
+def _strict_date(known: DataFrame, strict: bool) -> DataFrame:
+    return known.withColumn("_time", F.date_add("_time", 1)) if strict else known
+
+
+def _calendar(known: DataFrame, keys: list[str]) -> tuple[DataFrame, Column] | None:
+    """Known rows for every day from the first one of their key to the last day of all, and that
+    day; None when this would not be small. Later days look up the last day."""
+    last = known.agg(F.max("_time").alias("last")).first()["last"]
+    if last is None:
+        return None
+    per_key = known.groupBy(*keys).agg(
+        (F.datediff(F.lit(last), F.min("_time")) + 1).alias("days"), F.max(row_bytes(known)).alias("width")
+    )
+    size = per_key.agg(F.sum("days").alias("rows"), F.max("width").alias("width")).first()
+    if size["rows"] > BROADCAST_ROWS or size["rows"] * size["width"] > BROADCAST_BYTES:
+        return None
+    following = F.lead("_time").over(W.partitionBy(*keys).orderBy("_time"))
+    valid_to = F.coalesce(F.date_sub(following, 1), F.lit(last))
+    filled = known.withColumn("_to", valid_to).where("_time <= _to")
+    filled = filled.select(*keys, F.explode(F.sequence("_time", "_to")).alias("_time"), "_known")
+    return F.broadcast(filled), F.lit(last)
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -103,18 +128,20 @@ def asof_join(
         F.col(right_time).alias("_time"),
         F.struct(*[F.col(source).alias(name) for source, name in take.items()]).alias("_known"),
     ).dropna(subset=[*keys, "_time"])
-    probes = left.select(*keys, F.col(left_time).alias("_time")).dropna().distinct()
 
+    if isinstance(kind, T.DateType):
+        calendar = _calendar(_strict_date(known, strict), keys)
+        if calendar is not None:
+            filled, last = calendar
+            day = F.when(F.col(left_time) > last, last).otherwise(F.col(left_time))
+            joined = left.withColumn("_time", day).join(filled, [*keys, "_time"], "left")
+            return joined.select(*left.columns, *[F.col("_known")[name].alias(name) for name in take.values()])
+
+    probes = left.select(*keys, F.col(left_time).alias("_time")).dropna().distinct()
     by_clock = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
-    if by_clock:
-        answers = _merge_by_minute(probes, known, keys, strict)
-    else:
-        answers = _merge(probes, known, keys, strict)
-    answers = answers.select(*keys, F.col("_time").alias(left_time), "_hit")
+    answers = (_merge_by_minute if by_clock else _merge)(probes, known, keys, strict)
+    answers = answers.select(*keys, F.col("_time").alias(left_time), "_hit.*")
     if not by_clock:
-        # keys x calendar days: usually small enough to spare the left side its shuffle
-        answers = checked_broadcast(settle(answers.select(*keys, left_time, "_hit.*")))
-        return left.join(answers, [*keys, left_time], "left").select(*left.columns, *take.values())
-    return left.join(answers, [*keys, left_time], "left").select(
-        *left.columns, *[F.col("_hit")[name].alias(name) for name in take.values()]
-    )
+        # keys x calendar days: often small enough to spare the left side its shuffle
+        answers = checked_broadcast(settle(answers))
+    return left.join(answers, [*keys, left_time], "left").select(*left.columns, *take.values())

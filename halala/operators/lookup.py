@@ -8,8 +8,10 @@ which a left or inner join may split).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +33,22 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _text_bytes(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return reduce(add, [_text_bytes(column[f.name], f.dataType) for f in kind], F.lit(16 * len(kind)))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    return F.lit(0)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row in memory."""
+    texts = [_text_bytes(F.col(f.name), f.dataType) for f in df.schema]
+    return reduce(add, texts, F.lit(16 * len(df.columns))).cast("bigint")
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    width = F.lit(16 * len(df.columns)).cast("bigint")
-    for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("bytes")).first()
     return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from halala.operators import asof
 from halala.operators.asof import asof_join
 
 START = dt.datetime(2026, 1, 1)
@@ -39,9 +40,12 @@ def with_duckdb(left, right, strict: bool):
     return [(i, None if rid is None else int(rid), v) for i, rid, v in found]
 
 
-@pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("kind", ["date", "date without calendar", "timestamp_ntz", "timestamp"])
 @pytest.mark.parametrize("strict", [False, True])
-def test_matches_duckdb_on_random_rows(spark, kind, strict):
+def test_matches_duckdb_on_random_rows(spark, monkeypatch, kind, strict):
+    if kind == "date without calendar":
+        monkeypatch.setattr(asof, "BROADCAST_ROWS", 10)
+        kind = "date"
     unit = dt.timedelta(days=1) if kind == "date" else dt.timedelta(seconds=7, microseconds=13)
     left = make_rows(1, 3000, unit, 2000, unique=False)
     right = [(*row, None if row[0] % 9 == 0 else f"v{row[0]}") for row in make_rows(2, 700, unit, 2000, unique=True)]

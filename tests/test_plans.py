@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from halala.operators import lookup
+from halala.operators import asof, lookup
 from halala.operators.asof import asof_join
 from halala.operators.lookup import attach
 from halala.operators.pick import latest_by, prefer_by
@@ -209,13 +209,33 @@ def test_latest_copy_is_limited_before_the_shuffle(spark):
     assert partial > exchange  # printed below, so executed before
 
 
+def test_asof_beyond_the_bound_gives_the_same_rows(spark, monkeypatch, rows):
+    day = F.date_add(F.lit(DAY0), (F.col("id") % 40).cast("int"))
+    left = spark.range(500).select(F.concat(F.lit("K"), F.col("id") % 7).alias("k"), day.alias("t"), "id")
+    right = spark.range(60).select(
+        F.concat(F.lit("K"), F.col("id") % 6).alias("k"),
+        F.date_add(F.lit(DAY0), (F.col("id") % 30).cast("int")).alias("t"),
+        F.col("id").alias("v"),
+    ).dropDuplicates(["k", "t"])
+    for strict in (False, True):
+        filled = asof_join(left, right, ["k"], "t", "t", {"v": "v", "t": "found"}, strict=strict)
+        assert "Window" in physical(filled)
+        wanted = rows(filled)
+        with monkeypatch.context() as patch:
+            patch.setattr(asof, "BROADCAST_ROWS", 10)
+            patch.setattr(lookup, "is_small", lambda *_: False)
+            merged = asof_join(left, right, ["k"], "t", "t", {"v": "v", "t": "found"}, strict=strict)
+            assert "explode" not in physical(merged).lower()
+            assert rows(merged) == wanted
+
+
 def test_small_answers_spare_the_left_side_its_shuffle(spark):
     day = F.date_add(F.lit(DAY0), (F.col("id") % 10).cast("int"))
     left = spark.range(1000).select(F.concat(F.lit("K"), F.col("id") % 3).alias("k"), day.alias("t"), "id")
     right = spark.createDataFrame([("K1", DAY0, 3.75)], "k string, t date, v double")
     plan = physical(asof_join(left, right, ["k"], "t", "t", {"v": "v"}))
     assert "BroadcastHashJoin" in plan
-    assert "hashpartitioning" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the few known rows
 
 
 def test_lookup_beyond_the_bound_is_not_broadcast(spark, monkeypatch):

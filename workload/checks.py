@@ -192,7 +192,7 @@ def failed_gates(spark: SparkSession, folder: str) -> DataFrame:
     galaxy = Galaxy(spark, folder)
     names = [*gates.row_gates()]
     built = {name: getattr(galaxy, name) for name in names}
-    for read_by_several_gates in ["stg_ledger_transactions", "fact_holdings", "fact_daily_portfolio_summary"]:
+    for read_by_several_gates in ["fact_holdings", "fact_daily_portfolio_summary"]:
         built[read_by_several_gates] = settle(built[read_by_several_gates])
     return gates.gate_report(built).where("failures > 0")
 

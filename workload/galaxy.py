@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from halala.plans import staging
+from workload import inputs
 from workload.galaxy_sql import with_blocks
 from workload.inputs import Galaxy
 from workload.registry import register
@@ -24,7 +26,7 @@ def whole(column: str, digits: int = 0):
     FROM fx_latest"""),
 )
 def stg_exchange_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return Galaxy(spark, folder).stg_exchange_rates.select(
+    return staging.stg_exchange_rates(inputs.fx_rates_raw(spark, folder)).select(
         "rate_date",
         F.unix_timestamp("rate_timestamp").cast("double").alias("rate_epoch"),
         "base_currency",
@@ -46,7 +48,7 @@ def stg_exchange_rates(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stg_precious_metals(spark: SparkSession, folder: str) -> DataFrame:
     prices = ["gold_usd", "silver_usd", "platinum_usd", "palladium_usd"]
-    return Galaxy(spark, folder).stg_precious_metals.select(
+    return staging.stg_precious_metals(inputs.metal_prices_raw(spark, folder)).select(
         "success",
         "base_currency",
         F.unix_timestamp("api_timestamp").cast("double").alias("api_epoch"),
@@ -63,7 +65,7 @@ def stg_precious_metals(spark: SparkSession, folder: str) -> DataFrame:
     FROM equity_price"""),
 )
 def stg_equity_prices(spark: SparkSession, folder: str) -> DataFrame:
-    return Galaxy(spark, folder).stg_equity_prices.drop("loaded_at")
+    return staging.stg_equity_prices(inputs.equity_prices_raw(spark, folder)).drop("loaded_at")
 
 
 @register(
@@ -76,7 +78,7 @@ def stg_equity_prices(spark: SparkSession, folder: str) -> DataFrame:
     FROM trade"""),
 )
 def stg_ledger_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    ledger = Galaxy(spark, folder).stg_ledger_transactions
+    ledger = staging.stg_ledger_transactions(inputs.ledger_transactions_raw(spark, folder))
     for amount in ["quantity", "price", "fees"]:
         ledger = ledger.withColumn(amount, F.col(amount).cast("double"))
     epoch = F.unix_timestamp("transaction_ts").cast("double").alias("transaction_epoch")

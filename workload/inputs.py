@@ -26,6 +26,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small file over all cores; a table with enough splits of its own stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def chosen(column: str, names: dict[str, str], other: str | None = None) -> Column:
     picked = F.lit(other)
     for value, name in names.items():
@@ -108,7 +114,7 @@ def equity_prices_raw(spark: SparkSession, folder: str) -> DataFrame:
     cents = F.col("l_extendedprice").cast("decimal(18,2)")
     daily = (
         table(spark, folder, "lineitem")
-        .groupBy("l_partkey", "l_linestatus", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"))
+        .groupBy("l_partkey", "l_linestatus", F.col("l_shipdate").cast("date").alias("shipped"))
         .agg(
             F.min(cents).cast("string").alias("low"),
             F.max(cents).cast("string").alias("high"),
@@ -117,8 +123,9 @@ def equity_prices_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
     fields = {"1. open": "low", "2. high": "high", "3. low": "low", "4. close": "high", "5. volume": "volume"}
     bar = F.create_map(*[part for name, column in fields.items() for part in (F.lit(name), F.col(column))])
+    day = F.date_format("shipped", "yyyy-MM-dd")
     # one entry per calendar day of a part, since the prices are aggregated per day
-    series = F.map_from_entries(F.collect_list(F.struct("day", bar.alias("bar"))))
+    series = F.map_from_entries(F.collect_list(F.struct(day.alias("day"), bar.alias("bar"))))
     ticker = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     payload = F.to_json(
         F.struct(
@@ -153,7 +160,7 @@ def ledger_lines(spark: SparkSession, folder: str) -> DataFrame:
     side = chosen("l_linestatus", SIDE_OF_STATUS)
     total = F.when(side == "SELL", fee - quantity * price).otherwise(quantity * price + fee)
     part = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.concat(F.lit("T"), F.col("l_orderkey").cast("string"), F.lit("-"), number).alias("transaction_id"),
         F.concat(F.lit("C"), client).alias("client_id"),
         F.concat(F.lit("Client "), client, F.when(renamed, " (old)").otherwise("")).alias("client_name"),
@@ -203,7 +210,7 @@ class Galaxy:
 
     @cached_property
     def stg_ledger_transactions(self) -> DataFrame:
-        return staging.stg_ledger_transactions(ledger_transactions_raw(self.spark, self.folder))
+        return settle(staging.stg_ledger_transactions(ledger_transactions_raw(self.spark, self.folder)))
 
     @cached_property
     def int_fx_rates_to_sar(self) -> DataFrame:
