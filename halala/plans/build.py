@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from halala.functions.keys import date_key
 from halala.plans import dimensions, facts, fx, staging
 from halala.quality.gates import enforce, gate_report
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED
 from halala.sources.landing import document_files, ledger_files
-from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
-from halala.streaming.late_rates import changed_probes, ledger_of_changed_months
+from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse, month_of
+from halala.streaming.late_rates import changed_months, changed_probes
 from halala.streaming.load_once import load_feed
 
 INTERMEDIATE = "intermediate"
+LEDGER = "stg_ledger_transactions"
 
 
 def load_landing(warehouse: Warehouse, landing: str) -> None:
@@ -40,17 +42,22 @@ def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool =
         if gates:
             enforce(gate_report({n: built[n] for n in names}, built))
 
-    for name, source in {
-        "stg_exchange_rates": "fx_rates_raw",
-        "stg_precious_metals": "metal_prices_raw",
-        "stg_equity_prices": "equity_prices_raw",
-        "stg_ledger_transactions": "ledger_transactions_raw",
+    for name, rows in {
+        "stg_exchange_rates": staging.stg_exchange_rates(raw["fx_rates_raw"]),
+        "stg_precious_metals": staging.stg_precious_metals(raw["metal_prices_raw"]),
+        "stg_equity_prices": staging.stg_equity_prices(raw["equity_prices_raw"]),
     }.items():
-        built[name] = warehouse.rebuild(STAGING, name, getattr(staging, name)(raw[source]))
+        built[name] = warehouse.rebuild(STAGING, name, rows)
+    built[LEDGER] = warehouse.rebuild_by_month(
+        STAGING,
+        LEDGER,
+        staging.stg_ledger_transactions(raw["ledger_transactions_raw"]),
+        month_of(date_key("transaction_date")),
+    )
     check(*built)
 
     rates, metals = built["stg_exchange_rates"], built["stg_precious_metals"]
-    equity, ledger = built["stg_equity_prices"], built["stg_ledger_transactions"]
+    equity, ledger = built["stg_equity_prices"], built[LEDGER]
 
     sar = warehouse.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", fx.int_fx_rates_to_sar(rates))
     built["int_fx_rates_to_sar"] = sar
@@ -67,7 +74,9 @@ def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool =
 
     asset, day, currency = built["dim_asset"], built["dim_date"], built["dim_currency"]
     holdings = facts.fact_holdings(ledger, sar, day, asset, built["dim_client"], currency)
-    built["fact_holdings"] = warehouse.rebuild_by_month(ANALYTICS, "fact_holdings", holdings, "date_key")
+    built["fact_holdings"] = warehouse.rebuild_by_month(
+        ANALYTICS, "fact_holdings", holdings, month_of("date_key")
+    )
     prices = facts.fact_market_prices(equity, metals, sar, asset, day, currency, built["dim_source"])
     built["fact_market_prices"] = warehouse.rebuild(ANALYTICS, "fact_market_prices", prices)
     check("fact_holdings", "fact_market_prices")
@@ -95,9 +104,8 @@ def refresh_after_late_rates(warehouse: Warehouse, built: dict[str, DataFrame],
 
     `built` are the tables of the last build, `new_rates` the rates to SAR as they are now.
     """
-    ledger = built["stg_ledger_transactions"]
-    changed = changed_probes(ledger, built["int_fx_rates_to_sar"], new_rates)
-    rows = ledger_of_changed_months(ledger, changed)
+    changed = changed_probes(built[LEDGER], built["int_fx_rates_to_sar"], new_rates)
+    ledger = warehouse.read_months(STAGING, LEDGER, changed_months(changed))
     dims = [built[d] for d in ["dim_date", "dim_asset", "dim_client", "dim_currency"]]
-    revalued = facts.fact_holdings(rows, new_rates, *dims)
-    warehouse.replace_months(ANALYTICS, "fact_holdings", revalued, "date_key")
+    revalued = facts.fact_holdings(ledger, new_rates, *dims)
+    warehouse.replace_months(ANALYTICS, "fact_holdings", revalued, month_of("date_key"))

@@ -44,14 +44,23 @@ VOLUME_FIELD = "5. volume"
 def stg_exchange_rates(fx_rates_raw: DataFrame) -> DataFrame:
     """One row per date, base and target currency, from successful documents only."""
     docs = fx_rates_raw.select("file_name", "loaded_at", document("raw").alias("doc"))
-    good = docs.where(boolean_or_null(text_at("doc", "success")))
-    quotes = explode_members(good, members(node_at("doc", "rates")), "target_currency", "quote")
-    typed = quotes.select(
+    # success decides inside the explode: as a filter it would be pushed down and parse a second time
+    succeeded = boolean_or_null(text_at("doc", "success"))
+    headed = docs.select(
         date_or_null(text_at("doc", "date")).alias("rate_date"),
-        epoch_to_naive(text_at("doc", "timestamp")).alias("rate_timestamp"),
+        epoch_to_naive(F.when(succeeded, text_at("doc", "timestamp"))).alias("rate_timestamp"),
         text_at("doc", "base").alias("base_currency"),
+        F.when(succeeded, members(node_at("doc", "rates"))).alias("quotes"),
+        "file_name",
+        "loaded_at",
+    )
+    quotes = explode_members(headed, F.col("quotes"), "target_currency", "quote")
+    typed = quotes.withColumn("exchange_rate", decimal_or_null("quote", 6)).select(
+        "rate_date",
+        "rate_timestamp",
+        "base_currency",
         "target_currency",
-        decimal_or_null("quote", 6).alias("exchange_rate"),
+        "exchange_rate",
         "file_name",
         "loaded_at",
     )

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halala.operators.lookup import checked_broadcast
 from halala.operators.reshape import stack_rows
 
 class GateFailure(Exception):
@@ -79,11 +78,11 @@ def check_unique(df: DataFrame, table: str, *columns: str) -> DataFrame:
 def check_relationship(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Number of rows whose key is missing in the parent; NULL passes.
 
-    The child is reduced to its distinct keys before the join.
+    Both sides are reduced to their distinct keys before the join, so no key is hot in it.
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key"))
     keys = keys.agg(F.count(F.lit(1)).alias("_rows"))
-    known = checked_broadcast(parent.select(F.col(parent_column).alias("_key")).distinct())
+    known = parent.select(F.col(parent_column).alias("_key")).distinct()
     orphans = keys.join(known, "_key", "left_anti")
     total = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures"))
     return _report(total, table, "relationships", column)

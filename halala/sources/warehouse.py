@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from halala.functions.casts import as_column
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED, RAW_DOCUMENT, RAW_LEDGER
 
 RAW, STAGING, ANALYTICS = "raw", "staging", "analytics"
 DEFAULT_LAYER = "main"
 
-# The one large fact is stored by month, so a late rate rewrites only the months it reaches.
+# The ledger and its fact are stored by month, so a late rate rewrites only the months it reaches.
 MONTH = "month_key"
 
 
@@ -22,6 +23,21 @@ def layer_name(custom: str | None) -> str:
     return custom.strip() if custom else DEFAULT_LAYER
 
 
+def month_of(day_key: Column | str) -> Column:
+    """YYYYMM of a YYYYMMDD key."""
+    return F.floor(as_column(day_key) / 100).cast("int")
+
+
+def in_partitions(stored: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
+    """Rows of the partitions named in `wanted`, by a filter that prunes the others at planning.
+
+    Only distinct partition values reach the driver, which lists the table's partitions anyway.
+    """
+    values = [row[partition] for row in wanted.select(partition).distinct().collect()]
+    named = F.col(partition).isin([v for v in values if v is not None])
+    return stored.where(named | F.col(partition).isNull() if None in values else named)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -38,19 +54,23 @@ class Warehouse:
         rows.write.mode("overwrite").parquet(self.path(layer, table))
         return self.read(layer, table)
 
-    def rebuild_by_month(self, layer: str, table: str, rows: DataFrame, day_key: str) -> DataFrame:
-        self._by_month(rows, day_key).write.mode("overwrite").partitionBy(MONTH).parquet(self.path(layer, table))
+    def rebuild_by_month(self, layer: str, table: str, rows: DataFrame, month: Column) -> DataFrame:
+        self._by_month(rows, month).write.mode("overwrite").partitionBy(MONTH).parquet(self.path(layer, table))
         return self.read(layer, table)
 
-    def replace_months(self, layer: str, table: str, rows: DataFrame, day_key: str) -> None:
+    def replace_months(self, layer: str, table: str, rows: DataFrame, month: Column) -> None:
         """Overwrite only the months that occur in `rows`, which must hold them whole."""
-        writer = self._by_month(rows, day_key).write.mode("overwrite").partitionBy(MONTH)
+        writer = self._by_month(rows, month).write.mode("overwrite").partitionBy(MONTH)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(layer, table))
 
+    def read_months(self, layer: str, table: str, months: DataFrame) -> DataFrame:
+        """Rows of the given months (one column, MONTH); the other partitions are not read."""
+        return in_partitions(self.spark.read.parquet(self.path(layer, table)), MONTH, months).drop(MONTH)
+
     @staticmethod
-    def _by_month(rows: DataFrame, day_key: str) -> DataFrame:
+    def _by_month(rows: DataFrame, month: Column) -> DataFrame:
         # rebalance lets AQE split a month that holds most rows and merge the small ones
-        return rows.withColumn(MONTH, F.floor(F.col(day_key) / 100).cast("int")).hint("rebalance", MONTH)
+        return rows.withColumn(MONTH, month).hint("rebalance", MONTH)
 
     def create_if_missing(self, layer: str, table: str, schema: T.StructType) -> None:
         empty = self.spark.createDataFrame([], schema)

@@ -12,8 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halala.operators.lookup import checked_broadcast
 from halala.operators.pick import latest_by
+from halala.sources.warehouse import in_partitions
 
 _BATCH = "_batch"
 
@@ -46,8 +46,7 @@ def latest_copy_merge(
         if merged is None:
             rows = batch
             if _exists(spark, target):
-                touched = checked_broadcast(batch.select(partition).distinct())
-                stored = spark.read.parquet(target).join(touched, partition, "left_semi")
+                stored = in_partitions(spark.read.parquet(target), partition, batch)
                 rows = rows.unionByName(stored.select(*batch.columns))
             latest = latest_by(rows, keys, newest_first)
             latest.withColumn(_BATCH, F.lit(batch_id)).write.mode("overwrite").parquet(slot)

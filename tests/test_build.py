@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from halala.operators.pick import latest_by
 from halala.plans.build import build_tables, refresh_after_late_rates, run_all
 from halala.quality.gates import GateFailure
-from halala.sources.warehouse import ANALYTICS, Warehouse
+from halala.sources.warehouse import ANALYTICS, MONTH, Warehouse, month_of
 from halala.streaming.late_rates import changed_probes
 from halala.streaming.latest_copy import latest_copy_merge
 from tests.fixtures import DAY0, land_two_weeks, ledger_row, write_ledger
@@ -86,13 +86,23 @@ def test_late_rate_refresh_equals_full_rebuild(spark, built, tmp_path, rows):
 def test_refresh_rewrites_touched_months_only(spark, tmp_path, rows):
     warehouse = Warehouse(spark, str(tmp_path))
     first = spark.createDataFrame([(20260115, "a"), (20260116, "b"), (20260215, "c")], "date_key int, v string")
-    warehouse.rebuild_by_month("analytics", "f", first, "date_key")
+    warehouse.rebuild_by_month("analytics", "f", first, month_of("date_key"))
     february = sorted(p.name for p in (tmp_path / "analytics/f/month_key=202602").glob("*.parquet"))
-    warehouse.replace_months("analytics", "f", spark.createDataFrame([(20260115, "x")], first.schema), "date_key")
+    warehouse.replace_months("analytics", "f", spark.createDataFrame([(20260115, "x")], first.schema), month_of("date_key"))
     assert rows(warehouse.read("analytics", "f")) == [(20260115, "x"), (20260215, "c")]
     assert sorted(p.name for p in (tmp_path / "analytics/f/month_key=202602").glob("*.parquet")) == february
 
 
+def test_only_the_asked_months_are_read(spark, built, rows):
+    work, tables = built
+    warehouse = Warehouse(spark, f"{work}/warehouse")
+    months = spark.createDataFrame([(202603,), (209901,)], f"{MONTH} int")
+    found = warehouse.read_months("staging", "stg_ledger_transactions", months)
+    assert found.count() == 1000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "month_key" in plan[plan.index("PartitionFilters") :].split("]")[0]
+
+
 COPIES = "k string, day int, seq int, v string, month int"
 
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from halala.functions.keys import date_key
 from halala.operators.reshape import stack_rows
 from halala.plans.build import build_tables, refresh_after_late_rates
 from halala.plans.staging import NOT_A_TICKER, SERIES, stg_equity_prices, stg_ledger_transactions
 from halala.schemas import LEDGER_FILE_COLUMNS
 from halala.session import scratch_path
 from halala.sources.landing import document_files, ledger_files
-from halala.sources.warehouse import ANALYTICS, Warehouse
+from halala.sources.warehouse import ANALYTICS, STAGING, Warehouse, month_of
 from halala.streaming.latest_copy import latest_copy_merge
 from halala.streaming.load_once import load_feed, load_history, load_listed
 from workload.galaxy import rounded_holdings
@@ -185,7 +186,11 @@ def late_rate_refresh(spark: SparkSession, folder: str) -> DataFrame:
     for name in ["dim_date", "dim_asset", "dim_client", "dim_currency"]:
         setattr(early, name, getattr(galaxy, name))
     early.int_fx_rates_to_sar = all_rates.where(F.year("rate_date") != 1998)
-    warehouse.rebuild_by_month(ANALYTICS, "fact_holdings", early.fact_holdings, "date_key")
+    ledger_month = month_of(date_key("transaction_date"))
+    early.stg_ledger_transactions = warehouse.rebuild_by_month(
+        STAGING, "stg_ledger_transactions", galaxy.stg_ledger_transactions, ledger_month
+    )
+    warehouse.rebuild_by_month(ANALYTICS, "fact_holdings", early.fact_holdings, month_of("date_key"))
 
     names = ["stg_ledger_transactions", "int_fx_rates_to_sar", "dim_date", "dim_asset", "dim_client", "dim_currency"]
     refresh_after_late_rates(warehouse, {n: getattr(early, n) for n in names}, all_rates)
