@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from halala.functions.keys import date_key
 from halala.plans import dimensions, facts, fx, staging
+from halala.quality import payloads
 from halala.quality.gates import enforce, gate_report
+from halala.quality.ledger import Book, default_book, ledger_violations
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED
-from halala.sources.landing import document_files, ledger_files
+from halala.sources.landing import delivered_lines, document_files, ledger_files
 from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse, month_of
 from halala.streaming.late_rates import changed_months, changed_probes
 from halala.streaming.load_once import load_feed
@@ -31,6 +33,20 @@ def load_landing(warehouse: Warehouse, landing: str) -> None:
         )
 
 
+def check_landing(spark: SparkSession, landing: str, book: Book | None = None) -> None:
+    """Refuse a landing folder that holds incomplete or inconsistent deliveries."""
+    feed = f"{landing.rstrip('/')}/{{}}".format
+
+    def documents(folder: str) -> DataFrame:
+        return document_files(spark.read, feed(folder))
+
+    payloads.refuse(payloads.rate_violations(documents("exchange_rates"), payloads.FX_SYMBOLS))
+    payloads.refuse(payloads.rate_violations(documents("metal_prices"), payloads.METAL_SYMBOLS))
+    payloads.refuse(payloads.equity_violations(documents("equity_prices"), payloads.EQUITY_TICKERS))
+    lines = delivered_lines(spark.read, feed(LEDGER_FEED[0]))
+    payloads.refuse(ledger_violations(lines, book or default_book(spark)))
+
+
 def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool = True) -> dict[str, DataFrame]:
     """All thirteen tables from the RAW tables; a failed gate stops what comes after it.
 

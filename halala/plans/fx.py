@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from halala.functions.amounts import ratio
+from halala.functions.documents import document, node_at
 from halala.operators.pick import prefer_by
 
 # Fixed values
@@ -16,6 +17,30 @@ REPORTING = "SAR"
 NATIVE, REBASED = 0, 1
 
 
+def rebased(rates: Column, pivot: str = PIVOT) -> Column:
+    """A document's rates (map of code to double) restated per unit of `pivot`, to six digits."""
+    return F.transform_values(rates, lambda _, rate: F.round(rate / F.element_at(rates, F.lit(pivot)), 6))
+
+
+def rebased_documents(fx_rates_raw: DataFrame) -> DataFrame:
+    """Rate documents restated to a USD base; all their other members stay as they are."""
+    docs = fx_rates_raw.select("file_name", "loaded_at", document("raw").alias("doc"))
+    parts = docs.select(
+        "file_name",
+        "loaded_at",
+        F.col("doc").cast("map<string,variant>").alias("whole"),
+        node_at("doc", "rates").cast("map<string,double>").alias("rates"),
+    )
+    kept = F.map_filter("whole", lambda name, _: ~name.isin("base", "rates"))
+    restated = F.create_map(
+        F.lit("base"),
+        F.lit(PIVOT).cast("variant"),
+        F.lit("rates"),
+        F.to_variant_object(rebased(F.col("rates"))),
+    )
+    return parts.select(F.to_json(F.map_concat(kept, restated)).alias("raw"), "file_name", "loaded_at")
+
+
 def usd_rates(staged: DataFrame) -> DataFrame:
     """Units of each currency per 1 USD, one row per date and currency.
 

@@ -43,13 +43,14 @@ def _differs(a: Column, b: Column) -> Column:
 
 def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
     """One row per broken rule of a ledger line (all file columns as text, plus `file_name`)."""
-    clients = book.clients.withColumnsRenamed({"client_id": "_client", "client_name": "_name"})
-    portfolios = book.portfolios.withColumnsRenamed({"portfolio_id": "_portfolio"})
-    instruments = book.instruments.withColumnsRenamed({"ticker": "_ticker", "currency": "_currency"})
+    known = F.lit(True)
+    clients = book.clients.toDF("_client", "_name").withColumn("_known_client", known)
+    portfolios = book.portfolios.toDF("_portfolio").withColumn("_known_portfolio", known)
+    instruments = book.instruments.toDF("_ticker", "_currency").withColumn("_known_ticker", known)
     rows = lines.select("file_name", *LEDGER_FILE_COLUMNS)
-    rows = attach(rows, clients.withColumn("_known_client", F.lit(True)), "client_id", "_client", ["_name", "_known_client"])
-    rows = attach(rows, portfolios.withColumn("_known_portfolio", F.lit(True)), "portfolio_id", "_portfolio", ["_known_portfolio"])
-    rows = attach(rows, instruments.withColumn("_known_ticker", F.lit(True)), "ticker", "_ticker", ["_currency", "_known_ticker"])
+    rows = attach(rows, clients, "client_id", "_client", ["_name", "_known_client"])
+    rows = attach(rows, portfolios, "portfolio_id", "_portfolio", ["_known_portfolio"])
+    rows = attach(rows, instruments, "ticker", "_ticker", ["_currency", "_known_ticker"])
 
     amount = {c: F.col(c).try_cast("decimal(18,4)") for c in ["quantity", "price", "fee_amount", "total"]}
     gross = amount["quantity"] * amount["price"]

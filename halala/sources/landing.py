@@ -36,13 +36,8 @@ def document_files(reader, paths) -> DataFrame:
     )
 
 
-def ledger_files(reader, paths) -> DataFrame:
-    """One row per ledger line, as text. Missing or reordered columns fail the load.
-
-    Quotes are doubled inside quoted values. A line break inside a value also fails the load, so
-    that a large batch file can still be split over tasks.
-    """
-    lines = (
+def _ledger_text(reader, paths) -> DataFrame:
+    return (
         reader.schema(LEDGER_FILE)
         .format("csv")
         .option("header", True)
@@ -54,7 +49,20 @@ def ledger_files(reader, paths) -> DataFrame:
         .option("pathGlobFilter", "*.csv")
         .load(paths)
     )
-    return lines.select(
+
+
+def delivered_lines(reader, paths) -> DataFrame:
+    """All columns of the ledger lines as delivered, for the checks before a load."""
+    return _ledger_text(reader, paths).select("*", landed_name().alias("file_name"))
+
+
+def ledger_files(reader, paths) -> DataFrame:
+    """One row per ledger line, as text. Missing or reordered columns fail the load.
+
+    Quotes are doubled inside quoted values. A line break inside a value also fails the load, so
+    that a large batch file can still be split over tasks.
+    """
+    return _ledger_text(reader, paths).select(
         *LEDGER_KEPT_COLUMNS,
         batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
         landed_name().alias("file_name"),

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.codegen.wholeStage": "false",  # compiling costs more than the small inputs
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from halala.operators.pick import latest_by
-from halala.plans.build import build_tables, refresh_after_late_rates, run_all
+from halala.plans.build import build_tables, check_landing, refresh_after_late_rates, run_all
 from halala.quality.gates import GateFailure
+from halala.quality.payloads import PayloadError
 from halala.sources.warehouse import ANALYTICS, MONTH, Warehouse, month_of
 from halala.streaming.late_rates import changed_probes
 from halala.streaming.latest_copy import latest_copy_merge
@@ -51,6 +52,16 @@ def test_eur_day_is_rebased(built):
     assert rates["SAR"] == 1.0
 
 
+def test_landing_checks(spark, built, tmp_path):
+    work, _ = built
+    check_landing(spark, f"{work}/landing")
+    land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
+    bad = [ledger_row(9, DAY0, currency="EUR")]
+    write_ledger(f"{tmp_path}/landing/internal_ledger/20260320T090000.csv", bad)
+    with pytest.raises(PayloadError, match="currency_mismatch"):
+        check_landing(spark, f"{tmp_path}/landing")
+
+
 def test_views_are_published(spark, built):
     assert spark.sql("select * from analytics_fact_daily_portfolio_summary limit 10").count() == 10
     assert "month_key" not in spark.table("analytics_fact_holdings").columns

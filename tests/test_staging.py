@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -140,6 +141,15 @@ def test_triangulation_prefers_usd_and_rebases_eur(spark):
     }
 
 
+def test_rebased_documents(spark, rows):
+    raw = raw_documents(spark, [(fx(DAY0, {"SAR": 4.35, "USD": 1.16, "GBP": 0.85}, base="EUR", note="x"), "a.json", T1)])
+    found = json.loads(fx_plan.rebased_documents(raw).first()["raw"])
+    assert found.pop("rates") == pytest.approx({"SAR": 4.35 / 1.16, "USD": 1.0, "GBP": 0.85 / 1.16}, abs=1e-6)
+    assert found == {"success": True, "timestamp": 1772495999, "base": "USD", "date": "2026-03-02", "note": "x"}
+    staged = staging.stg_exchange_rates(fx_plan.rebased_documents(raw))
+    assert rows(staged, "base_currency", "target_currency", "exchange_rate")[1] == ("USD", "SAR", Decimal("3.750000"))
+
+
 def test_triangulation_takes_one_shuffle(spark):
     staged = rates_frame(spark, [(DAY0, "USD", "SAR", 3.75)])
     plan = fx_plan.int_fx_rates_to_sar(staged)._jdf.queryExecution().executedPlan().toString()

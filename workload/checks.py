@@ -11,7 +11,6 @@ from halala.quality import gates, ledger, payloads
 from workload.galaxy_sql import with_blocks
 from workload.inputs import (
     Galaxy,
-    chosen,
     equity_prices_raw,
     fx_rates_raw,
     ledger_lines,

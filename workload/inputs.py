@@ -75,6 +75,10 @@ def _rates(quotes: DataFrame) -> DataFrame:
     return quotes.groupBy("day", "status").agg(entries.alias("rates"))
 
 
+def _file_name(feed: str) -> Column:
+    return F.concat(F.lit(f"{feed}/"), F.date_format("day", "yyyy-MM-dd"), F.lit("-"), "status", F.lit(".json"))
+
+
 def fx_rates_raw(spark: SparkSession, folder: str) -> DataFrame:
     quotes = _daily_quotes(spark, folder, CURRENCY_OF_PRIORITY)
     no_quote = (F.col("code") == "CHF") & (F.dayofmonth("day") == 13)
@@ -89,7 +93,7 @@ def fx_rates_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
     return _rates(quotes).select(
         F.to_json(body).alias("raw"),
-        F.concat(F.lit("exchange_rates/"), F.date_format("day", "yyyy-MM-dd"), F.lit("-"), "status", F.lit(".json")).alias("file_name"),
+        _file_name("exchange_rates").alias("file_name"),
         noon_of(F.col("day"), F.when(F.col("status") == "P", 2).otherwise(1)).alias("loaded_at"),
     )
 
@@ -105,7 +109,7 @@ def metal_prices_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
     return _rates(_daily_quotes(spark, folder, QUOTE_OF_PRIORITY)).select(
         F.to_json(body).alias("raw"),
-        F.concat(F.lit("metal_prices/"), F.date_format("day", "yyyy-MM-dd"), F.lit("-"), "status", F.lit(".json")).alias("file_name"),
+        _file_name("metal_prices").alias("file_name"),
         noon_of(F.col("day"), F.when(F.col("status") == "P", 2).otherwise(1)).alias("loaded_at"),
     )
 

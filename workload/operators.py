@@ -11,6 +11,7 @@ from halala.operators import reshape
 from halala.operators.asof import asof_join
 from halala.operators.lookup import attach
 from halala.operators.pick import latest_by, prefer_by
+from halala.plans.fx import rebased
 from workload.inputs import chosen, table
 from workload.registry import register
 
@@ -170,9 +171,8 @@ def fx_rebase(spark: SparkSession, folder: str) -> DataFrame:
     entry = F.struct("code", "rate")
     # one entry per code, since the rates are aggregated per code
     by_day = daily_rate(spark, folder).groupBy("rate_date").agg(F.map_from_entries(F.collect_list(entry)).alias("rates"))
-    base = F.element_at("rates", F.lit("1-URGENT"))
-    rebased = F.transform_values("rates", lambda _, rate: F.round(rate / base, 6))
-    return by_day.where(base.isNotNull()).select("rate_date", F.explode(rebased).alias("code", "rate"))
+    quoted = by_day.where(F.map_contains_key("rates", "1-URGENT"))
+    return quoted.select("rate_date", F.explode(rebased(F.col("rates"), "1-URGENT")).alias("code", "rate"))
 
 
 # ---- documents ------------------------------------------------------------------------------
