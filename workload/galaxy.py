@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from halala.plans import staging
 from workload import inputs
 from workload.galaxy_sql import with_blocks
-from workload.inputs import Galaxy
+from workload.inputs import Galaxy, epoch_of
 from workload.registry import register
 
 
@@ -28,7 +28,7 @@ def whole(column: str, digits: int = 0):
 def stg_exchange_rates(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stg_exchange_rates(inputs.fx_rates_raw(spark, folder)).select(
         "rate_date",
-        F.unix_timestamp("rate_timestamp").cast("double").alias("rate_epoch"),
+        epoch_of("rate_timestamp").alias("rate_epoch"),
         "base_currency",
         "target_currency",
         F.col("exchange_rate").cast("double").alias("exchange_rate"),
@@ -51,7 +51,7 @@ def stg_precious_metals(spark: SparkSession, folder: str) -> DataFrame:
     return staging.stg_precious_metals(inputs.metal_prices_raw(spark, folder)).select(
         "success",
         "base_currency",
-        F.unix_timestamp("api_timestamp").cast("double").alias("api_epoch"),
+        epoch_of("api_timestamp").alias("api_epoch"),
         *[F.col(p).cast("double").alias(p) for p in prices],
         "file_name",
     )
@@ -81,7 +81,7 @@ def stg_ledger_transactions(spark: SparkSession, folder: str) -> DataFrame:
     ledger = staging.stg_ledger_transactions(inputs.ledger_transactions_raw(spark, folder))
     for amount in ["quantity", "price", "fees"]:
         ledger = ledger.withColumn(amount, F.col(amount).cast("double"))
-    epoch = F.unix_timestamp("transaction_ts").cast("double").alias("transaction_epoch")
+    epoch = epoch_of("transaction_ts").alias("transaction_epoch")
     return ledger.select("*", epoch).drop("transaction_ts", "_loaded_at")
 
 

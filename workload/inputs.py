@@ -43,6 +43,13 @@ def noon_of(day: Column, days_later: Column | int = 0) -> Column:
     return F.timestamp_seconds((F.unix_date(day) + days_later).cast("bigint") * DAY + DAY // 2)
 
 
+def epoch_of(naive: str | Column) -> Column:
+    """Seconds of a naive UTC timestamp, whatever the session's time zone, as a double."""
+    naive = F.col(naive) if isinstance(naive, str) else naive
+    second = F.hour(naive) * 3600 + F.minute(naive) * 60 + F.second(naive)
+    return (F.unix_date(naive.cast("date")).cast("bigint") * DAY + second).cast("double")
+
+
 CURRENCY_OF_PRIORITY = {
     "1-URGENT": "USD",
     "2-HIGH": "SAR",

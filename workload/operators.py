@@ -12,7 +12,7 @@ from halala.operators.asof import asof_join
 from halala.operators.lookup import attach
 from halala.operators.pick import latest_by, prefer_by
 from halala.plans.fx import rebased
-from workload.inputs import chosen, table
+from workload.inputs import chosen, epoch_of, table
 from workload.registry import register
 
 # ---- as-of joins ----------------------------------------------------------------------------
@@ -254,9 +254,8 @@ def json_two_level_rows(spark: SparkSession, folder: str) -> DataFrame:
 )
 def epoch_to_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     """Epoch seconds in text, back to naive UTC timestamps."""
-    days = F.unix_date(F.col("ts").cast("date")).cast("bigint")
-    seconds = days * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
-    events = table(spark, folder, "events").select("event_id", seconds.cast("string").alias("epoch"))
+    seconds = epoch_of("ts").cast("bigint").cast("string")
+    events = table(spark, folder, "events").select("event_id", seconds.alias("epoch"))
     at = casts.epoch_to_naive("epoch")
     return events.select(
         "event_id", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("seen_at"), at.cast("date").alias("day")
@@ -286,7 +285,7 @@ def text_to_types(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey",
         casts.decimal_or_null("price", 4).cast("double").alias("price"),
         casts.date_or_null("day").alias("day"),
-        F.unix_timestamp(casts.naive_timestamp_or_null("ordered")).cast("double").alias("ordered_epoch"),
+        epoch_of(casts.naive_timestamp_or_null("ordered")).alias("ordered_epoch"),
         casts.boolean_or_null("flag").alias("flag"),
         casts.bigint_or_null("o_orderpriority").alias("not_a_number"),
         casts.date_or_null(F.left("day", F.lit(4))).alias("no_full_date"),
