@@ -6,9 +6,8 @@ import os
 
 import pytest
 
-import __spark_entry__ as spark_entry
 from tests.compare import connect, differences
-from workload import checks, galaxy
+from workload import ORACLES, QUERIES, checks, galaxy
 from workload.inputs import Galaxy
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -32,10 +31,10 @@ def one_galaxy(spark):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
-    result = spark_entry.queries()[name](spark, FOLDER)
-    assert differences(result, database, spark_entry.oracle_sql()[name]) is None
+    result = QUERIES[name](spark, FOLDER)
+    assert differences(result, database, ORACLES[name]) is None
