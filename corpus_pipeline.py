@@ -1,26 +1,52 @@
-"""A corpus from raw documents to token files: five stages, each one operator, written between stages."""
+"""A corpus from raw documents to token files: five stages, each one operator, written between stages.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of docs. Repeated rows, null texts and
+null ids pass through each stage under the rules of its operator; extra columns are dropped. Stages
+of an empty table give an empty table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from halala.llm import eliasfano, forest, wumanber
-from halala.llm.queries import tokenizer_file
+from halala.llm import eliasfano, forest, mixing, passages, wumanber
+from halala.llm.fitting import fold
+from halala.llm.queries import TARGETS, labelled_domains, tokenizer_file
 from halala.llm.shared import given, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+GOOD = 0.3  # least score of a document that is kept
+
+
+def _among(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
+    """Documents whose id is (left_semi) or is not (left_anti) in wanted(doc_id); null equals null."""
+    ids = wanted.select("doc_id").distinct().alias("w")
+    return docs.alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), how).select(*COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones of them, does not reject."""
+    model = passages.fitted(docs, given(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    return passages.kept(docs.select(*COLUMNS), model, GOOD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    kept = forest.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near-duplicates: the one with the smallest id, once."""
+    kept = forest.near_duplicates(docs, k=5, least=80).where("kept")
+    once = docs.select(*COLUMNS).dropDuplicates(["doc_id"])
+    return _among(once, kept, "left_semi")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    hit = wumanber.contamination(docs, given(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(hit.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    return _among(docs, wumanber.contamination(docs, given(spark, sf_dir, "benchmark")).where("contaminated"), "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, and those of scarce languages more often, towards the target shares."""
+    listed = labelled_domains(spark, sf_dir)
+    return mixing.mixed(docs.select(*COLUMNS), mixing.rates(docs, listed, TARGETS, keep_all=True))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,12 +55,14 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
     ("near_dedup", near_dedup),
     ("decontaminate", decontaminate),
+    ("mix", mix),
     ("tokens", tokens),
 ]
 
-# The classifier and the tokenizer are beyond SQL: tests compare the stages with brute-force versions.
+# The classifiers and the tokenizer are beyond SQL: tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 

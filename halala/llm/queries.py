@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from halala.llm import debruijn, eliasfano, forest, wumanber
+from halala.llm import debruijn, eliasfano, forest, gru, mixing, passages, stringkernel, urlrules, weighted, wumanber
 from halala.llm.shared import given
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,18 +86,75 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return wumanber.contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
 
 
+@query("op2_string_kernel_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    return stringkernel.toxicity(given(spark, folder, "documents"), given(spark, folder, "labels"))
+
+
+# Shares of words that op3 and the pipeline aim at.
+TARGETS = {"en": 0.52, "fr": 0.17, "de": 0.17, "es": 0.14}
+
+
+def labelled_domains(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, domain): the language of the documents listed in the labelled table."""
+    listed = given(spark, folder, "labels").select("doc_id").distinct()
+    return given(spark, folder, "documents").select("doc_id", F.col("lang").alias("domain")).join(listed, "doc_id", "left_semi")
+
+
+@query("op3_soft_membership_mixing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """How often every document is to be seen, so that words per language have the target shares."""
+    rated = mixing.rates(given(spark, folder, "documents"), labelled_domains(spark, folder), TARGETS)
+    copies = mixing.copies(F.col("rate"), "doc_id", "rank").alias("copies")
+    return rated.select("doc_id", "n_words", "domain", "probability", "rate", copies)
+
+
 @query("op4_minhash_lsh_forest", OP4_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near-duplicate documents."""
     return forest.near_duplicates(given(spark, folder, "documents"))
 
 
+URL_RULES = [
+    urlrules.Rule("org", "/", "allow"),
+    urlrules.Rule("example.org", "/es/", "block"),
+    urlrules.Rule("example.org", "/en/1", "block"),
+    urlrules.Rule("com", "/fr/", "allow"),
+    urlrules.Rule("com", "/de/", "block"),
+]
+
+
+@query("op5_association_rule_urls")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return urlrules.verdicts(given(spark, folder, "pages"), URL_RULES)
+
+
 @query("op6_elias_fano_tokens")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as token ids, read back from their files."""
     return eliasfano.encoded(given(spark, folder, "documents"), tokenizer_file())
 
 
+@query("op7_consistent_weighted_sampling")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return weighted.fingerprints(given(spark, folder, "documents"))
+
+
+@query("op8_attention_passage_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    return passages.quality(given(spark, folder, "documents"), given(spark, folder, "labels"))
+
+
+@query("op9_byte_gru_language")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    return gru.languages(given(spark, folder, "documents"))
+
+
 @query("op10_de_bruijn_repeats", OP10_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without passages that an earlier one has."""
