@@ -229,7 +229,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, least: int = 85) -> DataFrame:
         .select("node", "id", "n_shingles", "cluster", "pair.low", "pair.high")
     )
     texts = docs.select(ids.alias("id"), "text").where("text is not null")
-    wanted = members.select("id").distinct()
+    # Joined by sorting at every size: what is shuffled then grows in proportion to the texts.
+    wanted = members.select("id").distinct().hint("merge")
     # A repeated id may have other texts: only the text whose set is meant is compared.
     sized = texts.join(wanted, "id", "left_semi").mapInArrow(_sized(k), "id bigint, d1 bigint, d2 bigint, text string")
     own = members.select("node", "id", "d1", "d2")
