@@ -7,7 +7,7 @@ finer. Candidates of all trees form clusters; within a cluster every pair of ful
 in blocks of bounded size, so no signature decides a link and no partner is capped.
 
 A pair of sets with Jaccard similarity 0.85 is neighboured in a tree with a chance of 0.85**4 = 0.52,
-and misses all 16 trees with a chance below 1e-5. Equal sets always meet.
+and misses all 20 trees with a chance below 1e-6. Equal sets always meet.
 
 Edge cases: null texts and texts without words have no set and link with nothing; fewer words than a
 shingle make one shingle of the whole sequence. Repeated rows and repeated ids are documents of their
@@ -29,7 +29,7 @@ from halala.llm.components import components
 from halala.llm.shared import written
 from halala.llm.text import FIRST, SECOND, WHITE, Texts, as_texts, mix, run_starts, signed, slices
 
-TREES, DEPTH, BASE = 16, 8, 4
+TREES, DEPTH, BASE = 20, 8, 4
 DENSE = 4096  # rows of one region before its depth grows
 BLOCK_SHINGLES, BLOCK_ROWS = 1 << 19, 1024  # aim for one block of a cluster
 NO_ID = (1 << 63) - 1

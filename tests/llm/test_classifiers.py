@@ -1,0 +1,178 @@
+"""Classifiers: gradients, held-out accuracy on the given tables, and rows without text or labels."""
+
+from __future__ import annotations
+
+import os
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from halala.llm import gru, mixing, passages, stringkernel
+from halala.llm.queries import QUERIES, TARGETS
+from halala.llm.shared import given
+from halala.llm.text import as_texts
+from tests.llm.rows import odd
+
+FOLDER = os.environ.get("TEST_LEARN_DIR", "/root/testdata/sf0.01")
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
+
+
+def slope(loss, weights, name, at, step):
+    old = weights[name][at]
+    weights[name][at] = old + step
+    high = loss()
+    weights[name][at] = old - step
+    low = loss()
+    weights[name][at] = old
+    return (high - low) / (2 * step)
+
+
+def test_attention_gradients():
+    draw = np.random.default_rng(1)
+    bags = [draw.normal(size=(n, passages.FEATURES)) for n in (1, 3, 5)]
+    model = passages.Attention.fit(bags, np.array([0.0, 1.0, 1.0]), epochs=1)
+    x, first, y = np.concatenate(bags), np.array([0, 1, 4, 9]), np.array([0.0, 1.0, 1.0])
+
+    def loss():
+        s = model.forward(x, first)[-1]
+        return np.mean(np.log1p(np.exp(s)) - y * s) + 0.5e-4 * sum(float((w * w).sum()) for w in model.weights.values())
+
+    found = model.gradients(x, first, y)
+    for name in found:
+        at = tuple(0 for _ in model.weights[name].shape)
+        assert found[name][at] == pytest.approx(slope(loss, model.weights, name, at, 1e-5), abs=1e-6)
+
+
+def test_network_gradients():
+    network = gru.Network.blank(["a", "b", "c"])
+    network.weights = {k: v.astype(np.float64) * 0.3 for k, v in network.weights.items()}
+    draw = np.random.default_rng(2)
+    codes, labels = draw.integers(97, 100, (7, 4)), np.array([0, 1, 2, 1])
+    weight = np.ones(codes.shape)
+    weight[5:, 1] = 0
+
+    def loss():
+        p = network.probabilities(codes)
+        return -(np.log(p[:, np.arange(4), labels]) * weight).sum() / weight.sum()
+
+    found = network.gradients(codes, labels, weight)
+    for name, at in (("fx", (98, 3)), ("fh", (1, 2)), ("bx", (99, 25)), ("bh", (4, 15)), ("out", (13, 1)), ("out0", (2,))):
+        assert found[name][at] == pytest.approx(slope(loss, network.weights, name, at, 1e-5), abs=1e-6)
+
+
+@needs_tables
+def test_quality_of_held_out_documents(spark):
+    got = QUERIES["op8_attention_passage_quality"](spark, FOLDER).join(given(spark, FOLDER, "labels"), "doc_id").where("held_out").toPandas()
+    good = got["quality"] == 1
+    assert (got["predicted"][good] == 1).mean() >= 0.98
+    assert (got["predicted"][~good] == 0).mean() >= 0.7
+
+
+@needs_tables
+def test_toxicity_of_held_out_documents(spark):
+    got = QUERIES["op2_string_kernel_toxicity"](spark, FOLDER).join(given(spark, FOLDER, "labels"), "doc_id").where("held_out").toPandas()
+    assert (got["predicted"] == got["toxic"]).mean() >= 0.95
+    assert got["score"].between(0, 1).all()
+
+
+@needs_tables
+def test_language_of_held_out_documents(spark):
+    docs = given(spark, FOLDER, "documents").select("doc_id", "lang")
+    got = QUERIES["op9_byte_gru_language"](spark, FOLDER).join(docs, "doc_id").where("held_out and lang is not null").toPandas()
+    assert (got["lang_pred"] == got["lang"]).mean() >= 0.97
+
+
+@needs_tables
+def test_mixing_meets_targets(spark):
+    rated = QUERIES["op3_soft_membership_mixing"](spark, FOLDER).toPandas()
+    assert (rated["rate"] >= 0).all()
+    words = (rated["rate"] * rated["n_words"]).groupby(rated["domain"]).sum() / rated["n_words"].sum()
+    for domain, share in TARGETS.items():
+        assert words[domain] == pytest.approx(share, abs=0.01)
+
+
+def test_toxicity_finds_hidden_insults():
+    draw = np.random.default_rng(4)
+    plain = ["the", "tree", "stands", "there", "and", "water", "runs", "over", "stones", "quiet", "night", "idol", "lose", "clover", "moral"]
+    insults = ["idiot", "moron", "loser"]
+    texts = [" ".join(draw.choice(plain, 12)) + (" " + str(draw.choice(insults)) if i % 4 == 0 else "") for i in range(240)]
+    machine = stringkernel.train(texts, np.array([int(i % 4 == 0) for i in range(240)]))
+
+    def caught(text):
+        worst, _, _ = machine.worst(as_texts(pa.array([text])))
+        return bool(machine.probability(worst)[0] >= 0.5)
+
+    for text in ("you IDIOT!", "an id-iot", "the i d i o t ran", "idiiot", "m.o.r.o.n", "1d1ot", "water " * 5000 + "loser"):
+        assert caught(text), text
+    for text in ("the tree stands", "", "water over stones", "a moral idol"):
+        assert not caught(text), text
+
+
+def test_projected_features_equal_plain_kernel():
+    """The folded decision is the sum of kernels: common gapped subsequences, counted one by one."""
+    def plain(word):
+        s = "^" + word
+        out = {}
+        for i in range(len(s)):
+            for a, b in stringkernel._GAPS:
+                if i + a + b < len(s):
+                    key = (s[i], s[i + a], s[i + a + b])
+                    out[key] = out.get(key, 0) + stringkernel.DECAY ** (a + b + 1)
+        return out
+
+    words = ["idiot", "idxiot", "clown", "x", "abababab"]
+    units = stringkernel.of_strings(words)
+    slots = stringkernel.slots_of(units)
+    x = stringkernel.features(units, slots)
+    sizes = stringkernel.norms(units)
+    for i, u in enumerate(words):
+        for j, v in enumerate(words):
+            kernel = sum(w * plain(v).get(key, 0) for key, w in plain(u).items())
+            assert x[i] @ x[j] * sizes[i] * sizes[j] == pytest.approx(kernel)
+    assert np.allclose(stringkernel.projected(units, slots, np.eye(len(slots))), x)
+
+
+def test_rows_without_text_or_labels(spark):
+    df = odd(spark)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (7, 1, 0), (9, 0, 1), (None, 1, 1), (99, 0, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    n = df.count()
+    for operator in (passages.quality, stringkernel.toxicity):
+        for known in (labels, none):
+            got = operator(df, known).collect()
+            assert len(got) == n and all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) for r in got)
+        assert operator(df.limit(0), labels).count() == 0
+    got = {(r["doc_id"], r["lang_pred"]) for r in gru.languages(df).collect()}
+    assert {(3, "und"), (4, "und"), (5, "und"), (10, "und")} <= got and (6, "und") not in got
+    assert {r["lang_pred"] for r in gru.languages(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert gru.languages(df.limit(0)).count() == 0
+
+
+def test_mixing_of_odd_rows(spark):
+    df = odd(spark)
+    labelled = df.selectExpr("doc_id", "lang as domain")
+    rated = mixing.rates(df, labelled, {"en": 0.5, "de": 0.5, "xx": 1.0}, keep_all=True)
+    assert rated.count() == df.count() and rated.where("rate < 1").count() == 0
+    more = mixing.mixed(df, rated)
+    assert more.columns == df.columns and more.count() >= df.count()
+    assert more.distinct().count() == df.distinct().count()
+    plain = mixing.rates(df, labelled.limit(0), {"en": 1.0})
+    assert [r["rate"] for r in plain.collect()] == [1.0] * df.count()
+    assert mixing.rates(df.limit(0), labelled, {"en": 1.0}).count() == 0
+
+
+def test_rates_follow_projected_gradient():
+    draw = np.random.default_rng(6)
+    p = draw.dirichlet([0.3, 0.3, 0.3], 200)
+    n = draw.integers(1, 50, 200).astype(float)
+    mass = n @ p
+    target = np.array([0.6, 0.3, 0.1]) * n.sum()
+    r, steps = np.ones(200), []
+    for _ in range(200):
+        gap = (r * n) @ p - target
+        steps.append(gap / mass)
+        r = np.maximum(0, r - p @ (gap / mass))
+    assert np.allclose(mixing.rates_of(p, np.array(steps), 0.0), r)
+    assert np.allclose((r * n) @ p, target, rtol=0.02)
