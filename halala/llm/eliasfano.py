@@ -20,9 +20,11 @@ longer than a block has a block of its own.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -95,64 +97,126 @@ class EliasFano:
 class Encoder:
     """Ids of texts by a tokenizer file, encoding each distinct piece of a slice once.
 
-    The tokenizer's pattern always starts a new piece at a single space between two characters that
-    are not white space, so texts are cut there before the library sees them, and the ids of the
-    pieces, one after the other, are the ids of the text.
+    The tokenizer never merges across the pieces that its pattern finds, so a text may be cut between
+    pieces before the library sees it: the ids of the parts, one after the other, are its ids.
     """
 
-    KEPT = 1 << 18  # pieces remembered between slices
+    KEPT = 1 << 21  # pieces remembered between slices
+    AT_ONCE = 1 << 16  # bytes of new pieces that the library encodes at once
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.number: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
-        before, after = np.ones(256, bool), np.ones(256, bool)
-        before[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = False
-        after[:] = before
-        # Bytes that may end or begin a white-space character beyond ASCII: not cut there.
-        before[[0x80, *range(0x81, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF, 0x85]] = False
-        after[[0xC2, 0xE1, 0xE2, 0xE3]] = False
-        self.before, self.after = before, after
+        self._forget()
+        self.line = self.library.encode("\n", add_special_tokens=False).ids[0]
+        self.white = np.zeros(256, bool)
+        self.white[[*range(0x09, 0x0E), 0x20]] = True
+        # First bytes of the white-space characters beyond ASCII.
+        self.wide = np.zeros(256, bool)
+        self.wide[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+        self.letter, self.mark = np.zeros(256, bool), np.zeros(256, bool)
+        self.letter[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+        self.mark[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # of known pieces, sorted
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # their ids in `flat`
+        self.flat = np.zeros(0, np.uint32)
 
     def _cuts(self, data: np.ndarray) -> np.ndarray:
-        space = np.flatnonzero(data[1:-1] == 0x20) + 1
-        good = self.before[data[space - 1]] & self.after[data[space + 1]]
-        return space[good]
+        """Places where the tokenizer's pattern starts a new piece, whatever else the text holds.
+
+        Namely before white space that follows another character; behind a single line end or tab
+        between others; and between a letter and a mark, in either order, apostrophes excepted. Only
+        ASCII and Latin-1 letters are taken for letters; where a byte leaves doubt, nothing is cut.
+        """
+        if len(data) < 4:
+            return np.zeros(0, np.int64)
+        white, beyond = self.white[data], data >= 0x80
+        latin = np.zeros(len(data), bool)  # first byte of a Latin-1 letter
+        latin[:-1] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        begins = self.letter[data] | latin
+        ends = self.letter[data]
+        ends[1:] |= latin[:-1]
+        solid = ~white & ~beyond | ends  # the last byte of something that is no white space
+        plain = ~white & ~beyond | latin  # the first byte of it
+        mark = self.mark[data]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = white[1:] & solid[:-1] | ends[:-1] & mark[1:] | mark[:-1] & begins[1:]
+        cut[2:] |= white[1:-1] & (data[1:-1] != 0x20) & solid[:-2] & plain[2:]
+        return np.flatnonzero(cut)
+
+    def _ids(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces data[at:end], where each has its first and how many.
+
+        A line end is a token of its own between a piece without white space inside and the next one,
+        so such pieces are encoded as lines of one text and told apart by that token.
+        """
+        odd = np.concatenate([[0], np.cumsum(self.white[data] | self.wide[data])])
+        spaced = data[at] == 0x20
+        plain = (odd[ends] - odd[at + spaced] == 0) & (ends - at > spaced)
+        sizes = np.zeros(len(at), np.int64)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        found = []
+        some = np.flatnonzero(plain)
+        parts = np.cumsum(ends[some] - at[some] + 1) // self.AT_ONCE
+        for part in np.split(some, np.flatnonzero(np.diff(parts)) + 1) if len(some) else []:
+            text = b"\n".join(data[a:b].tobytes() for a, b in zip(at[part], ends[part], strict=True)).decode()
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            line = ids == self.line
+            sizes[part] = np.diff(np.concatenate([[-1], np.flatnonzero(line), [len(ids)]])) - 1
+            found.append(ids[~line])
+        for i in np.flatnonzero(~plain):
+            ids = self.library.encode(data[at[i] : ends[i]].tobytes().decode(), add_special_tokens=False).ids
+            sizes[i] = len(ids)
+            found.append(np.array(ids, np.uint32))
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        first = np.zeros(len(at), np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat, first, sizes
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> None:
+        """Encode new pieces, given with their sorted hashes."""
+        flat, first, sizes = self._ids(data, at, ends)
+        place = np.searchsorted(self.hashes, hashes)
+        news = ((self.hashes, hashes), (self.first, first + len(self.flat)), (self.size, sizes))
+        self.hashes, self.first, self.size = (np.insert(old, place, new) for old, new in news)
+        self.flat = np.concatenate([self.flat, flat])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and the number of ids of each row."""
         texts = as_texts(column)
         data, offsets = texts.data, texts.offsets
-        cuts = np.union1d(self._cuts(data), offsets[:-1]) if len(data) > 2 else np.unique(offsets[:-1])
-        cuts = cuts[cuts < len(data)]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[self._cuts(data)] = True
+        cut[offsets] = True
+        cuts = np.flatnonzero(cut[:-1])
         ends = np.append(cuts[1:], len(data))
-        hashes, back = np.unique(FIRST.bytes(data, cuts, ends), return_inverse=True)
-        if len(self.ids) > self.KEPT:
-            self.number, self.ids = {}, []
-        where = np.fromiter((self.number.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
-        new = np.flatnonzero(where < 0)
-        if len(new):
-            example = np.zeros(len(hashes), np.int64)
-            example[back] = np.arange(len(cuts))
-            raw = data.tobytes()
-            strings = [raw[a:b].decode() for a, b in zip(cuts[example[new]], ends[example[new]], strict=True)]
-            for h, place, coded in zip(hashes[new].tolist(), new, self.library.encode_batch(strings, add_special_tokens=False), strict=True):
-                where[place] = self.number[h] = len(self.ids)
-                self.ids.append(np.array(coded.ids, np.uint32))
-        own = [self.ids[i] for i in where.tolist()]
-        sizes = np.array([len(x) for x in own], np.int64)
-        first = np.cumsum(sizes) - sizes
-        flat = np.concatenate(own) if own else np.zeros(0, np.uint32)
-        each = sizes[back]
+        hashes, example, back = np.unique(FIRST.bytes(data, cuts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) > self.KEPT:
+            self._forget()
+        place = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool) if not len(self.hashes) else self.hashes[np.minimum(place, len(self.hashes) - 1)] != hashes
+        if new.any():
+            at = example[new]
+            self._learn(hashes[new], data, cuts[at], ends[at])
+        piece = np.searchsorted(self.hashes, hashes)[back]
+        each = self.size[piece]
         to = np.cumsum(each)
-        ids = flat[np.repeat(first[back] - (to - each), each) + np.arange(int(to[-1]) if len(to) else 0)]
+        ids = self.flat[np.repeat(self.first[piece] - (to - each), each) + np.arange(int(to[-1]) if len(to) else 0)]
         totals = np.concatenate([[0], to])
         return ids, np.diff(totals[np.searchsorted(cuts, offsets)])
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """One encoder per worker process, which keeps its pieces from task to task."""
+    return Encoder(path)
+
+
 def _coded(values: list[EliasFano], bases: list[int]) -> pa.StructArray:
     rows = [{"n": v.n, "low_bits": v.low_bits, "low": v.low, "high": v.high, "samples": v.samples, "base": b} for v, b in zip(values, bases, strict=True)]
     kind = pa.struct([("n", pa.int32()), ("low_bits", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("samples", pa.binary()), ("base", pa.int64())])
@@ -162,7 +226,7 @@ def _coded(values: list[EliasFano], bases: list[int]) -> pa.StructArray:
 def _blocks(path: str, end: int, block_ids: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         width = 2 if encoder.library.get_vocab_size() <= 1 << 16 else 4
         state = {"block": 0, "base": 0, "first": 0}
         ids: list[np.ndarray] = []
