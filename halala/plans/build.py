@@ -3,50 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from halala.functions.keys import date_key
 from halala.plans import dimensions, facts, fx, staging
 from halala.quality import payloads
 from halala.quality.gates import enforce, gate_report
-from halala.quality.ledger import Book, default_book, ledger_violations
+from halala.quality.ledger import Book, ledger_violations, row_count_violations
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED
-from halala.sources.landing import delivered_lines, document_files, ledger_files
-from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse, month_of
+from halala.sources.landing import document_files, ledger_deliveries, ledger_rows
+from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse, create_raw_tables, month_of
 from halala.streaming.late_rates import changed_months, changed_probes
-from halala.streaming.load_once import load_feed
+from halala.streaming.load_once import load_feed, raw_rows
 
 INTERMEDIATE = "intermediate"
 LEDGER = "stg_ledger_transactions"
 
 
-def load_landing(warehouse: Warehouse, landing: str) -> None:
-    """Load what is new in the landing folder into RAW."""
-    feeds = [(folder, table, document_files) for folder, table in DOCUMENT_FEEDS.items()]
-    feeds.append((*LEDGER_FEED, ledger_files))
-    for folder, table, read_files in feeds:
+def load_landing(warehouse: Warehouse, landing: str, book: Book | None = None, expected: DataFrame | None = None, rebase: bool = False) -> None:
+    """Check what is new in the landing folder and load it into RAW.
+
+    A batch with an incomplete or inconsistent delivery is refused whole; its violations are kept in
+    the table checks/violations. Ledger lines are checked against `book`, and their number per file
+    against `expected` (file_name, rows), where these are given. With `rebase`, rate documents in the
+    legacy base are restated to USD before they are stored; else the rates plan does that later.
+    """
+    spark, keep = warehouse.spark, warehouse.path("checks", "violations")
+
+    def rates(name: str, symbols: list[str]):
+        return lambda docs: payloads.refuse(payloads.rate_violations(docs, symbols), keep=keep, check=name)
+
+    def lines(rows: DataFrame) -> None:
+        if expected is not None:
+            own = expected.join(rows.select("file_name").distinct(), "file_name", "left_semi")
+            counted = row_count_violations(rows, own)
+            said = F.concat(F.col("expected").cast("string"), F.lit(" rows expected, found "), F.col("found").cast("string"))
+            payloads.refuse(counted.select("file_name", F.lit("row_count").alias("rule"), said.alias("subject")), keep=keep, check="internal_ledger")
+        if book is not None:
+            payloads.refuse(ledger_violations(rows, book), keep=keep, check="internal_ledger")
+
+    create_raw_tables(warehouse)
+    checks = {
+        "exchange_rates": (rates("exchange_rates", payloads.FX_SYMBOLS), fx.rebased_legacy if rebase else None),
+        "metal_prices": (rates("metal_prices", payloads.METAL_SYMBOLS), None),
+        "equity_prices": (lambda docs: payloads.refuse(payloads.equity_violations(docs, payloads.EQUITY_TICKERS), keep=keep, check="equity_prices"), None),
+    }
+    feeds = [(folder, table, document_files, *checks[folder]) for folder, table in DOCUMENT_FEEDS.items()]
+    feeds.append((*LEDGER_FEED, ledger_deliveries, lines, ledger_rows))
+    for folder, table, read_files, check, prepare in feeds:
         load_feed(
-            warehouse.spark,
+            spark,
             read_files,
             f"{landing.rstrip('/')}/{folder}",
             warehouse.path(RAW, table),
             warehouse.path("checkpoints", table),
+            check=check,
+            prepare=prepare,
         )
 
 
-def check_landing(spark: SparkSession, landing: str, book: Book | None = None) -> None:
-    """Refuse a landing folder that holds incomplete or inconsistent deliveries."""
-    feed = f"{landing.rstrip('/')}/{{}}".format
-
-    def documents(folder: str) -> DataFrame:
-        return document_files(spark.read, feed(folder))
-
-    payloads.refuse(payloads.rate_violations(documents("exchange_rates"), payloads.FX_SYMBOLS))
-    payloads.refuse(payloads.rate_violations(documents("metal_prices"), payloads.METAL_SYMBOLS))
-    payloads.refuse(payloads.equity_violations(documents("equity_prices"), payloads.EQUITY_TICKERS))
-    lines = delivered_lines(spark.read, feed(LEDGER_FEED[0]))
-    payloads.refuse(ledger_violations(lines, book or default_book(spark)))
-
-
 def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool = True) -> dict[str, DataFrame]:
     """All thirteen tables from the RAW tables; a failed gate stops what comes after it.
 
@@ -103,16 +118,24 @@ def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool =
 
     for name in built:
         if not name.startswith("int_"):
-            warehouse.publish(STAGING if name.startswith("stg_") else ANALYTICS, name)
+            warehouse.publish(STAGING if name.startswith("stg_") else ANALYTICS, name, built[name])
     return built
 
 
-def run_all(spark: SparkSession, landing: str, root: str, gates: bool = True) -> dict[str, DataFrame]:
-    """Load the landing folder and rebuild every table under `root`."""
+def run_all(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    gates: bool = True,
+    book: Book | None = None,
+    expected: DataFrame | None = None,
+    rebase: bool = False,
+) -> dict[str, DataFrame]:
+    """Check and load the landing folder, and rebuild every table under `root`."""
     warehouse = Warehouse(spark, root)
-    load_landing(warehouse, landing)
+    load_landing(warehouse, landing, book, expected, rebase)
     tables = [*DOCUMENT_FEEDS.values(), LEDGER_FEED[1]]
-    return build_tables(warehouse, {t: spark.read.parquet(warehouse.path(RAW, t)) for t in tables}, gates)
+    return build_tables(warehouse, {t: raw_rows(spark, warehouse.path(RAW, t)) for t in tables}, gates)
 
 
 def refresh_after_late_rates(warehouse: Warehouse, built: dict[str, DataFrame], new_rates: DataFrame) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from halala.functions.amounts import ratio
-from halala.functions.documents import document, node_at
+from halala.functions.documents import document, node_at, text_at
 from halala.operators.pick import prefer_by
 
 # Fixed values
@@ -22,6 +22,13 @@ def rebased(rates: Column, pivot: str = PIVOT) -> Column:
     return F.transform_values(rates, lambda _, rate: F.round(rate / F.element_at(rates, F.lit(pivot)), 6))
 
 
+def rebased_legacy(fx_rates_raw: DataFrame) -> DataFrame:
+    """RAW rate documents; those in the legacy base are restated, all others stay as delivered."""
+    legacy = F.coalesce(text_at(document("raw"), "base") == LEGACY_BASE, F.lit(False))
+    columns = fx_rates_raw.columns
+    return rebased_documents(fx_rates_raw.where(legacy)).select(*columns).unionByName(fx_rates_raw.where(~legacy))
+
+
 def rebased_documents(fx_rates_raw: DataFrame) -> DataFrame:
     """Rate documents restated to a USD base; all their other members stay as they are."""
     docs = fx_rates_raw.select("file_name", "loaded_at", document("raw").alias("doc"))

@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from halala.functions.amounts import exact_product
 from halala.operators.lookup import attach
 from halala.quality.gates import SIDES
 from halala.schemas import LEDGER_FILE_COLUMNS
 
-# The book's clients (C001 is "Client A", C002 "Client B", ...), portfolios, and the
-# trading currency of each ticker.
-CLIENTS = [(f"C{i:03d}", f"Client {chr(64 + i)}") for i in range(1, 21)]
-PORTFOLIOS = [(f"P{i:03d}",) for i in range(1, 11)]
-INSTRUMENTS = [(ticker, "USD") for ticker in ["VOD", "SAP", "IBM", "XAU", "XAG", "XPT", "GOOGL", "MSFT"]]
-
-HALF_CENT = 0.005
+HALF_CENT = Decimal("0.005")
 
 
 @dataclass(frozen=True)
@@ -29,14 +25,6 @@ class Book:
     instruments: DataFrame  # ticker, currency
 
 
-def default_book(spark: SparkSession) -> Book:
-    return Book(
-        clients=spark.createDataFrame(CLIENTS, "client_id string, client_name string"),
-        portfolios=spark.createDataFrame(PORTFOLIOS, "portfolio_id string"),
-        instruments=spark.createDataFrame(INSTRUMENTS, "ticker string, currency string"),
-    )
-
-
 def _differs(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
@@ -52,13 +40,17 @@ def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
     rows = attach(rows, portfolios, "portfolio_id", "_portfolio", ["_known_portfolio"])
     rows = attach(rows, instruments, "ticker", "_ticker", ["_currency", "_known_ticker"])
 
-    amount = {c: F.col(c).try_cast("decimal(18,4)") for c in ["quantity", "price", "fee_amount", "total"]}
-    gross = amount["quantity"] * amount["price"]
+    amount = {c: F.col(c).try_cast("decimal(38,4)") for c in ["quantity", "price", "fee_amount"]}
+    delivered = F.col("total").try_cast("decimal(38,8)")
+    gross = exact_product(amount["quantity"], amount["price"], strict=False)
     side = F.col("transaction_type")
     total = F.when(side == "BUY", gross + amount["fee_amount"]).when(side == "SELL", amount["fee_amount"] - gross)
+    # A total that does not parse, cannot be computed or has parts of a cent does not match.
+    matches = (F.abs(total - delivered) <= HALF_CENT) & (delivered == F.round(delivered, 2))
 
     def not_positive(column: str) -> Column:
-        return ~F.coalesce(amount[column] > 0, F.lit(False))
+        number = F.col(column).try_cast("double")
+        return ~F.coalesce((number > 0) & ~F.isnan(number), F.lit(False))
 
     broken = {
         **{f"missing_{c}": F.coalesce(F.col(c), F.lit("")) == "" for c in LEDGER_FILE_COLUMNS},
@@ -69,7 +61,7 @@ def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
         "currency_mismatch": F.col("_known_ticker").isNotNull() & _differs(F.col("currency"), F.col("_currency")),
         "unknown_type": ~F.coalesce(F.col("transaction_type").isin(SIDES), F.lit(False)),
         "not_positive": not_positive("quantity") | not_positive("price") | not_positive("fee_amount"),
-        "total_mismatch": F.abs(total - amount["total"]) > HALF_CENT,
+        "total_mismatch": F.coalesce(side.isin(SIDES), F.lit(False)) & ~F.coalesce(matches, F.lit(False)),
     }
     rules = F.array(*[F.when(condition, F.lit(name)) for name, condition in broken.items()])
     return rows.select("file_name", "transaction_id", F.explode(F.array_compact(rules)).alias("rule"))

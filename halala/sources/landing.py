@@ -62,14 +62,24 @@ def ledger_files(reader, paths) -> DataFrame:
     Quotes are doubled inside quoted values. A line break inside a value also fails the load, so
     that a large batch file can still be split over tasks.
     """
+    return ledger_rows(ledger_deliveries(reader, paths))
+
+
+def ledger_deliveries(reader, paths) -> DataFrame:
+    """All columns of the ledger lines as delivered, with the columns that a load adds."""
     return _ledger_text(reader, paths).select(
-        *LEDGER_KEPT_COLUMNS,
+        "*",
         batch_id_of(F.col("_metadata.file_path")).alias("batch_id"),
         landed_name().alias("file_name"),
         F.current_timestamp().alias("_loaded_at"),
     )
 
 
+def ledger_rows(deliveries: DataFrame) -> DataFrame:
+    """RAW rows of delivered ledger lines."""
+    return deliveries.select(*LEDGER_KEPT_COLUMNS, "batch_id", "file_name", "_loaded_at")
+
+
 def sample_documents(spark, folder: str) -> DataFrame:
     """Replay of a folder of payloads in name order; an empty folder is an error."""
     docs = document_files(spark.read, folder)

@@ -16,6 +16,8 @@ DEFAULT_LAYER = "main"
 
 # The ledger and its fact are stored by month, so a late rate rewrites only the months it reaches.
 MONTH = "month_key"
+# RAW tables hold each load in a folder of its own.
+BATCH = "load_batch"
 
 
 def layer_name(custom: str | None) -> str:
@@ -47,16 +49,20 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{layer_name(layer)}/{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table)).drop(MONTH)
+        return self.spark.read.parquet(self.path(layer, table)).drop(MONTH, BATCH)
 
     def rebuild(self, layer: str, table: str, rows: DataFrame) -> DataFrame:
         """Full rebuild; no plan reads the table it writes."""
         rows.write.mode("overwrite").parquet(self.path(layer, table))
-        return self.read(layer, table)
+        return self._written(layer, table, rows)
+
+    def _written(self, layer: str, table: str, rows: DataFrame) -> DataFrame:
+        """A table just written: its schema is known, also when it has no rows and so no files."""
+        return self.spark.read.schema(rows.schema).parquet(self.path(layer, table)).drop(MONTH)
 
     def rebuild_by_month(self, layer: str, table: str, rows: DataFrame, month: Column) -> DataFrame:
         self._by_month(rows, month).write.mode("overwrite").partitionBy(MONTH).parquet(self.path(layer, table))
-        return self.read(layer, table)
+        return self._written(layer, table, rows)
 
     def replace_months(self, layer: str, table: str, rows: DataFrame, month: Column) -> None:
         """Overwrite only the months that occur in `rows`, which must hold them whole."""
@@ -76,14 +82,15 @@ class Warehouse:
         empty = self.spark.createDataFrame([], schema)
         empty.write.mode("ignore").parquet(self.path(layer, table))
 
-    def publish(self, layer: str, table: str) -> str:
+    def publish(self, layer: str, table: str, rows: DataFrame | None = None) -> str:
         """Temporary view over a table, named <layer>_<table>, for SQL users."""
         view = f"{layer_name(layer)}_{table}"
-        self.read(layer, table).createOrReplaceTempView(view)
+        (self.read(layer, table) if rows is None else rows).createOrReplaceTempView(view)
         return view
 
 
 def create_raw_tables(warehouse: Warehouse) -> None:
+    """RAW tables without rows, so that a feed that never delivered reads as empty."""
     for table in DOCUMENT_FEEDS.values():
-        warehouse.create_if_missing(RAW, table, RAW_DOCUMENT)
-    warehouse.create_if_missing(RAW, LEDGER_FEED[1], RAW_LEDGER)
+        warehouse.create_if_missing(RAW, f"{table}/{BATCH}=created", RAW_DOCUMENT)
+    warehouse.create_if_missing(RAW, f"{LEDGER_FEED[1]}/{BATCH}=created", RAW_LEDGER)

@@ -1,26 +1,49 @@
 """Every landed file is loaded into RAW at most once.
 
-`load_feed` is the default: a streaming file source whose checkpoint remembers the files, and a
-file sink that commits a batch whole. A run takes what is new and ends. Re-delivery under a known
-name is ignored, also when the content changed.
-
-`load_listed` loads exactly the files it is given, without a stream, skipping those that the RAW
-table already holds.
+`load_feed` is the default: a streaming file source whose checkpoint remembers the files; a run takes
+what is new and ends. `load_listed` loads exactly the files it is given. Both may load into the same
+RAW table: each batch is a folder of its own below the table, and a file whose name the table holds
+already is left out, also when the content changed or the checkpoint is new.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from halala.sources.warehouse import BATCH
+
 # The file source forgets files older than this against the newest one, and would skip a file
 # that arrives late with an old modification time.
 _REMEMBER = "36500d"
 
 
+def raw_rows(spark: SparkSession, target: str) -> DataFrame | None:
+    """Rows of a RAW table, or None before its first batch."""
+    try:
+        return spark.read.parquet(target).drop(BATCH)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _not_loaded(rows: DataFrame, target: str, slot: str = "") -> DataFrame:
+    """Rows of files that no other batch of the table holds."""
+    spark = rows.sparkSession
+    if raw_rows(spark, target) is None:
+        return rows
+    # A table without batches has no such column.
+    stored = spark.read.parquet(target)
+    batch = F.col(BATCH).cast("string") if BATCH in stored.columns else F.lit("")
+    known = stored.where(~batch.eqNullSafe(F.lit(slot))).select("file_name").distinct()
+    return rows.join(known, "file_name", "left_anti").select(*rows.columns)
+
+
 def load_feed(
     spark: SparkSession,
     read_files: Callable[..., DataFrame],
@@ -28,17 +51,44 @@ def load_feed(
     target: str,
     checkpoint: str,
     files_per_batch: int = 10_000,
+    check: Callable[[DataFrame], None] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Load the new files of one landing folder into the RAW table at `target`."""
+    """Load the new files of one landing folder into the RAW table at `target`.
+
+    `check` sees the rows of a batch's new files and raises to refuse the batch, of which nothing is
+    stored then; `prepare` turns them into RAW rows. A batch that died half-way is repeated into the
+    folder it had, which is named after the checkpoint and the batch.
+    """
+
+    refused: list[Exception] = []
+
+    def commit(batch: DataFrame, number: int) -> None:
+        name = batch.sparkSession.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        slot = f"{name}-{number}"
+        fresh = _not_loaded(batch, target, slot)
+        try:
+            if check:
+                check(fresh)
+        except Exception as reason:
+            refused.append(reason)
+            raise
+        (prepare(fresh) if prepare else fresh).write.mode("overwrite").parquet(f"{target}/{BATCH}={slot}")
+
     reader = spark.readStream.option("maxFileAge", _REMEMBER).option("maxFilesPerTrigger", files_per_batch)
     query = (
         read_files(reader, landing)
-        .writeStream.format("parquet")
+        .writeStream.foreachBatch(commit)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if refused:
+            raise refused[0] from None
+        raise
 
 
 def load_listed(
@@ -51,16 +101,10 @@ def load_listed(
     listed = spark.createDataFrame([(p,) for p in paths], "path string").withColumn(
         "file_name", F.substring_index("path", "/", -2)
     )
-    try:
-        known = spark.read.parquet(target).select("file_name").distinct()
-        listed = listed.join(known, "file_name", "left_anti")
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
     # no more names than the caller passed in
-    fresh = sorted(row["path"] for row in listed.dropDuplicates(["file_name"]).collect())
+    fresh = sorted(row["path"] for row in _not_loaded(listed, target).dropDuplicates(["file_name"]).collect())
     if fresh:
-        read_files(spark.read, fresh).write.mode("append").parquet(target)
+        read_files(spark.read, fresh).write.parquet(f"{target}/{BATCH}=listed-{uuid.uuid4().hex}")
     return fresh
 
 

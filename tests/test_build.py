@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from halala.operators.pick import latest_by
-from halala.plans.build import build_tables, check_landing, refresh_after_late_rates, run_all
+from halala.plans.build import build_tables, load_landing, refresh_after_late_rates, run_all
 from halala.quality.gates import GateFailure
 from halala.quality.payloads import PayloadError
 from halala.sources.warehouse import ANALYTICS, MONTH, Warehouse, month_of
 from halala.streaming.late_rates import changed_probes
 from halala.streaming.latest_copy import latest_copy_merge
-from tests.fixtures import DAY0, land_two_weeks, ledger_row, write_ledger
+from tests.fixtures import DAY0, book, land_two_weeks, ledger_row, metals, write_ledger, write_text
 
 
 @pytest.fixture(scope="module")
@@ -52,14 +52,52 @@ def test_eur_day_is_rebased(built):
     assert rates["SAR"] == 1.0
 
 
-def test_landing_checks(spark, built, tmp_path):
-    work, _ = built
-    check_landing(spark, f"{work}/landing")
+def test_refused_deliveries_stay_outside(spark, tmp_path, rows):
+    """Every violation is kept, the batch is not loaded, and a corrected delivery is."""
     land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
-    bad = [ledger_row(9, DAY0, currency="EUR")]
-    write_ledger(f"{tmp_path}/landing/internal_ledger/20260320T090000.csv", bad)
+    ledger = f"{tmp_path}/landing/internal_ledger"
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    load_landing(warehouse, f"{tmp_path}/landing", book(spark))
+    assert warehouse.read("raw", "ledger_transactions_raw").count() == 15
+    write_ledger(f"{ledger}/20260320T090000.csv", [ledger_row(n, DAY0, currency="EUR") for n in range(30)])
     with pytest.raises(PayloadError, match="currency_mismatch"):
-        check_landing(spark, f"{tmp_path}/landing")
+        load_landing(warehouse, f"{tmp_path}/landing", book(spark))
+    assert warehouse.read("raw", "ledger_transactions_raw").count() == 15
+    kept = warehouse.read("checks", "violations")
+    assert rows(kept.groupBy("check", "file_name", "rule").count()) == [
+        ("internal_ledger", "internal_ledger/20260320T090000.csv", "currency_mismatch", 30)
+    ]
+    other = Warehouse(spark, f"{tmp_path}/other")
+    expected = spark.createDataFrame([("internal_ledger/20260320T090000.csv", 31)], "file_name string, rows bigint")
+    with pytest.raises(PayloadError, match="31 rows expected, found 30"):
+        load_landing(other, f"{tmp_path}/landing", expected=expected)
+
+
+def test_incomplete_documents_are_refused(spark, tmp_path):
+    land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
+    write_text(f"{tmp_path}/landing/metal_prices/2026-03-20.json", metals(DAY0, XAU=4000))
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    with pytest.raises(PayloadError, match="missing_or_invalid_rate"):
+        load_landing(warehouse, f"{tmp_path}/landing")
+    assert warehouse.read("raw", "metal_prices_raw").count() == 0
+    assert warehouse.read("checks", "violations").select("check", "subject").count() == 3
+
+
+def test_legacy_rates_are_restated_at_ingest(spark, tmp_path, rows):
+    land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    load_landing(warehouse, f"{tmp_path}/landing", rebase=True)
+    bases = warehouse.read("raw", "fx_rates_raw").select(F.get_json_object("raw", "$.base").alias("base"))
+    assert rows(bases.groupBy("base").count()) == [("USD", 14)]
+
+
+def test_build_with_empty_feeds(spark, tmp_path):
+    for folder in ("exchange_rates", "metal_prices", "equity_prices", "internal_ledger"):
+        (tmp_path / "landing" / folder).mkdir(parents=True)
+    built = run_all(spark, f"{tmp_path}/landing", f"{tmp_path}/warehouse", gates=False)
+    assert {n: df.count() for n, df in built.items() if n.startswith(("stg_", "fact_"))} == dict.fromkeys(
+        [n for n in built if n.startswith(("stg_", "fact_"))], 0
+    )
 
 
 def test_views_are_published(spark, built):
@@ -121,8 +159,9 @@ def merged(spark, work):
     return spark.read.parquet(f"{work}/latest").select("k", "day", "seq", "v", "month")
 
 
-def merger(work):
-    return latest_copy_merge(f"{work}/latest", f"{work}/slots", ["k", "day"], ["seq", "v"], "month")
+def merger(work, checkpoint="c1"):
+    write_text(f"{work}/{checkpoint}/metadata", f'{{"id":"{checkpoint}"}}')
+    return latest_copy_merge(f"{work}/latest", f"{work}/slots", ["k", "day"], ["seq", "v"], "month", f"{work}/{checkpoint}")
 
 
 def test_incremental_merge_equals_latest_copy(spark, tmp_path, rows):
@@ -153,6 +192,13 @@ def test_interrupted_publish_is_repeated_from_the_slot(spark, tmp_path, rows):
     assert rows(merged(spark, tmp_path)) == wanted
 
 
+def test_a_new_checkpoint_starts_over(spark, tmp_path, rows):
+    """Batch 0 of another checkpoint is a batch of its own."""
+    merger(tmp_path)(spark.createDataFrame([("a", 20260101, 1, "x", 202601)], COPIES), 0)
+    merger(tmp_path, "c2")(spark.createDataFrame([("new", 20260101, 1, "y", 202601)], COPIES), 0)
+    assert rows(merged(spark, tmp_path), "k") == [("a",), ("new",)]
+
+
 def test_second_run_changes_nothing(spark, built, rows):
     # last, because it replaces the files behind `built`
     work, tables = built

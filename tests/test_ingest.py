@@ -9,7 +9,7 @@ from halala.plans.staging import stg_ledger_transactions
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FILE_COLUMNS, LEDGER_KEPT_COLUMNS, RAW_DOCUMENT
 from halala.sources.landing import document_files, ledger_files, sample_documents
 from halala.sources.warehouse import RAW, Warehouse, create_raw_tables, layer_name
-from halala.streaming.load_once import load_feed, load_history, load_listed
+from halala.streaming.load_once import load_feed, load_history, load_listed, raw_rows
 from tests.fixtures import DAY0, fx, ledger_row, write_ledger, write_text
 
 
@@ -20,7 +20,7 @@ def feed(spark, tmp_path):
     def load(kind, folder):
         target, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
         load_feed(spark, kind, str(tmp_path / folder), target, checkpoint)
-        return spark.read.parquet(target)
+        return raw_rows(spark, target)
 
     return load
 
@@ -120,10 +120,42 @@ def test_listed_files_load_once(spark, tmp_path, rows):
     assert load_listed(spark, ledger_files, paths[:2], target) == paths[:2]
     assert load_listed(spark, ledger_files, paths, target) == paths[2:]
     assert load_listed(spark, ledger_files, paths, target) == []
-    history = load_history(spark.read.parquet(target), "t", "_loaded_at")
+    history = load_history(raw_rows(spark, target), "t", "_loaded_at")
     assert rows(history, "file_name", "row_count") == [(f"internal_ledger/{n}.csv", i + 1) for i, n in enumerate("abc")]
 
 
+def test_stream_and_list_share_a_table(spark, tmp_path, rows):
+    """Neither form hides or repeats what the other has loaded, whatever the order and checkpoint."""
+    folder, target = f"{tmp_path}/internal_ledger", f"{tmp_path}/raw"
+    write_ledger(f"{folder}/a.csv", [ledger_row(n, DAY0) for n in range(2)])
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c1")
+    write_ledger(f"{folder}/b.csv", [ledger_row(n, DAY0) for n in range(3)])
+    paths = [f"{folder}/a.csv", f"{folder}/b.csv"]
+    assert load_listed(spark, ledger_files, paths, target) == paths[1:]
+    assert load_listed(spark, ledger_files, paths, target) == []
+    write_ledger(f"{folder}/c.csv", [ledger_row(9, DAY0)])
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c1")
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c2")
+    history = load_history(raw_rows(spark, target), "t", "_loaded_at")
+    assert rows(history, "file_name", "row_count") == [(f"internal_ledger/{n}.csv", c) for n, c in (("a", 2), ("b", 3), ("c", 1))]
+
+
+def test_a_refused_batch_leaves_the_table_as_it_was(spark, tmp_path):
+    folder, target = f"{tmp_path}/internal_ledger", f"{tmp_path}/raw"
+    write_ledger(f"{folder}/a.csv", [ledger_row(1, DAY0)])
+
+    def check(batch):
+        if batch.where("client_id = 'C004'").count():
+            raise ValueError("no such client")
+
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c", check=check)
+    write_ledger(f"{folder}/b.csv", [ledger_row(3, DAY0)])
+    for _ in range(2):
+        with pytest.raises(ValueError, match="no such client"):
+            load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c", check=check)
+        assert raw_rows(spark, target).count() == 1
+
+
 def test_sample_replay_is_in_name_order(spark, tmp_path):
     for name in ["b", "a", "c"]:
         write_text(f"{tmp_path}/s/{name}.json", "{}")
@@ -139,9 +171,9 @@ def test_raw_tables_are_created_once(spark, tmp_path):
     create_raw_tables(warehouse)
     table = next(iter(DOCUMENT_FEEDS.values()))
     assert warehouse.read(RAW, table).count() == 0
-    spark.createDataFrame([("{}", "a.json", dt.datetime(2026, 1, 1))], warehouse.read(RAW, table).schema).write.mode(
-        "append"
-    ).parquet(warehouse.path(RAW, table))
+    spark.createDataFrame([("{}", "a.json", dt.datetime(2026, 1, 1))], warehouse.read(RAW, table).schema).write.parquet(
+        f"{warehouse.path(RAW, table)}/load_batch=one"
+    )
     create_raw_tables(warehouse)
     assert warehouse.read(RAW, table).count() == 1
 

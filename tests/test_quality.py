@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from halala.quality import gates, ledger, payloads
 from halala.schemas import LEDGER_FILE_COLUMNS
-from tests.fixtures import DAY0, TICKERS, bar, equities, fx, ledger_row, metals, raw_documents
+from tests.fixtures import DAY0, TICKERS, bar, book, equities, fx, ledger_row, metals, raw_documents
 
 T1 = dt.datetime(2026, 3, 20)
 
@@ -157,26 +157,33 @@ def lines_frame(spark, lines, file_name="b.csv"):
         ({"currency": "EUR"}, ["currency_mismatch"]),
         ({"transaction_type": "GIFT"}, ["unknown_type"]),
         ({"quantity": "0"}, ["not_positive"]),
-        ({"fee_amount": "none"}, ["not_positive"]),
+        ({"fee_amount": "none"}, ["not_positive", "total_mismatch"]),
         ({"total": "1.00"}, ["total_mismatch"]),
         ({"price": "10.00", "quantity": "3", "fee_amount": "0.50", "total": "30.51"}, ["total_mismatch"]),
         ({"price": "10.00", "quantity": "3", "fee_amount": "0.50", "total": "30.50"}, []),
+        ({"total": "abc"}, ["total_mismatch"]),
+        ({"total": ""}, ["missing_total", "total_mismatch"]),
+        ({"total": "999999999999999.00"}, ["total_mismatch"]),
+        ({"price": "10.00", "quantity": "3", "fee_amount": "0.50", "total": "30.505"}, ["total_mismatch"]),
+        ({"price": "1.00", "quantity": "200000000000000", "fee_amount": "1.00", "total": "200000000000001.00"}, []),
+        ({"price": "2000000000000000.5", "quantity": "3", "fee_amount": "1.00", "total": "6000000000000002.50"}, []),
+        ({"price": "NaN"}, ["not_positive", "total_mismatch"]),
         ({"portfolio_id": ""}, ["missing_portfolio_id", "unknown_portfolio"]),
     ],
 )
 def test_ledger_rules(spark, changes, broken):
     row = ledger_row(1, DAY0, **changes)
-    found = ledger.ledger_violations(lines_frame(spark, [row]), ledger.default_book(spark))
+    found = ledger.ledger_violations(lines_frame(spark, [row]), book(spark))
     assert sorted(r.rule for r in found.collect()) == broken
 
 
 def test_sell_totals_are_negative(spark):
     sell = ledger_row(2, DAY0)
     assert Decimal(sell["total"]) < 0
-    book = ledger.default_book(spark)
-    assert ledger.ledger_violations(lines_frame(spark, [sell]), book).isEmpty()
+    known = book(spark)
+    assert ledger.ledger_violations(lines_frame(spark, [sell]), known).isEmpty()
     positive = sell | {"total": sell["total"].lstrip("-")}
-    assert [r.rule for r in ledger.ledger_violations(lines_frame(spark, [positive]), book).collect()] == ["total_mismatch"]
+    assert [r.rule for r in ledger.ledger_violations(lines_frame(spark, [positive]), known).collect()] == ["total_mismatch"]
 
 
 def test_row_counts(spark, rows):

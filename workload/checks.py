@@ -250,7 +250,10 @@ LEDGER_SQL = """
     SELECT 'T' || l_orderkey || '-' || l_linenumber AS transaction_id, unnest(list_filter([
         CASE WHEN s_nationkey IS NULL OR s_nationkey >= 20 THEN 'unknown_client' END,
         CASE WHEN s_nationkey < 20 AND l_suppkey % 50 = 7 AND l_linenumber = 7 THEN 'client_name_mismatch' END,
-        CASE WHEN l_linenumber > 6 THEN 'unknown_portfolio' END,
+        CASE WHEN l_linenumber = 3 AND l_tax = 0.04 THEN 'missing_portfolio_id' END,
+        CASE WHEN l_linenumber > 6 OR (l_linenumber = 3 AND l_tax = 0.04) THEN 'unknown_portfolio' END,
+        CASE WHEN l_linenumber = 2 AND l_tax = 0.05 THEN 'unknown_type' END,
+        CASE WHEN (l_linenumber = 6 AND l_tax = 0) OR (l_linenumber = 4 AND l_tax IN (0.02, 0.03, 0.06)) THEN 'total_mismatch' END,
         CASE WHEN l_linenumber > 3 AND p_type = 'ECONOMY' THEN 'unknown_ticker' END,
         CASE WHEN (l_linenumber <= 3 OR p_type <> 'ECONOMY') AND NOT (l_returnflag = 'A') THEN 'currency_mismatch' END,
         CASE WHEN (l_linenumber = 6 AND l_tax = 0) OR l_discount = 0 THEN 'not_positive' END],
@@ -272,7 +275,17 @@ def ledger_violations(spark: SparkSession, folder: str) -> DataFrame:
         .unionByName(metals)
         .withColumn("currency", F.lit("USD")),
     )
-    lines = ledger_lines(spark, folder).withColumn("file_name", F.lit("ledger.csv"))
+    line, tax = F.substring_index("transaction_id", "-", -1).cast("int"), F.col("l_tax")
+    wrong = {0.02: F.lit("abc"), 0.03: F.lit("999999999999999.00"), 0.06: F.concat("total", F.lit("1"))}
+    total = F.col("total")
+    for value, text in wrong.items():
+        total = F.when((line == 4) & (tax == value), text).otherwise(total)
+    faults = {
+        "total": total,
+        "portfolio_id": F.when((line == 3) & (tax == 0.04), "").otherwise(F.col("portfolio_id")),
+        "transaction_type": F.when((line == 2) & (tax == 0.05), "GIFT").otherwise(F.col("transaction_type")),
+    }
+    lines = ledger_lines(spark, folder, "l_tax").withColumns(faults).withColumn("file_name", F.lit("ledger.csv"))
     return ledger.ledger_violations(lines, book).drop("file_name")
 
 

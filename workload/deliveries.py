@@ -17,7 +17,7 @@ from halala.session import scratch_path
 from halala.sources.landing import document_files, ledger_files
 from halala.sources.warehouse import ANALYTICS, STAGING, Warehouse, month_of
 from halala.streaming.latest_copy import latest_copy_merge
-from halala.streaming.load_once import load_feed, load_history, load_listed
+from halala.streaming.load_once import load_feed, load_history, load_listed, raw_rows
 from workload.galaxy import rounded_holdings
 from workload.galaxy_sql import with_blocks
 from workload.inputs import (
@@ -59,7 +59,7 @@ def ledger_load_once(spark: SparkSession, folder: str) -> DataFrame:
     land_ledger(spark, folder, f"{work}/landing/internal_ledger")
     for _ in range(2):
         load_feed(spark, ledger_files, f"{work}/landing/internal_ledger", f"{work}/raw", f"{work}/checkpoint")
-    return loaded_per_ticker(spark.read.parquet(f"{work}/raw"))
+    return loaded_per_ticker(raw_rows(spark, f"{work}/raw"))
 
 
 @register("ledger_load_listed", with_blocks(LOADED_SQL))
@@ -72,7 +72,23 @@ def ledger_load_listed(spark: SparkSession, folder: str) -> DataFrame:
     paths = sorted(row["path"] for row in landed.collect())
     load_listed(spark, ledger_files, paths[:1], f"{work}/raw")
     load_listed(spark, ledger_files, paths, f"{work}/raw")
-    return loaded_per_ticker(spark.read.parquet(f"{work}/raw"))
+    return loaded_per_ticker(raw_rows(spark, f"{work}/raw"))
+
+
+@register("load_stream_then_list", with_blocks(LOADED_SQL))
+def load_stream_then_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the ledger by stream, then everything by list, then everything by a stream that starts anew."""
+    work = scratch_path(spark)
+    lines = ledger_lines(spark, folder).select(*LEDGER_FILE_COLUMNS)
+    halves = {"a": F.col("client_id") < "C5", "b": ~(F.col("client_id") < "C5")}
+    for name, half in halves.items():
+        lines.where(half).write.option("header", True).option("escape", '"').csv(f"{work}/{name}/internal_ledger")
+    listed = f"{work}/a/internal_ledger", f"{work}/b/internal_ledger"
+    load_feed(spark, ledger_files, listed[0], f"{work}/raw", f"{work}/checkpoint")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(list(listed)).select("path")
+    load_listed(spark, ledger_files, [row["path"] for row in files.collect()], f"{work}/raw")
+    load_feed(spark, ledger_files, listed[1], f"{work}/raw", f"{work}/checkpoint-2")
+    return loaded_per_ticker(raw_rows(spark, f"{work}/raw"))
 
 
 @register("load_history_rows", "SELECT 'ledger_transactions_raw' AS table_name, count(*) AS row_count FROM lineitem")
@@ -81,7 +97,7 @@ def load_history_rows(spark: SparkSession, folder: str) -> DataFrame:
     work = scratch_path(spark)
     land_ledger(spark, folder, f"{work}/landing/internal_ledger")
     load_feed(spark, ledger_files, f"{work}/landing/internal_ledger", f"{work}/raw", f"{work}/checkpoint")
-    history = load_history(spark.read.parquet(f"{work}/raw"), "ledger_transactions_raw", "_loaded_at")
+    history = load_history(raw_rows(spark, f"{work}/raw"), "ledger_transactions_raw", "_loaded_at")
     return history.groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
 
 
@@ -125,7 +141,7 @@ def documents_load_once(spark: SparkSession, folder: str) -> DataFrame:
     months.select("month", *tickers).repartition("month").write.partitionBy("month").json(landing)
     for _ in range(2):
         load_feed(spark, document_files, landing, f"{work}/raw", f"{work}/checkpoint")
-    prices = stg_equity_prices(spark.read.parquet(f"{work}/raw"))
+    prices = stg_equity_prices(raw_rows(spark, f"{work}/raw"))
     return prices.drop("file_name", "loaded_at", "source")
 
 
@@ -154,22 +170,26 @@ def latest_copy_incremental(spark: SparkSession, folder: str) -> DataFrame:
         "l_extendedprice",
         F.date_format(day, "yyyyMM").cast("int").alias("month_key"),
     )
-    copies.repartition(4).write.parquet(f"{work}/deliveries")
-    stream = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", 2).parquet(f"{work}/deliveries")
+    # two deliveries: odd and even lines; the second is merged with the months it touches
+    deliveries = [copies.where("l_linenumber % 2 = 1"), copies.where("l_linenumber % 2 = 0")]
     merge = latest_copy_merge(
         f"{work}/latest",
         f"{work}/slots",
         keys=["l_partkey", "shipped"],
         newest_first=["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"],
         partition="month_key",
+        checkpoint=f"{work}/checkpoint",
     )
-    query = (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{work}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(f"{work}/deliveries")
+        stream = spark.readStream.schema(copies.schema).parquet(f"{work}/deliveries")
+        query = (
+            stream.writeStream.foreachBatch(merge)
+            .option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.parquet(f"{work}/latest").drop("month_key")
 
 

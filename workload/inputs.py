@@ -26,12 +26,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small file over all cores; a table with enough splits of its own stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def chosen(column: str, names: dict[str, str], other: str | None = None) -> Column:
     picked = F.lit(other)
     for value, name in names.items():
@@ -156,8 +150,8 @@ CURRENCY_OF_FLAG = {"A": "USD", "N": "GBP", "R": "EUR"}
 SIDE_OF_STATUS = {"O": "BUY", "F": "SELL"}
 
 
-def ledger_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One line per lineitem row, with the columns of a ledger file."""
+def ledger_lines(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    """One line per lineitem row, with the columns of a ledger file and `more` of the row's own."""
     line = F.col("l_linenumber")
     number = line.cast("string")
     client = F.col("l_suppkey").cast("string")
@@ -171,7 +165,7 @@ def ledger_lines(spark: SparkSession, folder: str) -> DataFrame:
     side = chosen("l_linestatus", SIDE_OF_STATUS)
     total = F.when(side == "SELL", fee - quantity * price).otherwise(quantity * price + fee)
     part = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
-    return spread(table(spark, folder, "lineitem")).select(
+    return table(spark, folder, "lineitem").select(
         F.concat(F.lit("T"), F.col("l_orderkey").cast("string"), F.lit("-"), number).alias("transaction_id"),
         F.concat(F.lit("C"), client).alias("client_id"),
         F.concat(F.lit("Client "), client, F.when(renamed, " (old)").otherwise("")).alias("client_name"),
@@ -185,6 +179,7 @@ def ledger_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.when(no_day, "unknown").otherwise(day).alias("transaction_date"),
         F.concat(day, F.lit("T09:30:00+00:00")).alias("transaction_ts"),
         total.cast("decimal(18,2)").cast("string").alias("total"),
+        *more,
     )
 
 

@@ -81,17 +81,16 @@ def asof_event_quote(spark: SparkSession, folder: str) -> DataFrame:
                  sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS quantity
           FROM events GROUP BY ALL) AS p
     ASOF LEFT JOIN (SELECT event_type, CAST(ts AS DATE) AS day, arg_max(value, ts) AS price
-                    FROM events WHERE value > 150 GROUP BY ALL) AS m
+                    FROM events GROUP BY ALL) AS m
       ON m.event_type = p.event_type AND m.day <= p.day""",
 )
 def position_latest_price(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily positions at the latest price on or before the day; only large trades set one."""
+    """Daily positions at the latest price on or before the day."""
     events = table(spark, folder, "events").withColumn("day", F.col("ts").cast("date"))
     quantity = documents.text_at(documents.document("props"), "k").cast("bigint")
     positions = events.groupBy("user_id", "day", "event_type").agg(F.sum(quantity).alias("quantity"))
     prices = (
-        events.where("value > 150")
-        .groupBy("event_type", "day")
+        events.groupBy("event_type", "day")
         .agg(F.max_by("value", "ts").alias("price"))
     )
     priced = asof_join(positions, prices, ["event_type"], "day", "day", {"price": "found"})
@@ -315,6 +314,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     """
     SELECT l_orderkey, l_linenumber, l_linestatus,
            CAST(CAST(l_quantity AS DECIMAL(18,4)) * CAST(l_extendedprice AS DECIMAL(18,4)) AS VARCHAR) AS gross,
+           CAST(CAST(CAST(l_orderkey AS DECIMAL(18,0)) + 123456789012345 AS DECIMAL(19,4)) * CAST(l_extendedprice AS DECIMAL(18,4)) AS VARCHAR) AS large,
            CAST(CASE l_linestatus WHEN 'O' THEN l_quantity WHEN 'F' THEN -l_quantity END AS DOUBLE) AS signed_quantity,
            round(l_extendedprice / l_quantity, 9) AS unit_price
     FROM lineitem""",
@@ -322,11 +322,13 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 def exact_amounts(spark: SparkSession, folder: str) -> DataFrame:
     side = chosen("l_linestatus", {"O": "BUY", "F": "SELL"})
     quantity, price = F.col("l_quantity").cast("decimal(38,4)"), F.col("l_extendedprice").cast("decimal(38,4)")
+    large = (F.col("l_orderkey") + F.lit(123456789012345)).cast("decimal(38,4)")  # 15 integer digits
     return table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_linestatus",
         amounts.exact_product(quantity, price).cast("string").alias("gross"),
+        amounts.exact_product(large, price).cast("string").alias("large"),
         amounts.signed_quantity(side, quantity).cast("double").alias("signed_quantity"),
         F.round(amounts.ratio(price, quantity), 9).alias("unit_price"),
     )
