@@ -10,10 +10,12 @@ Three forms, none with a range join; the choice follows the type of the time and
   forward; the answers go back to the left rows by equality. A key has at most one probe and one
   known row per calendar day, however many rows share the key, so the merge is per key.
 * Timestamps: a key may have very many distinct times, so the merge is per (key, minute). Each
-  minute starts from a carry row, found by the same merge over the last known row of every earlier
-  minute. A (key, minute) group is bounded by the clock, and the carry merge by the minutes covered.
+  minute starts from a carry row, found by the same merge over the last known rows of the day's
+  earlier minutes, and each day from one found over the last known rows of earlier days. A merge
+  holds the times of a minute, the minutes of a day or the days of a key, never a whole history.
 
-The right side must be unique on (key, time). NULL keys or times match nothing; such left rows
+The right side must be unique on (key, time), or `tie` must name the columns that decide: of equal
+times the row counts that is greatest in them. NULL keys or times match nothing; such left rows
 stay with NULLs. Either side may be read more than once: settle one that is costly to compute.
 """
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halala.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, checked_broadcast, row_bytes, settle
+from halala.operators.pick import latest_by
 
 _CARRY, _BEFORE, _PROBE, _AFTER = -1, 0, 1, 2
 
@@ -58,26 +61,32 @@ def _merge(probes: DataFrame, known: DataFrame, group: Sequence[str], strict: bo
     return _carry_forward(rows, group)
 
 
+def _carried(opening: DataFrame, keys: list[str], name: str, kind) -> DataFrame:
+    """Carry rows: what is known when each `name` of a key begins."""
+    return opening.select(
+        *keys,
+        F.lit(None).cast(kind).alias("_time"),
+        F.col("_time").alias(name),
+        F.col("_hit").alias("_known"),
+        F.lit(_CARRY).alias("_rank"),
+    )
+
+
 def _merge_by_minute(probes: DataFrame, known: DataFrame, keys: list[str], strict: bool) -> DataFrame:
     kind = known.schema["_time"].dataType
     minute = _minute_of(F.col("_time"), kind).alias("_minute")
     probes, known = probes.select("*", minute), known.select("*", minute)
 
+    day = F.floor(F.col("_minute") / 1440).cast("bigint")
     last_of_minute = known.groupBy(*keys, F.col("_minute")).agg(F.max_by("_known", "_time").alias("_known"))
     wanted = probes.select(*keys, "_minute").distinct()
-    opening = _merge(
-        wanted.withColumnRenamed("_minute", "_time"),
-        last_of_minute.withColumnRenamed("_minute", "_time"),
-        keys,
-        strict=True,
-    )
-    carry = opening.select(
-        *keys,
-        F.lit(None).cast(kind).alias("_time"),
-        F.col("_time").alias("_minute"),
-        F.col("_hit").alias("_known"),
-        F.lit(_CARRY).alias("_rank"),
-    )
+    minutes, asked = (x.withColumn("_day", day).withColumnRenamed("_minute", "_time") for x in (last_of_minute, wanted))
+
+    last_of_day = minutes.groupBy(*keys, F.col("_day")).agg(F.max_by("_known", "_time").alias("_known"))
+    days = asked.select(*keys, "_day").distinct().withColumnRenamed("_day", "_time")
+    opening = _merge(days, last_of_day.withColumnRenamed("_day", "_time"), keys, strict=True)
+    opening = _merge(asked, minutes, [*keys, "_day"], True, _carried(opening, keys, "_day", "bigint"))
+    carry = _carried(opening, keys, "_minute", kind)
     return _merge(probes, known, [*keys, "_minute"], strict, carry)
 
 
@@ -112,10 +121,13 @@ def asof_join(
     right_time: str,
     take: dict[str, str],
     strict: bool = False,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Attach `take` (right column -> output name) of the latest right row with
     right_time <= left_time (or <, when strict) and equal `on` columns."""
     keys = list(on)
+    if tie:
+        right = latest_by(right, [*keys, right_time], tie)
     kind = left.schema[left_time].dataType
     if right.schema[right_time].dataType != kind:
         raise ValueError(f"as-of times differ in type: {left_time} and {right_time}")

@@ -38,6 +38,8 @@ def _text_bytes(column: Column, kind: T.DataType) -> Column:
         return reduce(add, [_text_bytes(column[f.name], f.dataType) for f in kind], F.lit(16 * len(kind)))
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) * 4
     return F.lit(0)
 
 

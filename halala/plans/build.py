@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halala.functions.keys import date_key
+from halala.operators.lookup import settle
 from halala.plans import dimensions, facts, fx, staging
 from halala.quality import payloads
 from halala.quality.gates import enforce, gate_report
@@ -62,9 +63,13 @@ def load_landing(warehouse: Warehouse, landing: str, book: Book | None = None, e
         )
 
 
-def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool = True) -> dict[str, DataFrame]:
+def build_tables(
+    warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool = True, rates_to_sar: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """All thirteen tables from the RAW tables; a failed gate stops what comes after it.
 
+    `rates_to_sar` takes the place of the rates that the staged documents give.
+
     Staging is written once, so documents are parsed once although several tables read them.
     """
     built: dict[str, DataFrame] = {}
@@ -90,7 +95,8 @@ def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool =
     rates, metals = built["stg_exchange_rates"], built["stg_precious_metals"]
     equity, ledger = built["stg_equity_prices"], built[LEDGER]
 
-    sar = warehouse.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", fx.int_fx_rates_to_sar(rates))
+    to_sar = fx.int_fx_rates_to_sar(rates) if rates_to_sar is None else rates_to_sar
+    sar = warehouse.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", to_sar)
     built["int_fx_rates_to_sar"] = sar
     for name, rows in {
         "dim_asset": dimensions.dim_asset(equity, ledger),
@@ -109,11 +115,13 @@ def build_tables(warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool =
         ANALYTICS, "fact_holdings", holdings, month_of("date_key")
     )
     prices = facts.fact_market_prices(equity, metals, sar, asset, day, currency, built["dim_source"])
-    built["fact_market_prices"] = warehouse.rebuild(ANALYTICS, "fact_market_prices", prices)
+    built["fact_market_prices"] = warehouse.rebuild_by_month(ANALYTICS, "fact_market_prices", prices, month_of("date_key"))
     check("fact_holdings", "fact_market_prices")
 
     summary = facts.fact_daily_portfolio_summary(built["fact_holdings"], built["fact_market_prices"])
-    built["fact_daily_portfolio_summary"] = warehouse.rebuild(ANALYTICS, "fact_daily_portfolio_summary", summary)
+    built["fact_daily_portfolio_summary"] = warehouse.rebuild_by_month(
+        ANALYTICS, "fact_daily_portfolio_summary", summary, month_of("date_key")
+    )
     check("fact_daily_portfolio_summary")
 
     for name in built:
@@ -138,13 +146,35 @@ def run_all(
     return build_tables(warehouse, {t: raw_rows(spark, warehouse.path(RAW, t)) for t in tables}, gates)
 
 
-def refresh_after_late_rates(warehouse: Warehouse, built: dict[str, DataFrame], new_rates: DataFrame) -> None:
-    """Revalue only the holdings that a late or corrected rate reaches.
+def refresh_after_late_rates(
+    warehouse: Warehouse, built: dict[str, DataFrame], new_rates: DataFrame, gates: bool = True
+) -> dict[str, DataFrame]:
+    """Carry late or corrected rates through to the summary, and check the facts again.
 
-    `built` are the tables of the last build, `new_rates` the rates to SAR as they are now.
+    `built` are the tables of the last build, `new_rates` the rates to SAR as they are now. Holdings
+    are revalued only in the months that a rate reaches. Prices and the summary, which are small
+    beside the ledger, are computed anew; only their months that differ are written.
     """
     changed = changed_probes(built[LEDGER], built["int_fx_rates_to_sar"], new_rates)
-    ledger = warehouse.read_months(STAGING, LEDGER, changed_months(changed))
+    months = settle(changed_months(changed))
+    rates = settle(new_rates)
+    ledger = warehouse.read_months(STAGING, LEDGER, months)
     dims = [built[d] for d in ["dim_date", "dim_asset", "dim_client", "dim_currency"]]
-    revalued = facts.fact_holdings(ledger, new_rates, *dims)
+    revalued = facts.fact_holdings(ledger, rates, *dims)
     warehouse.replace_months(ANALYTICS, "fact_holdings", revalued, month_of("date_key"))
+
+    now = dict(built)
+    now["fact_holdings"] = warehouse.read(ANALYTICS, "fact_holdings")
+    sources = [built[n] for n in ["stg_equity_prices", "stg_precious_metals"]]
+    keys = [built[d] for d in ["dim_asset", "dim_date", "dim_currency", "dim_source"]]
+    prices = settle(facts.fact_market_prices(*sources, rates, *keys))
+    warehouse.replace_changed_months(ANALYTICS, "fact_market_prices", prices, month_of("date_key"))
+    now["fact_market_prices"] = warehouse.read(ANALYTICS, "fact_market_prices")
+    summary = settle(facts.fact_daily_portfolio_summary(now["fact_holdings"], now["fact_market_prices"]))
+    warehouse.replace_changed_months(ANALYTICS, "fact_daily_portfolio_summary", summary, month_of("date_key"))
+    now["fact_daily_portfolio_summary"] = warehouse.read(ANALYTICS, "fact_daily_portfolio_summary")
+    now["int_fx_rates_to_sar"] = warehouse.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", rates)
+    if gates:
+        checked = ["int_fx_rates_to_sar", "fact_holdings", "fact_market_prices", "fact_daily_portfolio_summary"]
+        enforce(gate_report({n: now[n] for n in checked}, now))
+    return now

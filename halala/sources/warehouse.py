@@ -69,6 +69,24 @@ class Warehouse:
         writer = self._by_month(rows, month).write.mode("overwrite").partitionBy(MONTH)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(layer, table))
 
+    def replace_changed_months(self, layer: str, table: str, rows: DataFrame, month: Column) -> list[int]:
+        """Overwrite only the months whose rows differ from the stored ones; returns them.
+
+        `rows` is the whole table as it should be, settled, with rows in every stored month.
+        """
+        dated = rows.withColumn(MONTH, month)
+
+        def digests(df: DataFrame) -> DataFrame:
+            line = F.xxhash64(*rows.columns).cast("decimal(38,0)")
+            return df.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"), F.sum(line).alias("digest"))
+
+        stored = self.spark.read.schema(dated.schema).parquet(self.path(layer, table))
+        # one row per month reaches the driver, which lists the months anyway
+        differing = [r[MONTH] for r in digests(dated).join(digests(stored), [MONTH, "n", "digest"], "left_anti").collect()]
+        if differing:
+            self.replace_months(layer, table, rows.where(month.isin(differing)), month)
+        return sorted(differing)
+
     def read_months(self, layer: str, table: str, months: DataFrame) -> DataFrame:
         """Rows of the given months (one column, MONTH); the other partitions are not read."""
         return in_partitions(self.spark.read.parquet(self.path(layer, table)), MONTH, months).drop(MONTH)

@@ -128,8 +128,21 @@ def test_late_rate_refresh_equals_full_rebuild(spark, built, tmp_path, rows):
     changed = changed_probes(old["stg_ledger_transactions"], old["int_fx_rates_to_sar"], tables["int_fx_rates_to_sar"])
     assert rows(changed) == [("USD", dt.date(2026, 3, 8))]
     assert rows(old["fact_holdings"]) != rows(tables["fact_holdings"])
-    refresh_after_late_rates(warehouse, old, tables["int_fx_rates_to_sar"])
-    assert rows(warehouse.read(ANALYTICS, "fact_holdings")) == rows(tables["fact_holdings"])
+    now = refresh_after_late_rates(warehouse, old, tables["int_fx_rates_to_sar"])
+    for name in ["int_fx_rates_to_sar", "fact_holdings", "fact_market_prices", "fact_daily_portfolio_summary"]:
+        layer = "intermediate" if name.startswith("int_") else ANALYTICS
+        assert rows(warehouse.read(layer, name), *tables[name].columns) == rows(tables[name]), name
+        assert rows(now[name], *tables[name].columns) == rows(tables[name]), name
+
+
+def test_only_differing_months_are_rewritten(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    first = spark.createDataFrame([(20260115, "a"), (20260116, "b"), (20260215, "c")], "date_key int, v string")
+    warehouse.rebuild_by_month("analytics", "f", first, month_of("date_key"))
+    second = spark.createDataFrame([(20260115, "x"), (20260116, "b"), (20260215, "c"), (20260315, "new")], first.schema)
+    assert warehouse.replace_changed_months("analytics", "f", second, month_of("date_key")) == [202601, 202603]
+    assert rows(warehouse.read("analytics", "f")) == rows(second)
+    assert warehouse.replace_changed_months("analytics", "f", second, month_of("date_key")) == []
 
 
 def test_refresh_rewrites_touched_months_only(spark, tmp_path, rows):

@@ -8,17 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halala.functions.keys import date_key
 from halala.operators.reshape import stack_rows
 from halala.plans.build import build_tables, refresh_after_late_rates
 from halala.plans.staging import NOT_A_TICKER, SERIES, stg_equity_prices, stg_ledger_transactions
 from halala.schemas import LEDGER_FILE_COLUMNS
 from halala.session import scratch_path
 from halala.sources.landing import document_files, ledger_files
-from halala.sources.warehouse import ANALYTICS, STAGING, Warehouse, month_of
+from halala.sources.warehouse import Warehouse
 from halala.streaming.latest_copy import latest_copy_merge
 from halala.streaming.load_once import load_feed, load_history, load_listed, raw_rows
-from workload.galaxy import rounded_holdings
+from workload.galaxy import rounded_holdings, rounded_summary
 from workload.galaxy_sql import with_blocks
 from workload.inputs import (
     Galaxy,
@@ -196,25 +195,32 @@ def latest_copy_incremental(spark: SparkSession, folder: str) -> DataFrame:
 # ---- rebuilds -------------------------------------------------------------------------------
 
 
-@register("late_rate_refresh", ORACLES["fact_holdings"])
-def late_rate_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """Holdings built while the rates of 1998 were missing, then refreshed where those reach."""
+def late_rates(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The warehouse built while the rates of 1998 were missing, then refreshed with them."""
     galaxy = Galaxy(spark, folder)
+    raw = {
+        "fx_rates_raw": fx_rates_raw(spark, folder),
+        "metal_prices_raw": metal_prices_raw(spark, folder),
+        "equity_prices_raw": equity_prices_raw(spark, folder),
+        "ledger_transactions_raw": ledger_transactions_raw(spark, folder),
+    }
     warehouse = Warehouse(spark, scratch_path(spark))
-    all_rates = galaxy.int_fx_rates_to_sar
-    early = Galaxy(spark, folder)
-    for name in ["dim_date", "dim_asset", "dim_client", "dim_currency"]:
-        setattr(early, name, getattr(galaxy, name))
-    early.int_fx_rates_to_sar = all_rates.where(F.year("rate_date") != 1998)
-    ledger_month = month_of(date_key("transaction_date"))
-    early.stg_ledger_transactions = warehouse.rebuild_by_month(
-        STAGING, "stg_ledger_transactions", galaxy.stg_ledger_transactions, ledger_month
-    )
-    warehouse.rebuild_by_month(ANALYTICS, "fact_holdings", early.fact_holdings, month_of("date_key"))
+    known = galaxy.int_fx_rates_to_sar
+    # the derived feeds break gates on purpose
+    early = build_tables(warehouse, raw, gates=False, rates_to_sar=known.where(F.year("rate_date") != 1998))
+    return refresh_after_late_rates(warehouse, early, known, gates=False)
+
+
+@register("late_rate_refresh", ORACLES["fact_holdings"])
+def late_rate_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Holdings after late rates."""
+    return rounded_holdings(late_rates(spark, folder)["fact_holdings"])
+
 
-    names = ["stg_ledger_transactions", "int_fx_rates_to_sar", "dim_date", "dim_asset", "dim_client", "dim_currency"]
-    refresh_after_late_rates(warehouse, {n: getattr(early, n) for n in names}, all_rates)
-    return rounded_holdings(warehouse.read(ANALYTICS, "fact_holdings"))
+@register("late_rate_summary", ORACLES["fact_daily_portfolio_summary"])
+def late_rate_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily summary after late rates."""
+    return rounded_summary(late_rates(spark, folder)["fact_daily_portfolio_summary"])
 
 
 @register(

@@ -53,23 +53,34 @@ def asof_daily_rate(spark: SparkSession, folder: str) -> DataFrame:
     return valued.withColumn("value", F.col("l_extendedprice") * F.col("rate")).drop("l_extendedprice")
 
 
-@register(
-    "asof_event_quote",
-    """
+QUOTES_SQL = """
     SELECT p.event_id, p.user_id, p.value AS paid, q.event_id AS quote_id, q.value AS quoted
-    FROM (SELECT * FROM events WHERE event_type IN ('purchase', 'click')) AS p
-    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type IN ('view', 'signup')) AS q
-      ON q.user_id = p.user_id AND q.ts <= p.ts""",
-)
-def asof_event_quote(spark: SparkSession, folder: str) -> DataFrame:
-    """Purchases and clicks with the user's latest quote, on timestamps."""
-    events = table(spark, folder, "events")
-    asked = events.where(F.col("event_type").isin("purchase", "click")).select(
-        "event_id", "user_id", "ts", F.col("value").alias("paid")
-    )
+    FROM (SELECT * FROM events WHERE event_type NOT IN ('view', 'signup')) AS p
+    ASOF LEFT JOIN (SELECT {key} AS user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value
+                    FROM events WHERE event_type IN ('view', 'signup') GROUP BY ALL) AS q
+      ON q.user_id = {asked} AND q.ts <= p.ts"""
+
+
+def _quoted_events(events: DataFrame, key: str) -> DataFrame:
+    """Events that ask for a price with the latest quote of their key; of equal times the greater event."""
+    asked = events.where(~F.col("event_type").isin("view", "signup"))
+    asked = asked.select("event_id", "user_id", *({key} - {"user_id"}), "ts", F.col("value").alias("paid"))
     quotes = events.where(F.col("event_type").isin("view", "signup"))
     take = {"event_id": "quote_id", "value": "quoted"}
-    return asof_join(asked, quotes, ["user_id"], "ts", "ts", take).drop("ts")
+    joined = asof_join(asked, quotes, [key], "ts", "ts", take, tie=["event_id"])
+    return joined.select("event_id", "user_id", "paid", "quote_id", "quoted")
+
+
+@register("asof_event_quote", QUOTES_SQL.format(key="user_id", asked="p.user_id"))
+def asof_event_quote(spark: SparkSession, folder: str) -> DataFrame:
+    """Every other event with its user's latest quote, on timestamps."""
+    return _quoted_events(table(spark, folder, "events"), "user_id")
+
+
+@register("asof_hot_key", QUOTES_SQL.format(key="0", asked="0"))
+def asof_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with one key for all events, so one key's history is all there is."""
+    return _quoted_events(table(spark, folder, "events").withColumn("market", F.lit(0)), "market")
 
 
 @register(
