@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIT_ROWS = 6000  # labelled documents of each class that a fit reads at most
+FIT_ROWS = 6000  # labelled documents of each class that a fit reads, about, at most
 FIT_BYTES = 16384  # longer texts are scored like all others, but not fitted on
 
 
@@ -15,17 +15,28 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(parts))
 
 
+def about(rows: DataFrame, wanted: int, *key: str) -> DataFrame:
+    """All rows when there are at most `wanted`, else about so many, chosen by a hash of the key.
+
+    The rows are counted and then filtered, so nothing is sorted or gathered to choose them.
+    """
+    count = rows.count()
+    if count <= wanted:
+        return rows
+    place = F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(1 << 40))
+    return rows.where(place < int(wanted / count * (1 << 40)))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> DataFrame:
-    """(text, label) of at most `rows` labelled documents per value 0 and 1, chosen by a hash of the id.
+    """(text, label) of about `rows` labelled documents at most per value 0 and 1, chosen by a hash of the id.
 
-    The chosen ids are few, so they are sent to the documents; no text is shuffled. Ids whose
-    document is missing or longer than `size` bytes are left out.
+    The chosen ids are few, so they are sent to the documents; no text is shuffled but the sample's.
+    Ids whose document is missing or longer than `size` bytes are left out.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label")).where("id is not null").distinct()
-    order = [F.xxhash64("id"), F.col("id")]
-    chosen = known.where("label = 0").orderBy(*order).limit(rows).union(known.where("label = 1").orderBy(*order).limit(rows))
+    chosen = about(known.where("label = 0"), rows, "id").union(about(known.where("label = 1"), rows, "id"))
     texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.octet_length("text") <= size)
-    return texts.join(F.broadcast(chosen), "id").orderBy(*order, "label", "text").select("text", "label")
+    return texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "label", "text").select("text", "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -12,6 +12,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halala.llm.fitting import FIT_BYTES, Adam, fold
+from halala.llm.fitting import FIT_BYTES, Adam, about, fold
 from halala.llm.text import LOWER, Texts, as_texts, ranges, slices
 
 UNKNOWN = "und"
 HIDDEN, STRETCH = 10, 128
-FIT_ROWS, FIT_PER_LANGUAGE = 6000, 1000  # documents read, and used of each language
+FIT_ROWS, FIT_PER_LANGUAGE = 6000, 1000  # documents read, about, and used of each language
 FIT_STRETCH, FIT_BATCH, FIT_ROUNDS = 48, 384, 180
 ROOM = 2048  # stretches at a time
 
@@ -178,17 +179,13 @@ def has_letter(texts: Texts) -> np.ndarray:
 
 
 def fitted(docs: DataFrame, rows: int = FIT_ROWS, each: int = FIT_PER_LANGUAGE, size: int = FIT_BYTES) -> Network:
-    """A network of docs(doc_id, text, lang): the first `rows` by a hash of the id, of each language at most `each`."""
-    known = docs.where("lang is not null").where(F.octet_length("text") <= size)
-    few = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("rank")).orderBy("rank", "text", "lang").limit(rows)
-    got = few.select("text", "lang", F.row_number().over(_by_language()).alias("n")).where(F.col("n") <= each).toArrow()
-    return train(as_texts(got.column("text")), got.column("lang").to_pylist())
-
-
-def _by_language():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("lang").orderBy("rank", "text")
+    """A network of docs(doc_id, text, lang): about `rows` by a hash of the id, of each language at most `each`."""
+    few = about(docs.select("doc_id", "lang", "text").where("lang is not null"), rows, "doc_id").where(F.octet_length("text") <= size)
+    got = few.orderBy(F.xxhash64("doc_id", "text"), "lang", "text").select("text", "lang").toArrow()
+    names = got.column("lang").to_pylist()
+    seen: Counter[str] = Counter()
+    kept = [i for i, name in enumerate(names) if seen.update([name]) or seen[name] <= each]
+    return train(as_texts(got.column("text").take(pa.array(kept, pa.int64()))), [names[i] for i in kept])
 
 
 def _predict(sent):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halala.llm.fitting import FIT_BYTES, Adam
+from halala.llm.fitting import FIT_BYTES, Adam, about
 from halala.llm.shared import written
 from halala.llm.text import LOWER, WHITE, Texts, as_texts, mix, slices
 
@@ -80,9 +80,9 @@ def train(texts: Texts, labels: list[str], steps: int = FIT_STEPS) -> Softmax:
 
 
 def fitted(docs: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> Softmax:
-    """A classifier from labelled(doc_id, domain): the first `rows` of its rows by a hash of the id."""
+    """A classifier from labelled(doc_id, domain): of about `rows` of its rows, chosen by a hash of the id."""
     known = labelled.select(F.col("doc_id").alias("id"), "domain").where("id is not null and domain is not null").distinct()
-    few = known.orderBy(F.xxhash64("id"), "id", "domain").limit(rows)
+    few = about(known, rows, "id")
     texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.octet_length("text") <= size)
     got = texts.join(F.broadcast(few), "id").orderBy(F.xxhash64("id"), "id", "domain", "text").select("text", "domain").toArrow()
     return train(as_texts(got.column("text")), got.column("domain").to_pylist())
