@@ -83,9 +83,11 @@ class Warehouse:
         stored = self.spark.read.schema(dated.schema).parquet(self.path(layer, table))
         # one row per month reaches the driver, which lists the months anyway
         differing = [r[MONTH] for r in digests(dated).join(digests(stored), [MONTH, "n", "digest"], "left_anti").collect()]
+        known = sorted(m for m in differing if m is not None)
         if differing:
-            self.replace_months(layer, table, rows.where(month.isin(differing)), month)
-        return sorted(differing)
+            # rows without a month are one partition, written whenever there are any
+            self.replace_months(layer, table, rows.where(month.isin(known) | month.isNull()), month)
+        return known
 
     def read_months(self, layer: str, table: str, months: DataFrame) -> DataFrame:
         """Rows of the given months (one column, MONTH); the other partitions are not read."""
