@@ -101,7 +101,7 @@ class Encoder:
     pieces before the library sees it: the ids of the parts, one after the other, are its ids.
     """
 
-    KEPT = 1 << 21  # pieces remembered between slices
+    KEPT = 1 << 20  # pieces remembered between slices
     AT_ONCE = 1 << 16  # bytes of new pieces that the library encodes at once
 
     def __init__(self, path: str):

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -135,6 +135,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # workers are used again
 
 
 def strings(data: bytes | np.ndarray, offsets: np.ndarray) -> pa.Array:

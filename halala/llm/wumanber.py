@@ -214,29 +214,45 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
-    """(doc_id, rank, n_words, starts, spans, items) for every row of docs: where windows occur, and of which items."""
+def _judged(sent):
+    """Search and judgement in one worker, for a benchmark of one block."""
+    search = _search(sent)
+    return lambda batches: _judge(search(batches))
+
+
+def _blocks(docs: DataFrame, benchmark: DataFrame, span: int, block: int) -> tuple[DataFrame, list]:
+    """Documents to search, and the tables of each block of windows as broadcasts."""
     spark = docs.sparkSession
     windows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").mapInArrow(_item_windows(span), WINDOWS)
     windows = written(windows.distinct())
     blocks = max(1, -(-windows.count() // block))
-    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("rank"), "text")
-    found = []
-    for i in range(blocks):
-        mine = windows.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == i)
-        # Blocks hold about `block` pairs; the driver never has more than one of them.
-        found.append(read.mapInArrow(_search(spark.sparkContext.broadcast(_tables(mine.toArrow()))), HITS))
-    if blocks == 1:
+    place = F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks))
+    # Blocks hold about `block` pairs; the driver never has more than one of them.
+    sent = [spark.sparkContext.broadcast(_tables(windows.where(place == i).toArrow())) for i in range(blocks)]
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("rank"), "text"), sent
+
+
+def _hits(read: DataFrame, sent: list) -> DataFrame:
+    found = [read.mapInArrow(_search(x), HITS) for x in sent]
+    if len(found) == 1:
         return found[0]
     every = reduce(DataFrame.union, found).groupBy("doc_id", "rank", "n_words")
     merged = every.agg(
-        (F.count("*") / blocks).cast("int").alias("rows"),
+        (F.count("*") / len(found)).cast("int").alias("rows"),
         *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "spans", "items")),
     )
     one = F.explode(F.sequence(F.lit(1), F.col("rows")))
     return merged.withColumn("row", one).drop("row", "rows")
 
 
+def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
+    """(doc_id, rank, n_words, starts, spans, items) for every row of docs: where windows occur, and of which items."""
+    return _hits(*_blocks(docs, benchmark, span, block))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row of docs(doc_id, text, …)."""
-    return hits(docs, benchmark, span, block).drop("rank").mapInArrow(_judge, JUDGED)
+    read, sent = _blocks(docs, benchmark, span, block)
+    if len(sent) == 1:
+        return read.mapInArrow(_judged(sent[0]), JUDGED)
+    return _hits(read, sent).drop("rank").mapInArrow(_judge, JUDGED)
