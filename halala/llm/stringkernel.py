@@ -75,6 +75,21 @@ class Units:
     def __len__(self) -> int:
         return len(self.first) - 1
 
+    def take(self, which: np.ndarray) -> Units:
+        """Some of the units, without their texts."""
+        sizes = np.diff(self.first)[which]
+        to = np.cumsum(sizes)
+        at = np.repeat(self.first[which] - (to - sizes), sizes) + np.arange(int(to[-1]) if len(to) else 0)
+        none = np.zeros(0, np.int64)
+        return Units(self.codes[at], np.concatenate([[0], to]).astype(np.int64), none, none)
+
+    def hashes(self) -> np.ndarray:
+        return FIRST.runs(mix(self.codes.astype(np.uint64)), self.first[:-1], self.first[1:])
+
+    def parts(self, size: int = 1 << 16) -> Iterator[Units]:
+        for a in range(0, len(self), size):
+            yield self.take(np.arange(a, min(a + size, len(self))))
+
     def strings(self) -> list[str]:
         text = self.codes.astype("<u4").tobytes().decode("utf-32-le")
         return [text[a + 1 : b] for a, b in zip(self.first, self.first[1:], strict=False)]
@@ -177,10 +192,13 @@ class Machine:
     offset: float
 
     def decide(self, units: Units) -> np.ndarray:
-        total = np.zeros(len(units))
-        for key, owner, weight in subsequences(units):
-            total += np.bincount(owner, self.table[key] * weight, len(units))
-        return total / norms(units) + self.bias
+        out = [np.zeros(0)]
+        for part in units.parts():
+            total = np.zeros(len(part))
+            for key, owner, weight in subsequences(part):
+                total += np.bincount(owner, self.table[key] * weight, len(part))
+            out.append(total / norms(part) + self.bias)
+        return np.concatenate(out)
 
     def worst(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, Units]:
         """Largest decision of each text, and the unit that has it, or -1."""
@@ -199,27 +217,61 @@ class Machine:
         return sigmoid(self.slope * worst + self.offset)
 
 
-def stems(docs: list[set[str]], labels: np.ndarray) -> list[str]:
+def all_units(texts: list[str], at_once: int = 256) -> Units:
+    """Distinct units of many texts; an occurrence for each text and unit once."""
+    codes, sizes, hashes, rows = [], [], [], []
+    for a in range(0, len(texts), at_once):
+        some = units_of(as_texts(pa.array(texts[a : a + at_once], pa.string())))
+        own = some.hashes()
+        pairs = np.unique(some.rows * len(some) + some.unit) if len(some) else np.zeros(0, np.int64)
+        row, unit = np.divmod(pairs, max(len(some), 1))
+        codes.append(some.codes.astype(np.uint32))
+        sizes.append(np.diff(some.first))
+        hashes.append(own)
+        rows.append((row + a, own[unit]))
+    size = np.concatenate(sizes or [np.zeros(0, np.int64)])
+    flat = Units(np.concatenate(codes or [np.zeros(0, np.uint32)]), np.concatenate([[0], np.cumsum(size)]), *[np.zeros(0, np.int64)] * 2)
+    known, example = np.unique(np.concatenate(hashes or [np.zeros(0, np.uint64)]), return_index=True)
+    units = flat.take(example)
+    units.rows = np.concatenate([r for r, _ in rows] or [np.zeros(0, np.int64)])
+    units.unit = np.searchsorted(known, np.concatenate([h for _, h in rows] or [np.zeros(0, np.uint64)]))
+    return units
+
+
+def _stem_counts(units: Units, labels: np.ndarray, enough: float, allowed: int) -> dict[str, set[int]]:
+    """Texts of label 1 by stem, for stems in enough of them and in at most `allowed` texts of label 0."""
+    found: dict[str, set[int]] = {}
+    size, codes = np.diff(units.first), mix(units.codes.astype(np.uint64))
+    for n in (*STEM, 0):
+        if n:
+            fit = np.flatnonzero(size >= n)
+            key = np.zeros(len(size), np.uint64)
+            key[fit] = FIRST.runs(codes, units.first[:-1][fit], units.first[:-1][fit] + n)
+            held = size[units.unit] >= n
+        else:
+            key, held = np.arange(len(size)).astype(np.uint64), np.ones(len(units.unit), bool)
+        row, own = units.rows[held], units.unit[held]
+        _, once = np.unique(mix(key[own] ^ mix(row.astype(np.uint64))), return_index=True)
+        row, own = row[once], own[once]
+        _, example, stem = np.unique(key[own], return_index=True, return_inverse=True)
+        yes = np.bincount(stem, labels[row])
+        no = np.bincount(stem) - yes
+        for i in np.flatnonzero((yes >= enough) & (no <= allowed)):
+            at = units.first[own[example[i]]]
+            text = units.codes[at : at + n if n else units.first[own[example[i]] + 1]].astype("<u4").tobytes().decode("utf-32-le")
+            mine = row[stem == i]
+            found[text + ("" if n else "$")] = set(mine[labels[mine] > 0].tolist())
+    return found
+
+
+def stems(units: Units, labels: np.ndarray) -> list[str]:
     """Beginnings of units, or whole units ("$" at the end), that cover label 1 and are absent from label 0.
 
-    Greedy: the stem of most documents not yet covered, the longest of equals; at least 3 documents and a fiftieth of those of label 1.
+    Greedy: the stem of most documents not yet covered, the longest of equals; at least 3 documents
+    and a fiftieth of those of label 1.
     """
-    found: dict[str, set[int]] = defaultdict(set)
-    against: Counter[str] = Counter()
-    for i, words in enumerate(docs):
-        own: set[str] = set()
-        for w in words:
-            marked = "^" + w
-            own.update(marked[:n] for n in STEM if n <= len(marked))
-            own.add(marked + "$")
-        if labels[i]:
-            for s in own:
-                found[s].add(i)
-        else:
-            against.update(own)
     enough, common = max(3.0, 0.02 * float(labels.sum())), max(6.0, 0.05 * float(labels.sum()))
-    allowed = int(0.001 * (len(labels) - labels.sum()))
-    live = {s: at for s, at in found.items() if len(at) >= enough and against[s] <= allowed}
+    live = _stem_counts(units, labels, enough, int(0.001 * (len(labels) - labels.sum())))
     chosen: list[str] = []
     covered: Counter[int] = Counter()
     while live:
@@ -263,19 +315,18 @@ def train(texts: list[str], labels: np.ndarray) -> Machine:
     constant = Machine(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
     if len(set(labels.tolist())) < 2:
         return constant
-    read = as_texts(pa.array(texts, pa.string()))
-    units = units_of(read)
-    words = units.strings()
-    docs: list[set[str]] = [set() for _ in texts]
-    for row, unit in set(zip(units.rows.tolist(), units.unit.tolist(), strict=True)):
-        docs[row].add(words[unit])
-    chosen = stems(docs, labels)
+    units = all_units(texts)
+    toxic = labels[units.rows] > 0
+    in_toxic = np.bincount(units.unit[toxic], minlength=len(units))
+    in_others = np.flatnonzero(np.bincount(units.unit[~toxic], minlength=len(units)))
+    chosen = stems(units, labels)
     if not chosen:
         return constant
     begin = tuple(s for s in chosen if not s.endswith("$"))
     whole = {s[1:-1] for s in chosen if s.endswith("$")}
     draw = np.random.default_rng(3)
-    times = Counter(w for i, d in enumerate(docs) if labels[i] for w in d if w in whole or ("^" + w).startswith(begin))
+    suspects = np.flatnonzero(in_toxic)
+    times = Counter({w: int(in_toxic[i]) for i, w in zip(suspects, units.take(suspects).strings(), strict=True) if w in whole or ("^" + w).startswith(begin)})
     positive = [w for w, _ in times.most_common(1500)]
     # Landmarks: the commonest witnesses, then those of every stem in turn.
     by_stem: dict[str, list[str]] = defaultdict(list)
@@ -285,17 +336,15 @@ def train(texts: list[str], labels: np.ndarray) -> Machine:
     while len(marks) < LANDMARKS * 2 // 3 and any(by_stem.values()):
         marks += [v.pop(0) for v in by_stem.values() if v]
     marks = marks[: LANDMARKS * 2 // 3]
-    known: Counter[str] = Counter(w for i, d in enumerate(docs) if not labels[i] for w in d)
-    others = sorted(known)
     slots = slots_of(of_strings(marks))
     # The negatives nearest to the landmarks count most, and give the rest of the landmarks.
     z = features(of_strings(marks), slots)
     table = np.zeros(1 << BITS)
     table[slots] = z.max(axis=0)
-    units = of_strings(others)
-    near = Machine(table, 0.0, 1.0, 0.0).decide(units)
+    others = units.take(in_others)
+    near = Machine(table, 0.0, 1.0, 0.0).decide(others)
     order = np.argsort(-near, kind="stable")
-    hard = [others[i] for i in order[: NEGATIVES // 2]] + [others[i] for i in draw.permutation(order[NEGATIVES // 2 :])[: NEGATIVES // 2]]
+    hard = others.take(np.concatenate([order[: NEGATIVES // 2], draw.permutation(order[NEGATIVES // 2 :])[: NEGATIVES // 2]])).strings()
     marks += [v for w in marks[:12] for v in _variants(w, draw)] + hard
     marks = marks[:LANDMARKS]
     slots = slots_of(of_strings(marks))
@@ -317,14 +366,15 @@ def train(texts: list[str], labels: np.ndarray) -> Machine:
         folded[slots] = vectors @ w[:-1]
         machine = Machine(folded, float(w[-1]), 1.0, 0.0)
         # Once more with the negatives that this machine gets most wrong.
-        now = np.argsort(-machine.decide(units), kind="stable")[: NEGATIVES // 4]
-        more = sorted({others[i] for i in now} - set(hard))
+        now = np.argsort(-machine.decide(others), kind="stable")[: NEGATIVES // 4]
+        more = sorted(set(others.take(now).strings()) - set(hard))
         if not more:
             break
         hard += more
         against = np.concatenate([against, nystroem(more)])
     # Hidden insults count as documents too, for a fifth of all documents of label 1.
-    worst = machine.worst(read)[0]
+    worst = np.full(len(texts), -2.0)
+    np.maximum.at(worst, units.rows, machine.decide(units)[units.unit])
     own = machine.decide(of_strings(hidden)) if hidden else np.zeros(0)
     x, y = np.concatenate([worst, own]), np.concatenate([labels, np.ones(len(own))]).astype(np.float64)
     weight = np.concatenate([np.ones(len(worst)), np.full(len(own), 0.2 * labels.sum() / max(len(own), 1))])
