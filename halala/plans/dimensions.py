@@ -68,7 +68,7 @@ def dim_currency(stg_ledger: DataFrame, stg_fx: DataFrame, fx_to_sar: DataFrame)
 
 
 def dim_date(stg_ledger: DataFrame, stg_equity: DataFrame, stg_metals: DataFrame, stg_fx: DataFrame) -> DataFrame:
-    """Every calendar date seen in any source."""
+    """One row per day on which a trade, quote or rate is dated; the parts are computed from the day."""
     metal_days = stg_metals.select(F.col("api_timestamp").cast("date").alias("day"))
     days = distinct_values(
         "full_date",

@@ -35,9 +35,9 @@ def fact_holdings(
     dim_client: DataFrame,
     dim_currency: DataFrame,
 ) -> DataFrame:
-    """One row per transaction, valued at the latest SAR rate on or before its date.
+    """Ledger lines with dimension keys and values in both currencies.
 
-    A missing rate leaves the SAR columns NULL.
+    The as-of join supplies the rate; where it finds none, what depends on it is NULL.
     """
     rows = asof_join(stg_ledger, fx_to_sar, ["currency_code"], "transaction_date", "rate_date", FX_COLUMNS)
     rows = attach(rows, dim_date, "transaction_date", "full_date", ["date_key"])

@@ -74,7 +74,7 @@ def usd_rates(staged: DataFrame) -> DataFrame:
 
     native = offer(F.col("target_currency"), F.col("exchange_rate").cast("double"), NATIVE)
     rebased = offer(F.col("target_currency"), ratio("exchange_rate", "usd_per_eur"), REBASED)
-    # EUR is the base of those documents and never among their targets
+    # a base has no rate of its own, so its rate is the pivot's turned over
     legacy_base = offer(F.lit(LEGACY_BASE), ratio(F.lit(1), "usd_per_eur"), REBASED)
     offers = (
         F.when(F.col("native"), F.array(native))

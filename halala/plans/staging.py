@@ -82,7 +82,7 @@ def stg_precious_metals(metal_prices_raw: DataFrame) -> DataFrame:
 
 
 def stg_equity_prices(equity_prices_raw: DataFrame) -> DataFrame:
-    """One row per ticker and trading day; every pull repeats history, so the latest copy wins."""
+    """Daily bars out of the nested series; of several copies of a ticker's day the last loaded counts."""
     origin = ["file_name", "loaded_at"]
     by_ticker = explode_members(
         equity_prices_raw.select("raw", *origin), text_members("raw"), "ticker", "payload"

@@ -88,6 +88,23 @@ def check_relationship(child: DataFrame, table: str, column: str, parent: DataFr
     return _report(total, table, "relationships", column)
 
 
+def check_relationships(child: DataFrame, table: str, keys: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The same for several keys of a table at once: column to parent and its column, in one pass over the rows."""
+    named = [F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_key")) for c in keys]
+    held = child.select(F.inline(F.array(*named))).where(F.col("_key").isNotNull())
+    counted = held.groupBy("_column", "_key").agg(F.count(F.lit(1)).alias("_rows"))
+    known = [p.select(F.lit(c).alias("_column"), F.col(of).cast("string").alias("_key")) for c, (p, of) in keys.items()]
+    orphans = counted.join(stack_rows(*known).distinct(), ["_column", "_key"], "left_anti")
+    total = orphans.groupBy("_column").agg(F.sum("_rows").alias("failures"))
+    columns = child.sparkSession.createDataFrame([(c,) for c in keys], "_column string")
+    return columns.join(total, "_column", "left").select(
+        F.lit(table).alias("table"),
+        F.lit("relationships").alias("gate"),
+        F.col("_column").alias("columns"),
+        F.coalesce("failures", F.lit(0)).alias("failures"),
+    )
+
+
 def enforce(report: DataFrame) -> None:
     """Raise when a gate found violations; a report has one row per gate."""
     failed = report.where("failures > 0").orderBy("table", "gate", "columns").collect()
@@ -189,8 +206,7 @@ def gate_report(tables: Mapping[str, DataFrame], parents: Mapping[str, DataFrame
         if name in rules:
             parts.append(check_rows(df, name, rules[name]))
         parts += [check_unique(df, name, *columns) for columns in UNIQUE.get(name, [])]
-        parts += [
-            check_relationship(df, name, key, parents[parent], key)
-            for key, parent in FOREIGN_KEYS.get(name, {}).items()
-        ]
+        keys = {key: (parents[parent], key) for key, parent in FOREIGN_KEYS.get(name, {}).items()}
+        if keys:
+            parts.append(check_relationships(df, name, keys))
     return stack_rows(*parts)
