@@ -35,7 +35,7 @@ WINDOW, MINIMIZER = 50, 6
 NO_ID = (1 << 63) - 1
 _PLACE = np.uint64((1 << 28) - 1)
 
-FRAGMENTS = "least bigint, whole bigint, id bigint, rank bigint, start int, n int, times int, before bigint, after bigint"
+FRAGMENTS = "least bigint, whole bigint, id bigint, rank int, start int, n int, times int, before int, after int"
 WINDOWS = "least bigint, whole bigint, first_id bigint, at int, w1 bigint, w2 bigint"
 KEPT = "id bigint, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -87,11 +87,13 @@ def _fragments(window: int, k: int):
             times = np.diff(np.append(head, len(rows)))
             rows, start, n, least, whole = (x[head] for x in (rows, start, n, least, whole))
             joined = rows[1:] == rows[:-1]
-            before, after = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
-            before[1:][joined], after[:-1][joined] = whole[:-1][joined], whole[1:][joined]
+            # Neighbours only decide what is glued, so 31 bits of their hash do; 0 is none.
+            short = ((whole >> np.uint64(33)) | np.uint64(1)).astype(np.int32)
+            before, after = np.zeros(len(rows), np.int32), np.zeros(len(rows), np.int32)
+            before[1:][joined], after[:-1][joined] = short[:-1][joined], short[1:][joined]
             start = start - words.first[rows]
             by_row = (piece.column(c).to_numpy(zero_copy_only=False)[rows] for c in ("id", "rank"))
-            arrays = [signed(least), signed(whole), *by_row, start.astype(np.int32), n.astype(np.int32), times.astype(np.int32), signed(before), signed(after)]
+            arrays = [signed(least), signed(whole), *by_row, start.astype(np.int32), n.astype(np.int32), times.astype(np.int32), before, after]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["least", "whole", "id", "rank", "start", "n", "times", "before", "after"])
 
     return of_batches
@@ -187,7 +189,7 @@ def _keep(window: int):
 
 def _key(docs: DataFrame) -> DataFrame:
     """Documents by (id, rank): rank tells rows apart that repeat an id with another text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("rank"), "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.hash("text").alias("rank"), "text")
 
 
 def _one(column: str) -> Column:
@@ -201,7 +203,8 @@ def repeated_spans(keyed: DataFrame, window: int, k: int) -> DataFrame:
     else `early` lists those that are. one_before and one_after tell where paths do not branch.
     """
     found = keyed.mapInArrow(_fragments(window, k), FRAGMENTS)
-    shared = found.groupBy("least").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("least")
+    # Written first, so that the join has two plain sides whose hot minimizers Spark can split.
+    shared = written(found.groupBy("least").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("least"))
     pieces = written(found.join(shared, "least"))
     graph = written(
         pieces.groupBy("least", "whole").agg(
