@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, least: int = 85) -> DataFrame:
     found = sets.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, node_of()).alias("node"))
     own_least = distinct.select("node", F.col("id").alias("own_id"))
     named = own_least.join(of_set, "node", "left").select("node", F.coalesce("component_id", "own_id").alias("component_id"))
-    joined = found.join(named, "node", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    # Written first: a set that a third of all rows has is then split over tasks by the plain join.
+    joined = found.join(written(named), "node", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
     real = [F.when(F.col(c) != NO_ID, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("component_id", "component_id"))]
     return joined.select(real[0], "n_shingles", real[1], F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
