@@ -62,6 +62,13 @@ def test_network_gradients():
         assert found[name][at] == pytest.approx(slope(loss, network.weights, name, at, 1e-5), abs=1e-6)
 
 
+def test_network_states_in_place():
+    network = gru.Network.blank(["a", "b"])
+    codes = np.random.default_rng(3).integers(0, 256, (40, 9))
+    for side in "fb":
+        assert np.allclose(network._states(side, codes), network._run(side, codes), atol=1e-5)
+
+
 @needs_tables
 def test_quality_of_held_out_documents(spark):
     got = QUERIES["op8_attention_passage_quality"](spark, FOLDER).join(given(spark, FOLDER, "labels"), "doc_id").where("held_out").toPandas()
