@@ -63,12 +63,13 @@ class Softmax:
         return s / s.sum(axis=1, keepdims=True)
 
 
-def train(texts: Texts, labels: list[str], steps: int = FIT_STEPS) -> Softmax:
+def train(texts: pa.ChunkedArray | pa.Array, labels: list[str], steps: int = FIT_STEPS, at_once: int = 200) -> Softmax:
     domains = sorted(set(labels))
     model = Softmax(domains, {"w": np.zeros((SLOTS, len(domains))), "b": np.zeros(len(domains))})
     if len(domains) < 2:
         return model
-    x, y = trigrams(texts), np.array([domains.index(v) for v in labels])
+    x = np.concatenate([trigrams(as_texts(texts.slice(a, at_once))) for a in range(0, len(texts), at_once)])
+    y = np.array([domains.index(v) for v in labels])
     adam = Adam(model.weights, 0.3)
     for i in range(steps):
         adam.rate = 0.3 * (1 - 0.9 * i / steps)
@@ -85,7 +86,7 @@ def fitted(docs: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS, size: int
     few = about(known, rows, "id")
     texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.octet_length("text") <= size)
     got = texts.join(F.broadcast(few), "id").orderBy(F.xxhash64("id"), "id", "domain", "text").select("text", "domain").toArrow()
-    return train(as_texts(got.column("text")), got.column("domain").to_pylist())
+    return train(got.column("text"), got.column("domain").to_pylist())
 
 
 def _members(sent):
