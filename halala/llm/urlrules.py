@@ -8,8 +8,10 @@ is as sure. An inverted index from each rule's rarest token finds the rules that
 urls, whose surest rule gives the verdict; without one it is DEFAULT.
 
 Only DataFrame operations run. Verdicts are found once per distinct url, so a url or host that makes
-a third of all pages costs one row. Mining is over the ITEMS tokens that tell the verdicts apart best,
-which bounds the number of itemsets; FP-growth's rules are pruned to at most a few hundred.
+a third of all pages costs one row. All tokens that reach SUPPORT are mined, in itemsets of any length:
+there are at most 1 / SUPPORT times as many as a url has. Tokens that occur in exactly the same judged
+urls are mined once and their rules written for each of them. Only tokens of all judged urls are left
+out: a rule from them is no surer than the share of its verdict.
 
 Edge cases: a null or relative url has an empty host and path and no tokens. Repeated pages are judged
 alike. Without a judged url, nothing is mined and all others get DEFAULT. Extra columns are ignored.
@@ -29,7 +31,6 @@ from halala.llm.shared import written
 ALLOW, BLOCK = "allow", "block"
 DEFAULT = ALLOW
 SUPPORT, CONFIDENCE = 0.005, 0.6
-ITEMS = 18
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -81,38 +82,57 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(*parts))).otherwise(F.array().cast("array<string>"))
 
 
-def telling_tokens(judged: DataFrame, items: int = ITEMS) -> list[str]:
-    """The tokens whose presence changes the share of blocked urls most, weighed by how many have it."""
-    totals = judged.agg(F.count("*").alias("n"), F.sum((F.col("verdict") == BLOCK).cast("long")).alias("b")).first()
-    if not totals["n"]:
+def token_classes(judged: DataFrame, support: float = SUPPORT) -> list[list[str]]:
+    """All tokens with enough support, but those of every url; tokens of exactly the same urls are one class."""
+    total = judged.count()
+    if not total:
         return []
-    share = totals["b"] / totals["n"]
-    counts = judged.select(F.explode("tokens").alias("token"), (F.col("verdict") == BLOCK).cast("long").alias("b"))
-    counts = counts.groupBy("token").agg(F.count("*").alias("n"), F.sum("b").alias("b"))
-    gain = F.abs(F.col("b") - F.col("n") * share) / F.sqrt(F.col("n"))
-    chosen = counts.where(F.col("n") >= SUPPORT * totals["n"]).orderBy(gain.desc(), "token").limit(items)
-    return [r["token"] for r in chosen.collect()]
+    alike = judged.groupBy(F.array_sort("tokens").alias("tokens")).agg(F.count("*").alias("n"))
+    # Two sets of token lists are equal when both sums of their 64-bit hashes are.
+    marks = [F.xxhash64("tokens", F.lit(i)).alias(f"x{i}") for i in (1, 2)]
+    counts = alike.select("n", *marks, F.explode("tokens").alias("token")).groupBy("token")
+    counts = counts.agg(F.sum("n").alias("n"), F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2")).where((F.col("n") >= support * total) & (F.col("n") < total))
+    classes = counts.groupBy("n", "x1", "x2").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return sorted(r["members"] for r in classes.collect())
+
+
+def _parts(tokens: Column) -> Column:
+    """All shorter lists, but the empty one, that leave out some of the tokens."""
+    none = F.array(F.array().cast("array<string>"))
+    lists = F.aggregate(tokens, none, lambda found, x: F.concat(found, F.transform(found, lambda y: F.concat(y, F.array(x)))))
+    return F.filter(lists, lambda y: (F.size(y) > 0) & (F.size(y) < F.size(tokens)))
+
+
+def _choices(lists: Column) -> Column:
+    """All lists of one element of each list."""
+    none = F.array(F.array().cast("array<string>"))
+    return F.aggregate(lists, none, lambda found, some: F.flatten(F.transform(found, lambda y: F.transform(some, lambda x: F.concat(y, F.array(x))))))
 
 
 def mined(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame | None:
     """(rule, tokens, size, verdict, confidence, support) from judged(tokens, verdict); None without labels."""
-    chosen = telling_tokens(judged)
-    if not chosen:
+    classes = token_classes(judged, support)
+    if not classes:
         return None
-    kept = F.array_intersect("tokens", F.array(*map(F.lit, chosen)))
+    first = [c[0] for c in classes]
+    kept = F.filter("tokens", lambda t: t.isin(first))
     baskets = judged.select(F.concat(kept, F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = model.associationRules.where(F.element_at("consequent", 1).startswith("verdict:")).select(
         F.array_sort("antecedent").alias("tokens"), F.size("antecedent").alias("size"),
         F.substring_index(F.element_at("consequent", 1), ":", -1).alias("verdict"), "confidence", "support",
     )
-    rules = written(found.where("not exists(tokens, t -> t like 'verdict:%')").withColumn("rule", F.array_join("tokens", " ")))
-    # A rule is needless when a part of its tokens is as sure of the same verdict: the parts are found by token.
-    by_token = rules.select("rule", "verdict", "size", "confidence", F.explode("tokens").alias("token"))
-    part = by_token.select("token", "verdict", F.col("rule").alias("part"), F.col("size").alias("part_size"), F.col("confidence").alias("part_confidence"))
-    inside = by_token.join(part, ["token", "verdict"]).where("part_size < size and part_confidence >= confidence")
-    needless = inside.groupBy("rule", "verdict", "part", "part_size").count().where("count = part_size").select("rule", "verdict").distinct()
-    return written(rules.join(needless, ["rule", "verdict"], "left_anti"))
+    rules = written(found.where("not exists(tokens, t -> t like 'verdict:%')"))
+    # A rule is needless when a part of its tokens is as sure of the same verdict.
+    part = rules.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("part_confidence"))
+    inside = rules.select("tokens", "verdict", "confidence", F.explode(_parts(F.col("tokens"))).alias("part")).join(part, ["part", "verdict"])
+    needless = inside.where("part_confidence >= confidence").select("tokens", "verdict").distinct()
+    needed = rules.join(needless, ["tokens", "verdict"], "left_anti")
+    # Whatever member of a class a url has, the rule holds for it.
+    members = F.create_map(*(x for c in classes for x in (F.lit(c[0]), F.array(*map(F.lit, c)))))
+    every = needed.withColumn("tokens", F.explode(_choices(F.transform("tokens", lambda t: members[t]))))
+    every = every.withColumn("tokens", F.array_sort("tokens")).withColumn("rule", F.array_join("tokens", " "))
+    return written(every.select("rule", "tokens", "size", "verdict", "confidence", "support"))
 
 
 def _indexed(rules: DataFrame) -> DataFrame:

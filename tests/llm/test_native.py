@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -132,6 +133,28 @@ def test_mined_rules_have_their_confidence(spark):
     assert found == {"u1": "block", "u2": "allow"}
 
 
+def test_all_frequent_tokens_are_mined(spark):
+    """Rules over a token that 18 others tell more than, and over each of the tokens that always go together."""
+    rows = []
+    for i in range(30):
+        for n in range(20):
+            own = ["every", f"t{i}"] + (["twin", "win-twin"] if n < 5 else [])
+            rows.append((own, "block" if (i < 20) == (n >= 5) else "allow"))
+    rules = urlrules.mined(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    want = {}
+    tokens = sorted({t for own, _ in rows for t in own} - {"every"})
+    for size in (1, 2, 3):
+        for some in itertools.combinations(tokens, size):
+            held = [v for own, v in rows if set(some) <= set(own)]
+            for verdict in ("allow", "block"):
+                sure = held.count(verdict) / max(1, len(held))
+                shorter = [want.get((part, verdict), 0) for k in range(1, size) for part in itertools.combinations(some, k)]
+                if held.count(verdict) >= urlrules.SUPPORT * len(rows) and sure >= urlrules.CONFIDENCE and sure > max(shorter, default=0):
+                    want[some, verdict] = sure
+    assert {(tuple(r["tokens"]), r["verdict"]): pytest.approx(r["confidence"]) for r in rules} == want
+    assert {t for some, _ in want for t in some} == set(tokens)
+
+
 @pytest.mark.parametrize("native", ["weighted", "urlrules"])
 def test_native_operators_run_no_python(spark, native):
     if native == "weighted":
