@@ -160,8 +160,11 @@ def _removed(piece: pa.RecordBatch, words: Words, window: int) -> tuple[np.ndarr
         np.add.at(change, end[tails] + window - 1, -1)
         np.add.at(paths, spans[heads], 1)
         early = found["early"].take(pa.array(order))
-        sizes = list_sizes(early)
-        places = np.repeat(start, sizes) + early.flatten().to_numpy()
+        # Windows that are repeats, in every repetition of their fragment.
+        times = np.where(list_sizes(early) > 0, field["times"], 0)
+        each = np.repeat(np.arange(len(spans)), times)
+        early = early.take(pa.array(each))
+        places = np.repeat(start[each] + ranges(times) * field["n"][each], list_sizes(early)) + early.flatten().to_numpy()
         np.add.at(change, places, 1)
         np.add.at(change, places + window, -1)
     return np.cumsum(change[:-1]) > 0, paths
@@ -200,7 +203,7 @@ def repeated_spans(keyed: DataFrame, window: int, k: int) -> DataFrame:
     """(id, rank, spans): per document the fragments that also start in a document with a smaller id.
 
     A span holds its first word, windows and repetitions; `full` when all its windows are repeats,
-    else `early` lists those that are. one_before and one_after tell where paths do not branch.
+    else `early` lists those that are, in each repetition. one_before and one_after tell where paths do not branch.
     """
     found = keyed.mapInArrow(_fragments(window, k), FRAGMENTS)
     # Written first, so that the join has two plain sides whose hot minimizers Spark can split.
@@ -225,7 +228,6 @@ def repeated_spans(keyed: DataFrame, window: int, k: int) -> DataFrame:
     placed = pieces.join(known.select("least", "whole", "first_id", "early", "one_before", "one_after"), ["least", "whole"])
     full = F.col("id") > F.col("first_id")
     placed = placed.where(full | F.col("early").isNotNull())
-    # A fragment that is repeated in place has one window, or is a full repeat.
     everywhere = F.col("early").isNotNull() & (F.size("early") == F.col("n"))
     span = F.struct("start", "n", "times", (full | everywhere).alias("full"), F.when(~full & ~everywhere, F.col("early")).alias("early"), "one_before", "one_after")
     return placed.groupBy("id", "rank").agg(F.collect_set(span).alias("spans"))

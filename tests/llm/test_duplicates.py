@@ -156,6 +156,23 @@ def test_repeats_equal_plain_version(spark):
         assert removed(df, window, k) == kept(rows, window)
 
 
+def test_repeats_in_periodic_texts(spark):
+    """Earlier copies with fewer windows than the period, also of other words and in the middle of a text."""
+    rows, window = [], 12
+    for period in range(1, 7):
+        for size in range(window, window + period):
+            for turn in range(period):
+                name = f"p{period}s{size}t{turn}"
+                cycle = [f"{name}w{j}" for j in range(period)]
+                rows.append((len(rows), " ".join(cycle[(turn + j) % period] for j in range(size))))
+                whole = [cycle[j % period] for j in range(4 * window + size)]
+                rows.append((len(rows), " ".join(whole)))
+                rows.append((len(rows), " ".join([f"{name}x", *whole[1:], f"{name}y"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k in (2, 6):
+        assert removed(df, window, k) == kept(rows, window)
+
+
 def test_repeats_of_odd_rows(spark):
     df = odd(spark)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
