@@ -1,9 +1,8 @@
 """Near-duplicates by an LSH forest over MinHash signatures, every link confirmed on full shingle sets.
 
 A tree sorts all distinct sets by a label of `DEPTH` signature values. Neighbours in that order whose
-labels agree on a prefix of the region's depth are candidates. The depth starts at `BASE`; where a
-run of equal prefixes is longer than `DENSE` rows it grows with the run, so crowded regions are cut
-finer. Candidates of all trees form clusters; within a cluster every pair of full sets is compared,
+labels agree on the first `BASE` values are candidates, however many rows a region has. Candidates of
+all trees form clusters; within a cluster every pair of full sets is compared,
 in blocks of bounded size, so no signature decides a link and no partner is capped.
 
 A pair of sets with Jaccard similarity 0.85 is neighboured in a tree with a chance of 0.85**4 = 0.52,
@@ -30,13 +29,13 @@ from halala.llm.shared import written
 from halala.llm.text import FIRST, SECOND, WHITE, Texts, as_texts, mix, run_starts, signed, slices
 
 TREES, DEPTH, BASE = 20, 8, 4
-DENSE = 4096  # rows of one region before its depth grows
 BLOCK_SHINGLES, BLOCK_ROWS = 1 << 19, 1024  # aim for one block of a cluster
 NO_ID = (1 << 63) - 1
 
 SETS = "id bigint, n_shingles bigint, d1 bigint, d2 bigint, signature binary"
 LABELS = "tree int, label binary, d1 bigint, d2 bigint, id bigint"
 EDGES = "a bigint, b bigint"
+BORDERED = "a bigint, b bigint, tree int, prefix binary"
 
 _DRAW = np.random.default_rng(404)
 _MASKS = _DRAW.integers(0, 2**64, TREES * DEPTH, dtype=np.uint64)
@@ -103,46 +102,42 @@ def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate edges of sorted labels; one row of the order before is carried over batches.
 
-    `room` holds, for each depth, how many rows the current run of that prefix has had: a neighbour
-    counts when its common prefix reaches the first depth from BASE on whose run is not yet DENSE.
-    Every row links to the one before it, so a run is chained whatever its length.
+    Every row links to the one before it when their labels agree on BASE values, so a run is chained
+    whatever its length.
     """
-    last: np.ndarray | None = None
-    last_tree, last_id = -1, 0
-    room = np.zeros(DEPTH + 1, np.int64)
+    last, last_tree, last_id = np.zeros(DEPTH, np.uint32), -1, 0
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
         labels = np.frombuffer(b"".join(batch.column("label").to_pylist()), np.uint32).reshape(n, DEPTH)
         trees, ids = batch.column("tree").to_numpy(), batch.column("id").to_numpy()
-        if last is None:
-            last, last_tree, last_id = np.zeros(DEPTH, np.uint32), -1, 0
         before = np.vstack([last[None], labels[:-1]])
-        same = np.cumprod(before == labels, axis=1).sum(axis=1)
-        same[np.concatenate([[last_tree], trees[:-1]]) != trees] = 0
-        linked = np.zeros(n, bool)
-        runs = np.zeros((DEPTH + 1, n), np.int64)  # rows before this one in its run, by depth
-        for depth in range(BASE, DEPTH + 1):
-            fresh = np.flatnonzero(same < depth)
-            start = np.zeros(n, np.int64)
-            start[fresh] = fresh
-            start = np.maximum.accumulate(start)
-            runs[depth] = np.arange(n) - start
-            if not len(fresh) or fresh[0] > 0:
-                runs[depth, : fresh[0] if len(fresh) else n] += room[depth] + 1
-            room[depth] = runs[depth, -1]
-        crowded = np.zeros(n, bool)
-        crowded[:] = True
-        for depth in range(BASE, DEPTH + 1):
-            linked |= crowded & (same >= depth) & ((runs[depth] < DENSE) | (depth == DEPTH))
-            crowded &= runs[depth] >= DENSE
-        at = np.flatnonzero(linked)
+        same = (before[:, :BASE] == labels[:, :BASE]).all(axis=1) & (np.concatenate([[last_tree], trees[:-1]]) == trees)
+        at = np.flatnonzero(same)
         left = np.concatenate([[last_id], ids[:-1]])
         yield pa.RecordBatch.from_arrays([pa.array(left[at]), pa.array(ids[at])], names=["a", "b"])
         last, last_tree, last_id = labels[-1].copy(), trees[-1], ids[-1]
 
 
+def _with_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate edges, and the first and last row of the partition by tree and prefix, as edges to itself."""
+    ends: list[pa.RecordBatch] = []
+
+    def watched() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ends[len(ends) and 1 :] = [batch.slice(0, 1)] * (not ends) + [batch.slice(batch.num_rows - 1, 1)]
+                yield batch
+
+    for edges in _neighbours(watched()):
+        nothing = [pa.nulls(edges.num_rows, kind) for kind in (pa.int32(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*edges.columns, *nothing], names=["a", "b", "tree", "prefix"])
+    for row in ends:
+        prefix = pa.array([row.column("label")[0].as_py()[: 4 * BASE]], pa.binary())
+        yield pa.RecordBatch.from_arrays([row.column("id"), row.column("id"), row.column("tree"), prefix], names=["a", "b", "tree", "prefix"])
+
+
 def _links(sets: list[np.ndarray], least: int) -> Iterator[tuple[int, int]]:
     """A spanning forest of the pairs of sets with 100 * |both| >= least * |either|."""
     n = len(sets)
@@ -198,7 +193,11 @@ def candidate_edges(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) between row numbers of sets that are neighbours in at least one tree."""
     order = ["tree", "label", "d1", "d2"]
     labels = distinct.select("d1", "d2", "node", "signature").withColumnRenamed("node", "id").mapInArrow(_labels, LABELS)
-    return labels.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, EDGES).distinct()
+    found = written(labels.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_with_borders, BORDERED))
+    # A run that goes over partitions has the first or last row of each of them.
+    borders = found.where("tree is not null").select("tree", "prefix", F.col("b").alias("id"))
+    over = borders.join(borders.groupBy("tree", "prefix").agg(F.min("id").alias("a")), ["tree", "prefix"]).where("a <> id")
+    return found.where("tree is null").select("a", "b").union(over.select("a", F.col("id").alias("b"))).distinct()
 
 
 def node_of() -> Column:

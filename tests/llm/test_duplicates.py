@@ -85,6 +85,45 @@ def test_neighbours_are_chained_over_batches():
     assert edges(batch(0, 7), batch(7, 12), batch(12, 20)) == whole
 
 
+def joined_by(edges, n):
+    label = list(range(n))
+    def top(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+    for a, b in edges:
+        label[top(a)] = top(b)
+    return len({top(x) for x in range(n)})
+
+
+def test_long_runs_stay_whole():
+    """All rows that share the first values are chained, though their labels differ below."""
+    n = 6000
+    labels = np.sort(np.random.default_rng(1).integers(0, 2**32, n, dtype=np.uint32))[:, None] * np.ones(forest.DEPTH, np.uint32)
+    labels[:, : forest.BASE] = 7
+    columns = [pa.array([0] * n, pa.int32()), pa.array([x.tobytes() for x in labels]), pa.array(range(n), pa.int64())]
+    batch = pa.RecordBatch.from_arrays(columns, names=["tree", "label", "id"])
+    edges = [e for out in forest._neighbours(iter([batch])) for e in zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)]
+    assert joined_by(edges, n) == 1
+
+
+def test_runs_over_partitions_stay_whole(spark):
+    """Rows that meet in one tree only, whose order is cut into partitions."""
+    draw, n = np.random.default_rng(2), 400
+    values = draw.integers(0, 2**32, (n, forest.TREES, forest.DEPTH), dtype=np.uint32)
+    values[:, 10, : forest.BASE] = 7
+    rows = [(int(i), int(i), int(i), bytearray(v.tobytes())) for i, v in enumerate(values)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = [tuple(e) for e in forest.candidate_edges(spark.createDataFrame(rows, "d1 long, d2 long, node long, signature binary")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert joined_by(edges, n) == 1
+
+
 def test_estimates_follow_similarity():
     """Signature values agree about as often as sets overlap."""
     texts = as_texts(pa.array([" ".join(f"a{i}" for i in range(s, s + 300)) for s in (0, 30, 150)]))
