@@ -35,7 +35,7 @@ WINDOW, MINIMIZER = 50, 6
 NO_ID = (1 << 63) - 1
 _PLACE = np.uint64((1 << 28) - 1)
 
-FRAGMENTS = "least bigint, whole bigint, id bigint, rank int, start int, n int, times int, before int, after int"
+FRAGMENTS = "least bigint, whole bigint, id bigint, rank bigint, start int, n int, times int, before int, after int"
 WINDOWS = "least bigint, whole bigint, first_id bigint, at int, w1 bigint, w2 bigint"
 KEPT = "id bigint, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -191,8 +191,8 @@ def _keep(window: int):
 
 
 def _key(docs: DataFrame) -> DataFrame:
-    """Documents by (id, rank): rank tells rows apart that repeat an id with another text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.hash("text").alias("rank"), "text")
+    """Documents by (id, rank): rank, 64 bits of the text, tells rows apart that repeat an id with another text."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("rank"), "text")
 
 
 def _one(column: str) -> Column:

@@ -6,6 +6,7 @@ or one row that is longer.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -30,36 +31,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-class Polynomial:
-    """Hashes of runs of a sequence: sums of value * base**position, made independent of the place."""
+class Hash:
+    """Hashes of byte and value runs, for one seed: equal runs have equal hashes wherever they lie.
 
-    def __init__(self, seed: int):
-        draw = np.random.default_rng(seed)
-        self.values = draw.integers(0, 2**64, 256, dtype=np.uint64)
-        self.base = int(draw.integers(2**62, 2**63, dtype=np.uint64)) | 5
-        self._powers(1 << 10)
+    Every step goes through `mix`, which is not linear, so no arrangement of units (such as a text and
+    its mirror in two letters) cancels out, and two seeds are independent.
+    """
 
-    def _powers(self, n: int) -> None:
-        def series(factor: int) -> np.ndarray:
-            steps = np.full(n + 1, factor, _U64)
-            steps[0] = 1
-            return np.cumprod(steps)
+    LONG = 512  # longer byte runs are hashed one by one
 
-        self.powers, self.inverse = series(self.base), series(pow(self.base, -1, 1 << 64))
+    def __init__(self, seed: int):
+        draw = np.random.default_rng(seed)
+        self.seed, self.left, self.right, self.size = draw.integers(2**62, 2**63, 4, dtype=np.uint64) * _U64(2) + _U64(1)
 
     def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of values[start:end] for each pair; equal runs have equal hashes wherever they lie."""
-        if len(self.powers) <= len(values):
-            self._powers(2 * len(values))
-        sums = np.zeros(len(values) + 1, _U64)
-        np.cumsum(values * self.powers[: len(values)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(_U64))
+        """Hash of values[start:end] for each pair.
+
+        Hashes of all runs of 1, 2, 4, … values follow from each other; a run is covered by the two
+        longest such runs at its ends, so both and its length tell it.
+        """
+        sizes = ends - starts
+        out = mix(sizes.astype(_U64) * self.size + self.seed)
+        if not len(sizes) or not sizes.any():
+            return out
+        doubled, width, most = mix(values + self.seed), 1, int(sizes.max())
+        while True:
+            some = (sizes >= width) & (sizes < 2 * width)
+            if some.any():
+                a, b = doubled[starts[some]], doubled[ends[some] - width]
+                out[some] = mix(mix(a * self.left + out[some]) + b * self.right)
+            if 2 * width > most:
+                return out
+            doubled = mix(mix(doubled[:-width] * self.left) + doubled[width:] * self.right)
+            width *= 2
 
     def bytes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self.runs(self.values[data], starts, ends)
-
-
-FIRST, SECOND = Polynomial(11), Polynomial(29)
+        """Hash of data[start:end] for each pair, eight bytes at a time."""
+        sizes = ends - starts
+        out = mix(sizes.astype(_U64) * self.size + self.seed)
+        padded = np.append(data, np.zeros(8, np.uint8))
+        eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+        long = sizes > self.LONG
+        for i in np.flatnonzero(long):
+            raw = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8, key=self.seed.tobytes()).digest()
+            out[i] = mix(out[i : i + 1] + np.frombuffer(raw, "<u8"))[0]
+        at, left, number = starts[~long], sizes[~long], np.flatnonzero(~long)
+        own = out[number]
+        while True:
+            live = left > 0
+            if not live.all():
+                out[number] = own
+                at, left, number, own = at[live], left[live], number[live], own[live]
+            if not len(at):
+                return out
+            chunk = eight[at] & _FIRST_BYTES[np.minimum(left, 8)]
+            own = mix((own ^ chunk) * self.left + self.right)
+            at, left = at + 8, left - 8
+
+
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+FIRST, SECOND = Hash(11), Hash(29)
 
 
 @dataclass
@@ -96,7 +127,7 @@ class Words:
     ends: np.ndarray
     first: np.ndarray  # one more than rows
 
-    def hashes(self, by: Polynomial = FIRST) -> np.ndarray:
+    def hashes(self, by: Hash = FIRST) -> np.ndarray:
         return by.bytes(self.texts.data, self.starts, self.ends)
 
     def counts(self) -> np.ndarray:

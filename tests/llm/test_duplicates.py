@@ -8,6 +8,8 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 from halala.llm import debruijn, forest
 from halala.llm.components import components
 from halala.llm.text import FIRST, SECOND, WHITE, as_texts, slices
@@ -212,6 +214,17 @@ def test_repeats_in_periodic_texts(spark):
         assert removed(df, window, k) == kept(rows, window)
 
 
+def test_rows_under_one_id_keep_their_own_repeats(spark):
+    """Two texts without an id whose 32-bit hashes are equal: only the one with the passage loses it."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    made = spark.range(300_000).select(F.concat_ws(" ", *(F.concat(F.lit(f"r{i}x"), "id") for i in range(70))).alias("text"))
+    held = made.select(F.concat(F.lit(passage + " "), "text").alias("text"))
+    both = held.join(made.withColumnRenamed("text", "other"), F.hash(held["text"]) == F.hash(F.col("other"))).limit(1).collect()
+    assert both, "no such pair among these texts"
+    rows = [(1, passage), (None, both[0]["text"]), (None, both[0]["other"])]
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string"), 50, 6) == kept(rows, 50)
+
+
 def test_repeats_of_odd_rows(spark):
     df = odd(spark)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
@@ -219,6 +232,21 @@ def test_repeats_of_odd_rows(spark):
     assert removed(df.limit(0), 50, 6) == []
 
 
+def test_hashes_of_structured_runs():
+    for n in (64, 512, 2048):
+        one = np.array([bin(i).count("1") % 2 for i in range(n)], np.uint8)
+        data = np.concatenate([one, 1 - one])
+        for by in (FIRST, SECOND):
+            for hashed in (by.bytes(data, np.array([0, n]), np.array([n, 2 * n])), by.runs(data.astype(np.uint64), np.array([0, n]), np.array([n, 2 * n]))):
+                assert hashed[0] != hashed[1]
+    draw = np.random.default_rng(3).integers(0, 3, 120).astype(np.uint64)
+    starts, ends = np.triu_indices(120)
+    known = {}
+    for a, b, h in zip(starts, ends + 1, FIRST.runs(draw, starts, ends + 1).tolist(), strict=True):
+        assert known.setdefault(tuple(draw[a:b]), h) == h
+    assert len(set(known.values())) == len(known)
+
+
 def test_words_and_hashes():
     values = ["a  b\tc", "", None, " x", "y ", "a b", "ß é"]
     read = as_texts(pa.array(values, pa.string()))
