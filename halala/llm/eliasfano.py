@@ -8,10 +8,11 @@ table of blocks; a block holds a run of whole documents:
     ends     where each of its documents ends, an increasing sequence, Elias-Fano coded
     doc_ids  the documents' ids, coded alike, less the smallest of the block
 
-An increasing sequence of n numbers below u takes l = floor(log2(u / n)) low bits of each in one
-packed array, and the rest in a bit array where number i sets bit (high part + i): 2 + l bits each,
-without 64-bit tables. `select` finds the i-th set bit from samples of every 256th set bit, so any
-document's place is read without decoding the rest of its block.
+Such a sequence takes about 2 + log2(u / n) bits a number (`monotone`). Documents are read by `select`,
+which finds any document's place without decoding the rest of its block.
+
+Strings that the tokenizer file lists as added tokens become their ids wherever a text holds them, as
+the library does by default.
 
 Edge cases: a null text is empty and has the end id only. Repeated ids follow each other, ordered by
 a hash of the text. A null id comes after all others. An empty table gives a table without blocks. A document
@@ -23,7 +24,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -32,11 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halala.llm.text import FIRST, as_texts, slices
+from halala.llm.monotone import EliasFano
+from halala.llm.text import FIRST, SECOND, Texts, as_texts, slices, strings
 from halala.session import scratch_path
 
 BLOCK_IDS, BLOCK_DOCS = 1 << 20, 1 << 16
-SAMPLE = 256
+READ_AT_ONCE = 1 << 16  # documents whose places are selected at once
 NO_ID = (1 << 63) - 1
 
 CODED = "struct<n int, low_bits int, low binary, high binary, samples binary, base bigint>"
@@ -44,56 +45,6 @@ BLOCKS = f"shard int, block int, base bigint, first bigint, n_ids bigint, width
 READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-@dataclass
-class EliasFano:
-    """A non-decreasing sequence of numbers from 0 on."""
-
-    n: int
-    low_bits: int
-    low: bytes
-    high: bytes
-    samples: bytes
-
-    @classmethod
-    def of(cls, values: np.ndarray) -> EliasFano:
-        n = len(values)
-        values = values.astype(np.uint64)
-        top = int(values[-1]) + 1 if n else 1
-        low_bits = max(0, (top // max(n, 1)).bit_length() - 1)
-        lows = (values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)
-        place = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
-        high = np.zeros(int(place[-1]) + 1 if n else 0, np.uint8)
-        high[place] = 1
-        pack = [np.packbits(x.astype(np.uint8).ravel(), bitorder="little").tobytes() for x in (lows, high)]
-        return cls(n, low_bits, *pack, place[::SAMPLE].astype("<u4").tobytes())
-
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")
-        at = i[:, None] * self.low_bits + np.arange(self.low_bits)
-        return (bits[at].astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
-
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[: self.n]
-        i = np.arange(self.n)
-        return ((ones - i) << self.low_bits) + self._low(i)
-
-    def select(self, i: int) -> int:
-        """Number i of the sequence, from the nearest sample before it."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        at = int(np.frombuffer(self.samples, "<u4")[i // SAMPLE])
-        left, byte = i % SAMPLE, at // 8
-        bits = np.unpackbits(np.frombuffer(self.high, np.uint8, -1, byte)[: 2 * SAMPLE // 8 + 1], bitorder="little")
-        ones = np.flatnonzero(bits[at % 8 :])
-        while len(ones) <= left:  # a long gap: the next bytes, until the bit is there
-            size = 2 * len(bits) // 8
-            bits = np.unpackbits(np.frombuffer(self.high, np.uint8, -1, byte)[:size], bitorder="little")
-            ones = np.flatnonzero(bits[at % 8 :])
-        place = at + int(ones[left])
-        low = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[i * self.low_bits : (i + 1) * self.low_bits] if self.low_bits else []
-        return ((place - i) << self.low_bits) + sum(int(b) << k for k, b in enumerate(low))
-
-
 class Encoder:
     """Ids of texts by a tokenizer file, encoding each distinct piece of a slice once.
 
@@ -109,7 +60,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values() if t.content]
         self._forget()
         self.line = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.white = np.zeros(256, bool)
@@ -123,6 +74,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # of known pieces, sorted
+        self.checks = np.zeros(0, np.uint64)  # by another hash
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # their ids in `flat`
         self.flat = np.zeros(0, np.uint32)
 
@@ -178,31 +130,71 @@ class Encoder:
         first[order] = np.cumsum(sizes[order]) - sizes[order]
         return flat, first, sizes
 
-    def _learn(self, hashes: np.ndarray, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> None:
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> None:
         """Encode new pieces, given with their sorted hashes."""
         flat, first, sizes = self._ids(data, at, ends)
         place = np.searchsorted(self.hashes, hashes)
-        news = ((self.hashes, hashes), (self.first, first + len(self.flat)), (self.size, sizes))
-        self.hashes, self.first, self.size = (np.insert(old, place, new) for old, new in news)
+        news = ((self.hashes, hashes), (self.checks, checks), (self.first, first + len(self.flat)), (self.size, sizes))
+        self.hashes, self.checks, self.first, self.size = (np.insert(old, place, new) for old, new in news)
         self.flat = np.concatenate([self.flat, flat])
 
+    def _each(self, texts: Texts, rows: np.ndarray) -> list[np.ndarray]:
+        """Ids of whole rows by the library itself."""
+        raw = [texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes().decode() for i in rows]
+        return [np.array(self.library.encode(x, add_special_tokens=False).ids, np.uint32) for x in raw]
+
+    def _with_added(self, texts: Texts) -> np.ndarray:
+        """Rows that hold the string of an added token, which may not be cut into pieces."""
+        raw, found = texts.data.tobytes(), []
+        for content in self.added:
+            at = raw.find(content)
+            while at >= 0:
+                row = int(np.searchsorted(texts.offsets, at, side="right")) - 1
+                if at + len(content) <= texts.offsets[row + 1]:
+                    found.append(row)
+                    at = raw.find(content, int(texts.offsets[row + 1]))
+                else:
+                    at = raw.find(content, at + 1)
+        return np.unique(np.array(found, np.int64))
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and the number of ids of each row."""
         texts = as_texts(column)
+        whole = self._with_added(texts)
+        if not len(whole):
+            return self._by_pieces(texts)
+        keep = np.ones(len(texts), bool)
+        keep[whole] = False
+        others = np.flatnonzero(keep)
+        ids, sizes = self._by_pieces(as_texts(strings(texts.data, texts.offsets).take(pa.array(others))))
+        parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        for i, part in zip(others, np.split(ids, np.cumsum(sizes)[:-1]) if len(others) else [], strict=True):
+            parts[i] = part
+        for i, part in zip(whole, self._each(texts, whole), strict=True):
+            parts[i] = part
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+    def _by_pieces(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = texts.data, texts.offsets
         cut = np.zeros(len(data) + 1, bool)
         cut[self._cuts(data)] = True
         cut[offsets] = True
         cuts = np.flatnonzero(cut[:-1])
-        ends = np.append(cuts[1:], len(data))
+        ends = np.append(cuts[1:], len(data))[: len(cuts)]
         hashes, example, back = np.unique(FIRST.bytes(data, cuts, ends), return_index=True, return_inverse=True)
+        every = SECOND.bytes(data, cuts, ends)
+        checks = every[example]
         if len(self.hashes) > self.KEPT:
             self._forget()
-        place = np.searchsorted(self.hashes, hashes)
-        new = np.ones(len(hashes), bool) if not len(self.hashes) else self.hashes[np.minimum(place, len(self.hashes) - 1)] != hashes
+        place = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        new = self.hashes[place] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
+        alike = (checks[back] == every).all() and (not len(self.hashes) or (self.checks[place] == checks)[~new].all())
+        if not alike:  # two pieces share a hash: neither is taken for the other
+            found = self._each(texts, np.arange(len(texts)))
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
         if new.any():
             at = example[new]
-            self._learn(hashes[new], data, cuts[at], ends[at])
+            self._learn(hashes[new], checks[new], data, cuts[at], ends[at])
         piece = np.searchsorted(self.hashes, hashes)[back]
         each = self.size[piece]
         to = np.cumsum(each)
@@ -291,23 +283,31 @@ def open_tokens(spark: SparkSession, path: str) -> DataFrame:
     return joined.withColumns({"base": F.col("base") + F.col("ids_before"), "first": F.col("first") + F.col("docs_before")}).drop("ids_before", "docs_before")
 
 
-def _sequence(row: dict) -> np.ndarray:
-    return EliasFano(row["n"], row["low_bits"], row["low"], row["high"], row["samples"]).all() + row["base"]
+def _sequence(row: dict) -> EliasFano:
+    return EliasFano(row["n"], row["low_bits"], row["low"], row["high"], row["samples"])
+
+
+def _of_block(row: dict, at: np.ndarray) -> pa.RecordBatch:
+    """The documents at the given places of a block, whose ends and ids are selected."""
+    ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+    coded = _sequence(row["ends"])
+    ends = coded.select(at) + 1
+    starts = np.where(at > 0, coded.select(np.maximum(at - 1, 0)) + 1, 0)
+    sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    names = _sequence(row["doc_ids"]).select(at) + row["doc_ids"]["base"]
+    return pa.RecordBatch.from_arrays([pa.array(names), pa.array(starts + row["base"]), pa.array(ends - starts), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
+def _block_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = {n: batch.column(n)[i].as_py() for n in ("base", "width", "ends", "doc_ids")}
-            ids = np.frombuffer(batch.column("ids")[i].as_py(), f"<u{row['width']}").astype("<u4")
-            ends = _sequence(row["ends"]) + 1
-            starts = np.concatenate([[0], ends[:-1]])
-            raw = memoryview(ids.tobytes())
-            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_sequence(row["doc_ids"])), pa.array(starts + row["base"]), pa.array(ends - starts), pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+        for row in _block_rows(batch):
+            for a in range(0, row["ends"]["n"], READ_AT_ONCE):
+                yield _of_block(row, np.arange(a, min(a + READ_AT_ONCE, row["ends"]["n"])))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

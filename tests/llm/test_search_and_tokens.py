@@ -85,15 +85,13 @@ def test_elias_fano_round_trip(values):
         assert len(coded.low) + len(coded.high) <= len(values) * (3 + coded.low_bits) // 8 + 2
 
 
-TEXTS = ["a  b", "a   b \n c", " lead", "trail ", "don't stop", "x\u00a0 y", "漢 字 　 z", "é à è", "1 2  3", "", " ", "  ", "a\n b", "\t a b", "<|endoftext|> a", "🙂 🙂"]
+TEXTS = ["a  b", "a   b \n c", " lead", "trail ", "don't stop", "x\u00a0 y", "漢 字 　 z", "é à è", "1 2  3", "", " ", "  ", "a\n b", "\t a b", "<|endoftext|> a", "a<|endoftext|>b", "x <|endoftext|><|endoftext|>  y", "<|endoftext", "|>", "🙂 🙂"]
 
 
 def library():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(tokenizer_file())
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(tokenizer_file())
 
 
 def test_encoder_equals_library():
@@ -106,6 +104,43 @@ def test_encoder_equals_library():
     assert own.tolist() == sum(wanted, [])
 
 
+def mirrored(n):
+    """A text over two letters that hides from linear hashes, and its mirror."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_pieces_keep_their_own_ids():
+    texts = [t for n in (64, 512, 1024, 2048) for t in mirrored(n)]
+    own, sizes = eliasfano.Encoder(tokenizer_file()).encode(pa.array(texts))
+    wanted = [library().encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(own, np.cumsum(sizes)[:-1])] == wanted
+
+
+def test_pieces_with_one_hash_are_encoded_apart(monkeypatch):
+    monkeypatch.setattr(eliasfano, "FIRST", type("Same", (), {"bytes": lambda self, data, a, b: np.zeros(len(a), np.uint64)})())
+    encoder = eliasfano.Encoder(tokenizer_file())
+    for texts in (["one"], ["two"], ["one two", "three"]):
+        own, _ = encoder.encode(pa.array(texts))
+        assert own.tolist() == sum((library().encode(t, add_special_tokens=False).ids for t in texts), [])
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 5000])
+@pytest.mark.parametrize("top", [1, 3, 5000, 2**40, 2**62])
+def test_places_of_a_sequence(n, top):
+    draw = np.random.default_rng(n)
+    values = np.sort(draw.integers(0, top, n))
+    coded = eliasfano.EliasFano.of(values)
+    some = draw.integers(0, n, 100)
+    assert (coded.select(some) == values[some]).all()
+    for wanted in (draw.integers(0, top, 3), values[some]):
+        assert (coded.successor(wanted) == np.searchsorted(values, wanted)).all()
+        begin = draw.integers(0, n, len(wanted))
+        end = np.minimum(n, begin + draw.integers(0, 9, len(wanted)))
+        inside = np.clip(np.searchsorted(values, wanted), begin, end)
+        assert (coded.successor(wanted, begin, end) == inside).all()
+
+
 def expected(rows):
     made, out, start = library(), [], 0
     for i, text in rows:
