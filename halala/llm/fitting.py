@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIT_ROWS = 6000  # labelled documents of each class that a fit reads, about, at most
+FIT_ROWS = 3000  # labelled documents of each class that a fit reads, about, at most
 FIT_BYTES = 16384  # longer texts are scored like all others, but not fitted on
 
 
@@ -39,6 +39,26 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS,
     return texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "label", "text").select("text", "label")
 
 
+def of_each_class(rows: DataFrame, label: str, key: list[str], wanted: int, most: int) -> DataFrame:
+    """About `wanted` rows of each value of `label` at most, and all rows of the rarer values, by a hash of the key.
+
+    Counts are taken per class, so a class with few rows is kept whole however large the others are.
+    When there are more than most / wanted classes each gets its part of `most`; of more than `most`
+    classes the most frequent ones are used.
+    """
+    counts = rows.groupBy(label).agg(F.count("*").alias("n_of_class")).orderBy(F.desc("n_of_class"), label).limit(most)
+    few = counts.toArrow()  # at most `most` names
+    names, n = few.column(label).to_pylist(), few.column("n_of_class").to_pylist()
+    each = min(wanted, most // max(1, len(names)))
+    whole = 1 << 40
+    shares = [(name, int(min(1.0, each / count) * whole)) for name, count in zip(names, n, strict=True)]
+    if not shares:
+        return rows.limit(0)
+    chosen = rows.sparkSession.createDataFrame(shares, f"class_name {dict(rows.dtypes)[label]}, share bigint")
+    place = F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(whole))
+    return rows.join(F.broadcast(chosen), F.col(label) == F.col("class_name")).where(place < F.col("share")).select(*rows.columns)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

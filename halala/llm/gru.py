@@ -12,7 +12,6 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halala.llm.fitting import FIT_BYTES, Adam, about, fold
+from halala.llm.fitting import Adam, fold, of_each_class
 from halala.llm.text import LOWER, Texts, as_texts, ranges, slices
 
 UNKNOWN = "und"
 HIDDEN, STRETCH = 10, 128
-FIT_ROWS, FIT_PER_LANGUAGE = 6000, 1000  # documents read, about, and used of each language
+FIT_PER_LANGUAGE, FIT_ROWS = 1000, 20_000  # documents fitted on of each language, about, and of all
+FIT_SIZE = 4096  # characters of a document that are fitted on
 FIT_STRETCH, FIT_BATCH, FIT_ROUNDS = 48, 384, 180
 ROOM = 2048  # stretches at a time
 
@@ -207,14 +207,15 @@ def has_letter(texts: Texts) -> np.ndarray:
     return found
 
 
-def fitted(docs: DataFrame, rows: int = FIT_ROWS, each: int = FIT_PER_LANGUAGE, size: int = FIT_BYTES) -> Network:
-    """A network of docs(doc_id, text, lang): about `rows` by a hash of the id, of each language at most `each`."""
-    few = about(docs.select("doc_id", "lang", "text").where("lang is not null"), rows, "doc_id").where(F.octet_length("text") <= size)
-    got = few.orderBy(F.xxhash64("doc_id", "text"), "lang", "text").select("text", "lang").toArrow()
-    names = got.column("lang").to_pylist()
-    seen: Counter[str] = Counter()
-    kept = [i for i, name in enumerate(names) if seen.update([name]) or seen[name] <= each]
-    return train(as_texts(got.column("text").take(pa.array(kept, pa.int64()))), [names[i] for i in kept])
+def fitted(docs: DataFrame, each: int = FIT_PER_LANGUAGE, rows: int = FIT_ROWS, size: int = FIT_SIZE) -> Network:
+    """A network of docs(doc_id, text, lang): about `each` documents of every language, and the first `size` characters of longer ones.
+
+    A language with fewer documents is used whole, so every language that occurs is learned, whatever the
+    size of the table, as long as there are no more than `rows` of them.
+    """
+    few = of_each_class(docs.select("doc_id", "lang", "text").where("lang is not null and octet_length(text) > 0"), "lang", ["doc_id", "text"], each, rows)
+    got = few.orderBy(F.xxhash64("doc_id", "text"), "lang", "text").select(F.substring("text", 1, size).alias("text"), "lang").toArrow()
+    return train(as_texts(got.column("text")), got.column("lang").to_pylist())
 
 
 def _predict(sent):

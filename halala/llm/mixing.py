@@ -12,7 +12,7 @@ round is one pass over the table of probabilities that sums one number per domai
 stored between rounds.
 
 Edge cases: null and blank texts have no words; they have the probabilities of a text without
-features and a rate like any other, and no weight. Domains without a labelled document cannot be
+features, no weight, and keep the rate 1. Domains without a labelled document cannot be
 recognised and are left out of the targets, whose shares are scaled to sum to 1. Without labelled
 documents all rates are 1 and the domain is null. Repeated rows are mixed alike. Extra columns are
 ignored.
@@ -20,6 +20,7 @@ ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halala.llm.fitting import FIT_BYTES, Adam, about
+from halala.llm.fitting import FIT_BYTES, Adam, of_each_class
 from halala.llm.shared import written
 from halala.llm.text import LOWER, WHITE, Texts, as_texts, mix, slices
 
 SLOTS = 1024
-FIT_ROWS, FIT_STEPS = 4000, 120
+FIT_EACH, FIT_ROWS, FIT_STEPS = 1000, 8000, 120  # documents of each domain, about, and of all
 ROUNDS, CLOSE = 40, 1e-4
 MEMBERS = "doc_id bigint, rank bigint, n_words bigint, p array<double>"
 
@@ -80,11 +81,14 @@ def train(texts: pa.ChunkedArray | pa.Array, labels: list[str], steps: int = FIT
     return model
 
 
-def fitted(docs: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> Softmax:
-    """A classifier from labelled(doc_id, domain): of about `rows` of its rows, chosen by a hash of the id."""
+def fitted(docs: DataFrame, labelled: DataFrame, each: int = FIT_EACH, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> Softmax:
+    """A classifier from labelled(doc_id, domain): about `each` rows of every domain, chosen by a hash of the id.
+
+    A domain with fewer rows is used whole; of long documents the first `size` characters are fitted on.
+    """
     known = labelled.select(F.col("doc_id").alias("id"), "domain").where("id is not null and domain is not null").distinct()
-    few = about(known, rows, "id")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").where(F.octet_length("text") <= size)
+    few = of_each_class(known, "domain", ["id"], each, rows)
+    texts = docs.select(F.col("doc_id").alias("id"), F.substring("text", 1, size).alias("text")).where("text is not null")
     got = texts.join(F.broadcast(few), "id").orderBy(F.xxhash64("id"), "id", "domain", "text").select("text", "domain").toArrow()
     return train(got.column("text"), got.column("domain").to_pylist())
 
@@ -135,17 +139,20 @@ def _rated(domains: list[str], steps: np.ndarray, low: float):
             p = _matrix(batch.column("p"), len(domains))
             names = pa.array(domains, pa.string()).take(pa.array(p.argmax(axis=1)))
             columns = [batch.column(c) for c in ("doc_id", "rank", "n_words")]
-            yield pa.RecordBatch.from_arrays([*columns, names, pa.array(p.max(axis=1)), pa.array(rates_of(p, steps, low))], names=["doc_id", "rank", "n_words", "domain", "probability", "rate"])
+            # Without words a document has no part in any total, and so no gradient.
+            rate = np.where(batch.column("n_words").to_numpy() > 0, rates_of(p, steps, low), max(1.0, low))
+            yield pa.RecordBatch.from_arrays([*columns, names, pa.array(p.max(axis=1)), pa.array(rate)], names=["doc_id", "rank", "n_words", "domain", "probability", "rate"])
 
     return of_batches
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 0.0, keep_all: bool = False) -> DataFrame:
+def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 0.0, keep_all: bool = False, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, rank, n_words, domain, probability, rate) for every row of docs(doc_id, text, …).
 
     `targets` are shares of words. The total stays that of the documents; with `keep_all` it is the
     least one at which no domain has to shrink, and no rate is below 1. `rank` is a hash of the text,
-    with which repeated ids are told apart.
+    with which repeated ids are told apart. Targets that are not met after `rounds` rounds give a warning that
+    names the largest gap.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("rank"), "text")
@@ -172,12 +179,21 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low:
     whole = mass.sum()
     if keep_all:
         whole = max((m / s for m, s in zip(mass, share, strict=True) if s > 0), default=whole)
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         gap = now - share * whole
         if np.abs(gap).max() <= CLOSE * max(whole, 1):
             break
         steps = np.vstack([steps, np.divide(gap, mass, out=np.zeros_like(gap), where=mass > 0)])
         now = totals(steps)
+    else:
+        gap = now - share * whole
+        if np.abs(gap).max() > CLOSE * max(whole, 1):
+            worst = int(np.abs(gap).argmax())
+            warnings.warn(
+                f"mixing: after {rounds} rounds {model.domains[worst]} is off its target by {gap[worst] / max(whole, 1):+.4f} of all words;"
+                " the targets may be out of reach of nonnegative rates",
+                stacklevel=2,
+            )
     kept = "doc_id bigint, rank bigint, n_words bigint, domain string, probability double, rate double"
     return members.mapInArrow(_rated(model.domains, steps, low), kept)
 
@@ -190,8 +206,9 @@ def copies(rate: Column, *key: str) -> Column:
 
 def mixed(docs: DataFrame, rated: DataFrame) -> DataFrame:
     """The documents, each as often as its rate says, on average over documents; the columns of docs."""
-    times = rated.groupBy("doc_id", "rank").agg(F.max("rate").alias("__rate"))
-    keyed = docs.withColumn("__rank", F.xxhash64("text")).alias("d")
-    joined = keyed.join(times.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("__rank") == F.col("t.rank")))
-    every = joined.select("d.*", "t.__rate").withColumn("__times", copies(F.col("__rate"), "doc_id", "__rank"))
-    return every.where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    times = rated.groupBy("doc_id", "rank").agg(F.max("rate").alias("rate"))
+    # The row as one value, so that its columns may have any names.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("place"))
+    joined = rows.join(times, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("place") == F.col("rank")))
+    often = joined.select("row", copies(F.col("rate"), "id", "place").alias("times")).where("times > 0")
+    return often.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from halala.llm import gru, mixing, passages, stringkernel
+from halala.llm import fitting, gru, mixing, passages, stringkernel
 from halala.llm.queries import QUERIES, TARGETS
 from halala.llm.shared import given
 from halala.llm.text import as_texts
@@ -157,6 +157,31 @@ def test_rows_without_text_or_labels(spark):
     assert gru.languages(df.limit(0)).count() == 0
 
 
+def test_rare_classes_are_fitted_on(spark):
+    """Four rows of a language among many of another one are all read, whatever the size of the table."""
+    many = spark.range(60_000).selectExpr("id as doc_id", "concat('word ', id) as text", "if(id % 15000 = 7, 'sw', 'en') as lang")
+    few = fitting.of_each_class(many, "lang", ["doc_id"], 500, 4000)
+    counts = {r["lang"]: r["count"] for r in few.groupBy("lang").count().collect()}
+    assert counts["sw"] == 4 and 400 < counts["en"] < 600
+    assert fitting.of_each_class(many, "lang", ["doc_id"], 500, 1).select("lang").distinct().count() == 1
+    assert fitting.of_each_class(many.limit(0), "lang", ["doc_id"], 500, 4000).count() == 0
+    model = mixing.fitted(many, many.selectExpr("doc_id", "lang as domain"))
+    assert model.domains == ["en", "sw"]
+
+
+def test_targets_out_of_reach_are_named(spark):
+    rows = [(i, f"the quiet water {i}" if i % 2 else f"das stille wasser {i}", "en" if i % 2 else "de") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.warns(UserWarning, match="off its target"):
+        mixing.rates(df, df.selectExpr("doc_id", "lang as domain"), {"en": 0.9, "de": 0.1}, rounds=0)
+
+
+def test_mixing_of_columns_with_any_name(spark):
+    df = spark.createDataFrame([(1, "a b", 5, 6), (None, "c", 7, 8)], "doc_id long, text string, __rank int, times int")
+    rated = mixing.rates(df, df.selectExpr("doc_id", "'en' as domain"), {"en": 1.0}, keep_all=True)
+    assert sorted((tuple(r) for r in mixing.mixed(df, rated).collect()), key=repr) == sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def test_mixing_of_odd_rows(spark):
     df = odd(spark)
     labelled = df.selectExpr("doc_id", "lang as domain")
