@@ -17,11 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from halala.llm.fitting import FIT_BYTES, Adam, fold, sample, sigmoid
-from halala.llm.text import FIRST, WHITE, Texts, as_texts, run_starts, slices
+from halala.llm.text import FIRST, WHITE, Texts, as_texts, ranges, run_starts, slices
 
 PASSAGE = 64  # words
 FIT_ROWS = 3000
@@ -134,24 +135,30 @@ class Attention:
 
     @classmethod
     def fit(cls, bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Attention:
+        return cls.fit_rows(np.concatenate([np.zeros((0, FEATURES), np.float32), *bags]).astype(np.float32), np.array([len(b) for b in bags]), labels, epochs)
+
+    @classmethod
+    def fit_rows(cls, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> Attention:
+        """Fit on the passages of all bags, one bag after the other; x is scaled in place, not copied."""
         if len(set(labels.tolist())) < 2:
             return cls(np.zeros(FEATURES), np.ones(FEATURES), {}, float(labels.mean()) if len(labels) else 1.0)
-        every = np.concatenate(bags).astype(np.float64)
-        mean, scale = every.mean(axis=0), every.std(axis=0) + 1e-3
+        start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        mean = x.mean(axis=0, dtype=np.float64)
+        scale = x.std(axis=0, dtype=np.float64) + 1e-3
+        x -= mean.astype(np.float32)
+        x /= scale.astype(np.float32)
         draw = np.random.default_rng(7)
         size = {"hidden": (FEATURES, HIDDEN), "hidden0": (HIDDEN,), "value": (HIDDEN, GATE), "gate": (HIDDEN, GATE), "attend": (GATE,), "out": (HIDDEN,), "out0": ()}
         model = cls(mean, scale, {k: np.array(draw.normal(0, (1 / s[0]) ** 0.5 if s else 0.1, s)) for k, s in size.items()})
-        bags = [(b - mean) / scale for b in bags]
-        sizes = np.array([len(b) for b in bags])
         adam = Adam(model.weights, 0.01)
-        rounds = max(epochs, min(1500, 60 * 400 // max(1, len(bags))))
+        rounds = max(epochs, min(1500, 60 * 400 // max(1, len(sizes))))
         for epoch in range(rounds):
             adam.rate = 0.01 * (1 - epoch / rounds) + 1e-4
-            order = draw.permutation(len(bags))
+            order = draw.permutation(len(sizes))
             for a in range(0, len(order), 64):
                 some = order[a : a + 64]
                 first = np.concatenate([[0], np.cumsum(sizes[some])])
-                adam.step(model.gradients(np.concatenate([bags[i] for i in some]), first, labels[some]))
+                adam.step(model.gradients(x[np.repeat(start[some], sizes[some]) + ranges(sizes[some])].astype(np.float64), first, labels[some]))
         return model
 
 
@@ -165,8 +172,13 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS, size: int = FIT_BYTES) -> Attention:
     """A model of labels(doc_id, label) over docs(doc_id, text); passages are encoded by the tasks."""
     got = sample(docs, labels, label, rows, size).mapInArrow(_encoded, "bag binary, label int").toArrow()
-    bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in got.column("bag").to_pylist()]
-    return Attention.fit(bags, got.column("label").to_numpy().astype(np.float64))
+    known = got.column("label").to_numpy().astype(np.float64)
+    sizes = pc.binary_length(got.column("bag")).to_numpy().astype(np.int64) // (4 * FEATURES)
+    raw = bytearray()
+    for bag in got.column("bag"):
+        raw += bag.as_buffer()
+    del got
+    return Attention.fit_rows(np.frombuffer(raw, np.float32).reshape(-1, FEATURES), sizes, known)
 
 
 def _scores(sent):
