@@ -32,7 +32,7 @@ TREES, DEPTH, BASE = 20, 8, 4
 BLOCK_SHINGLES, BLOCK_ROWS = 1 << 19, 1024  # aim for one block of a cluster
 NO_ID = (1 << 63) - 1
 
-SETS = "id bigint, n_shingles bigint, d1 bigint, d2 bigint, signature binary"
+SETS = "id bigint, rank bigint, n_shingles bigint, d1 bigint, d2 bigint, signature binary"
 LABELS = "tree int, label binary, d1 bigint, d2 bigint, id bigint"
 EDGES = "a bigint, b bigint"
 BORDERED = "a bigint, b bigint, tree int, prefix binary"
@@ -77,8 +77,8 @@ def _signatures(k: int):
                     digests[i, full] = signed(of_set.runs(values, at, first[1:][full]))
             raw = [row.tobytes() for row in signature]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("id"), pa.array(sizes.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), pa.array(raw, pa.binary())],
-                names=["id", "n_shingles", "d1", "d2", "signature"],
+                [piece.column("id"), piece.column("rank"), pa.array(sizes.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), pa.array(raw, pa.binary())],
+                names=["id", "rank", "n_shingles", "d1", "d2", "signature"],
             )
 
     return of_batches
@@ -184,9 +184,9 @@ def _confirm(k: int, least: int):
 
 
 def _distinct_sets(sets: DataFrame) -> DataFrame:
-    """One row per distinct set: the smallest id that has it, and its signature."""
+    """One row per distinct set: the first row that has it, by (id, rank), and its signature."""
     held = sets.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
-    return held.agg(F.min("id").alias("id"), F.max("signature").alias("signature"))
+    return held.agg(F.min(F.struct("id", "rank")).alias("own"), F.max("signature").alias("signature")).select("n_shingles", "d1", "d2", "own.*", "signature")
 
 
 def candidate_edges(distinct: DataFrame) -> DataFrame:
@@ -206,17 +206,18 @@ def node_of() -> Column:
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, least: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text, …).
+    """(doc_id, rank, n_shingles, component_id, kept, first) for every row of docs(doc_id, text, …).
 
     Two sets are linked when 100 * |both| >= least * |either|; component_id is the smallest doc_id
-    reached over links.
+    reached over links. `rank` is a hash of the text; `first` marks the row of each component with the
+    smallest (doc_id, rank), and its exact repetitions, and all rows without words.
     """
     ids = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
-    sets = written(docs.select(ids.alias("id"), "text").mapInArrow(_signatures(k), SETS))
+    sets = written(docs.select(ids.alias("id"), F.xxhash64("text").alias("rank"), "text").mapInArrow(_signatures(k), SETS))
     distinct = _distinct_sets(sets).withColumn("node", node_of())
     clusters = components(candidate_edges(distinct)).withColumnRenamed("component", "cluster")
 
-    members = written(distinct.select("node", "n_shingles", "d1", "d2", "id").join(clusters, "node"))
+    members = written(distinct.select("node", "n_shingles", "d1", "d2", "id", "rank").join(clusters, "node"))
     sizes = members.groupBy("cluster").agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("rows"))
     parts = F.ceil(F.greatest(F.col("shingles") / BLOCK_SHINGLES, F.col("rows") / BLOCK_ROWS)).cast("int")
     blocks = members.join(sizes.select("cluster", parts.alias("parts")), "cluster")
@@ -232,21 +233,23 @@ def near_duplicates(docs: DataFrame, k: int = 3, least: int = 85) -> DataFrame:
     wanted = members.select("id").distinct().hint("merge")
     # A repeated id may have other texts: only the text whose set is meant is compared.
     sized = texts.join(wanted, "id", "left_semi").mapInArrow(_sized(k), "id bigint, d1 bigint, d2 bigint, text string")
-    own = members.select("node", "id", "d1", "d2")
-    picked = sized.join(own, ["id", "d1", "d2"]).groupBy("node").agg(F.min("text").alias("text"))
+    of_node = members.select("node", "id", "d1", "d2")
+    picked = sized.join(of_node, ["id", "d1", "d2"]).groupBy("node").agg(F.min("text").alias("text"))
     pairs = placed.select("node", "cluster", "low", "high").join(picked, "node").withColumnRenamed("node", "id")
     confirmed = pairs.groupBy("cluster", "low", "high").applyInPandas(_confirm(k, least), EDGES)
     linked = components(written(confirmed.distinct()))
 
-    least_id = members.select("node", "id").join(linked, "node").groupBy("component").agg(F.min("id").alias("component_id"))
-    of_set = linked.join(least_id, "component").select("node", "component_id")
-    found = sets.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, node_of()).alias("node"))
-    own_least = distinct.select("node", F.col("id").alias("own_id"))
-    named = own_least.join(of_set, "node", "left").select("node", F.coalesce("component_id", "own_id").alias("component_id"))
+    first = F.struct("id", "rank")
+    least_row = members.select("node", "id", "rank").join(linked, "node").groupBy("component").agg(F.min(first).alias("least_row"))
+    of_set = linked.join(least_row, "component").select("node", "least_row")
+    found = sets.select("id", "rank", "n_shingles", F.when(F.col("n_shingles") > 0, node_of()).alias("node"))
+    own = distinct.select("node", first.alias("own"))
+    named = own.join(of_set, "node", "left").select("node", F.coalesce("least_row", "own").alias("least_row"))
     # Written first: a set that a third of all rows has is then split over tasks by the plain join.
-    joined = found.join(written(named), "node", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    joined = found.join(written(named), "node", "left").withColumn("component_id", F.coalesce("least_row.id", "id"))
     real = [F.when(F.col(c) != NO_ID, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("component_id", "component_id"))]
-    return joined.select(real[0], "n_shingles", real[1], F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    is_first = F.coalesce(F.col("least_row") == first, F.lit(True)).alias("first")
+    return joined.select(real[0], "rank", "n_shingles", real[1], (F.col("id") == F.col("component_id")).alias("kept"), is_first)
 
 
 def _sized(k: int):

@@ -113,7 +113,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_minhash_lsh_forest", OP4_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near-duplicate documents."""
-    return forest.near_duplicates(given(spark, folder, "documents"))
+    return forest.near_duplicates(given(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 URL_RULES = [

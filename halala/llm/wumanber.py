@@ -250,6 +250,26 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = B
     return _hits(*_blocks(docs, benchmark, span, block))
 
 
+def _clean(sent):
+    search = _search(sent)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            none = pa.nulls(piece.num_rows, pa.int64())
+            asked = pa.RecordBatch.from_arrays([none, none, piece.column("text")], names=["doc_id", "rank", "text"])
+            hit = [list_sizes(x.column("starts")) for x in search([asked])]
+            yield piece.filter(pa.array(np.concatenate(hit) == 0)) if hit else piece
+
+    return of_batches
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
+    """The rows of docs without any window; each row is judged where it is read, nothing is shuffled."""
+    for sent in _blocks(docs, benchmark, span, block)[1]:
+        docs = docs.mapInArrow(_clean(sent), docs.schema)
+    return docs
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row of docs(doc_id, text, …)."""
     read, sent = _blocks(docs, benchmark, span, block)

@@ -61,6 +61,24 @@ def test_stages_one_by_one(spark):
     assert whole == sorted(tuple(r) for r in pipeline.run(spark, FOLDER).collect())
 
 
+def test_rows_are_judged_by_their_own_texts(spark):
+    """Null and repeated ids with different texts: near_dedup and decontaminate touch no other row."""
+    item = given(spark, FOLDER, "benchmark").where("text is not null").orderBy("item_id").first()["text"]
+    own = [" ".join(f"t{i}w{j}" for j in range(40)) for i in range(9)]
+    texts = [(None, own[0]), (None, own[1]), (None, own[2]), (7, own[3]), (7, own[4]), (9, own[5]), (None, None), (None, None), (9, " ")]
+    near = [(3, own[0]), (None, own[1] + " more"), (7, own[3])]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts + near], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in pipeline.near_dedup(spark, df, FOLDER).collect()), key=repr)
+    left = [(3, own[0]), (None, own[2]), (7, own[3]), (7, own[4]), (9, own[5]), (None, None), (None, None), (9, " ")]
+    assert [x for x in got if x[1] is None or not x[1].startswith(own[1])] == sorted(left, key=repr)
+    assert len([x for x in got if x[1] and x[1].startswith(own[1])]) == 1
+
+    dirty = [(None, own[6] + " " + item), (7, item)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts + dirty], df.schema)
+    got = sorted(((r["doc_id"], r["text"]) for r in pipeline.decontaminate(spark, df, FOLDER).collect()), key=repr)
+    assert got == sorted(texts, key=repr)
+
+
 def test_stages_of_odd_and_empty_rows(spark):
     some = odd(spark)
     for _, stage in pipeline.STAGES:
