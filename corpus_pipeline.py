@@ -1,8 +1,9 @@
 """A corpus from raw documents to token files: five stages, each one operator, written between stages.
 
-Every stage takes (spark, docs, sf_dir) and works on all rows of docs. Repeated rows, null texts and
-null ids pass through each stage under the rules of its operator; extra columns are dropped. Stages
-of an empty table give an empty table.
+Every stage takes (spark, docs, sf_dir) and works on all rows of docs. Rows are judged by their own
+texts, also under null and repeated ids: near_dedup keeps one row of each group of alike texts and all
+rows without words, decontaminate drops the rows that hold a window and no others. Extra columns are
+dropped. Stages of an empty table give an empty table.
 """
 
 from __future__ import annotations
@@ -17,12 +18,7 @@ from halala.llm.shared import given, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 GOOD = 0.3  # least score of a document that is kept
-
-
-def _among(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (left_semi) or is not (left_anti) in wanted(doc_id); null equals null."""
-    ids = wanted.select("doc_id").distinct().alias("w")
-    return docs.alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), how).select(*COLUMNS)
+HAS_WORDS = r"coalesce(text, '') rlike r'[^\x20\x09-\x0D]'"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +28,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id, once."""
-    kept = forest.near_duplicates(docs, k=5, least=80).where("kept")
-    once = docs.select(*COLUMNS).dropDuplicates(["doc_id"])
-    return _among(once, kept, "left_semi")
+    """One document of each group of near-duplicates: the one with the smallest id, once.
+
+    Rows are told apart by id and text, so documents without an id or under a repeated one are judged
+    by their own texts. Documents without words are in no group and all stay.
+    """
+    first = forest.near_duplicates(docs, k=5, least=80).where("first and n_shingles > 0").select("doc_id", "rank").distinct().alias("f")
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("rank"))
+    once = rows.where(HAS_WORDS).dropDuplicates(["doc_id", "rank"]).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.rank") == F.col("f.rank"))
+    return once.join(first, same, "left_semi").union(rows.where(f"not ({HAS_WORDS})")).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    return _among(docs, wumanber.contamination(docs, given(spark, sf_dir, "benchmark")).where("contaminated"), "left_anti")
+    return wumanber.clean(docs.select(*COLUMNS), given(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
