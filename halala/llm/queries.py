@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halala.llm import debruijn, eliasfano, forest, gru, mixing, passages, stringkernel, urlrules, weighted, wumanber
+from halala.llm import debruijn, eliasfano, feast, forest, gru, mixing, ngramtrie, passages, stringkernel, stripes, urlrules, weighted, wumanber
 from halala.llm.shared import given
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,29 @@ from d left join k on d.doc_id = k.doc_id
 """
 
 
+OP13_SQL = rf"""
+with p as (
+  select coalesce(lang, 'und') lang, unnest(string_split_regex(coalesce({LOWERED}, ''), '[.,;:!?\x0A-\x0D]')) piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from p),
+t as (select lang, sum(len(w)) n from w group by lang),
+g as (select lang, k, w[i:i + k - 1] v from w, (select unnest([1, 2, 3]) k) s, unnest(range(1, len(w) - k + 2)) u(i)),
+f as (select lang, k, v, count(*) f from g group by lang, k, v),
+c as (select * from f where k > 1 and f >= 10),
+cut as (
+  select c.lang, c.k, c.v, c.f, x.f l, y.f r, len(x.v) cut, (1000000::hugeint * c.f * c.f) // (x.f::hugeint * y.f) score
+  from c, unnest(range(1, c.k)) z(i) join f x on x.lang = c.lang and x.v = c.v[1:i] join f y on y.lang = c.lang and y.v = c.v[i + 1:]),
+best as (select * from cut qualify row_number() over (partition by lang, v order by score, cut) = 1),
+inner_of as (select lang, v[1:2] v, f from c where k = 3 union all select lang, v[2:3] v, f from c where k = 3),
+most as (select lang, v, max(f) f from inner_of group by lang, v),
+kept as (
+  select best.*, array_to_string(best.v, ' ') phrase
+  from best left join most on best.lang = most.lang and best.v = most.v where most.f is null or 100 * most.f < 50 * best.f),
+ranked as (select *, row_number() over (partition by lang order by score desc, f desc, phrase) place from kept)
+select ranked.lang, place "rank", phrase, f a, l, r, cast(n as bigint) n, cast(score as bigint) score
+from ranked join t on ranked.lang = t.lang where place <= 2000
+"""
+
+
 @query("op1_wu_manber_decontamination", OP1_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Words of benchmark windows in every document."""
@@ -160,3 +183,21 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without passages that an earlier one has."""
     kept = debruijn.without_repeats(given(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op11_feast_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding on the first 16 components, whitened."""
+    return feast.whitened(given(spark, folder, "embeddings"))
+
+
+@query("op12_elias_fano_ngram_trie")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return ngramtrie.language_scores(given(spark, folder, "documents"))
+
+
+@query("op13_stripe_collocations", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The first phrases of every language."""
+    return stripes.collocations(given(spark, folder, "documents"))
