@@ -38,19 +38,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from halala.llm.monotone import EliasFano
-from halala.llm.numbered import PLACE_BITS, SLICE, Numbering, answers_of, bucketed, local, merged, narrow, numbers, of_answers, pack, shard_bits, unpack, wide
+from halala.llm.numbered import SLICE, Numbering, answers_of, bucketed, by_number, local, merged, numbers, of_answers, pack, pack_keys, shard_bits, unpack, words_below
 from halala.llm.shared import written
 from halala.llm.text import WHITE, as_texts, mix, slices
 
 ORDER = 3
 STRENGTH = {2: 1.0, 3: 1.0}  # m of each order
-STEPS = 256
+STEPS, CODE_BITS = 64, 16
 HOT = 1 << 20
 GRAMS = 1 << 19  # n-grams that a shard gets, about
 ADDED = 0.1
 END = np.uint64(0x9E3779B97F4A7C15)  # key of the end token, which is no word's
 
-SLICES = "part string, slice bigint, keys binary, counts binary, tokens binary, sizes binary, ids array<bigint>, held array<boolean>, train array<boolean>, n_tokens bigint, n_train bigint, docs bigint"
+SLICES = "part string, slice bigint, keys binary, counts binary, n_keys int, tokens binary, sizes binary, ids array<bigint>, held array<boolean>, train array<boolean>, n_tokens bigint, n_train bigint, docs bigint"
 SENT = "shard bigint, slice bigint, n int, contexts int, packed binary"
 ANSWERS = "slice bigint, shard bigint, n int, packed binary, trie binary"
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -58,7 +58,7 @@ SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base
 
 def code_of(p: np.ndarray) -> np.ndarray:
     """Quantised -log10 of probabilities."""
-    return np.clip(np.rint(-STEPS * np.log10(p)), 0, 65535).astype(np.int64)
+    return np.clip(np.rint(-STEPS * np.log10(p)), 0, (1 << CODE_BITS) - 1).astype(np.int64)
 
 
 def value_of(code: np.ndarray) -> np.ndarray:
@@ -174,11 +174,11 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = piece.column("train").to_numpy(zero_copy_only=False)
         counts = np.bincount(place[np.repeat(train, sizes)], minlength=len(distinct)).astype(np.int64)
         row = {
-            "part": "", "slice": number(), "keys": distinct.tobytes(), "counts": counts.tobytes(), "tokens": narrow(place), "sizes": pack(sizes),
+            "part": "", "slice": number(), "keys": pack_keys(distinct), "counts": pack(counts), "n_keys": len(distinct), "tokens": pack(place), "sizes": pack(sizes),
             "ids": piece.column("id").to_pylist(), "held": piece.column("held").to_pylist(), "train": train.tolist(),
             "n_tokens": len(keys), "n_train": int(counts.sum()), "docs": int(train.sum()),
         }
-        kinds = {"keys": pa.binary(), "counts": pa.binary(), "tokens": pa.binary(), "sizes": pa.binary(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "train": pa.list_(pa.bool_())}
+        kinds = {"keys": pa.binary(), "counts": pa.binary(), "n_keys": pa.int32(), "tokens": pa.binary(), "sizes": pa.binary(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "train": pa.list_(pa.bool_())}
         yield pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k)) for k, v in row.items()], names=list(row))
 
 
@@ -203,10 +203,9 @@ class Grams:
 
     def __init__(self, row: dict, totals: Totals, order: int):
         self.totals = totals
-        numbered, self.counts = of_answers(row["numbers"], 2)
-        n = len(row["ids"])
-        self.sizes = unpack(row["sizes"].as_buffer(), n)[0].astype(np.int64)
-        tokens = wide(row["tokens"].as_py(), int(self.sizes.sum()))
+        self.sizes = unpack(row["sizes"].as_buffer(), len(row["ids"]))[0].astype(np.int64)
+        tokens = unpack(row["tokens"].as_buffer(), int(self.sizes.sum()))[0].astype(np.int64)
+        tokens, numbered, self.counts = by_number(tokens, *of_answers(row["numbers"], 2))
         first = np.cumsum(self.sizes + order - 1) - self.sizes - order + 1
         self.starts = first  # of documents, at their first beginning
         self.predicted = np.ones(int((self.sizes + order - 1).sum()), bool)
@@ -236,20 +235,23 @@ class Grams:
         for column in self.columns[:-1]:
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64))
         # A context occurs no more often than its rarest word.
-        most = np.minimum.reduce([self.often[x] for x in own[:-1]])
-        spread = (mix(self.columns[-1].astype(np.uint64)) >> np.uint64(20)).astype(np.int64) % (1 + most // HOT)
+        parts = 1 + np.minimum.reduce([self.often[x] for x in own[:-1]]) // HOT
+        self.dealt = parts > 1
+        self.frequent = np.minimum.reduce([self.often[x] for x in own]) >= HOT  # will be dealt as contexts
+        spread = (mix(self.columns[-1].astype(np.uint64)) >> np.uint64(20)).astype(np.int64) % parts
         shard = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(at), np.int64)
         self.shard = (shard + spread) & ((1 << bits) - 1)
         self.by_shard = np.argsort(self.shard, kind="stable")
 
     def sent(self) -> Iterator[tuple[int, int, int, bytes]]:
         """(shard, n-grams, contexts, packed) for each shard."""
-        order, strength = self.by_shard, STRENGTH[self.order]
+        order = self.by_shard
         shard = self.shard[order]
         columns = [c[order] for c in self.columns]
         within = np.bincount(self.places[self.trained], minlength=self.distinct)[1:][order]
-        context = self.n[self.context[order]]
-        back = code_of(strength * self.p[self.shorter[order]] / (context + strength))
+        # A context in one shard is counted there.
+        context = np.where(self.dealt[order], self.n[self.context[order]], 0)
+        shorter = code_of(self.p[self.shorter[order]]) | self.frequent[order].astype(np.int64) << CODE_BITS
         new = np.ones(len(shard), bool)
         new[1:] = shard[1:] != shard[:-1]
         cuts = np.append(np.flatnonzero(new), len(shard))
@@ -261,7 +263,7 @@ class Grams:
         for a, b, x, y in zip(cuts, cuts[1:], head_cuts, head_cuts[1:], strict=False):
             some = heads[x:y]
             steps = np.diff(columns[0][some], prepend=0)  # ascending
-            raw = pack(steps, *(c[some] for c in columns[1:-1]), context[some], children[x:y], columns[-1][a:b], within[a:b], back[a:b])
+            raw = pack(steps, *(c[some] for c in columns[1:-1]), context[some], children[x:y], columns[-1][a:b], within[a:b], shorter[a:b])
             yield int(shard[a]), int(b - a), int(y - x), raw
 
     def answered(self, answers: pa.Scalar, last: bool) -> None:
@@ -310,7 +312,7 @@ def _send(totals: Totals, order: int, bits: int, last: int):
     return of_batches
 
 
-def _answer(words: int, order: int, last: bool):
+def _answer(words: int, order: int, last: bool, keep: bool):
     strength = STRENGTH[order]
 
     def of_shard(rows: pa.Table) -> pa.Table:
@@ -324,22 +326,31 @@ def _answer(words: int, order: int, last: bool):
             parts.append([*(np.repeat(x, children) for x in got[:order]), *got[order + 1 :]])
         columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
         del parts
-        context, word, within, back = columns[order - 1 :]
+        context, word, within, shorter = columns[order - 1 :]
         columns = [*columns[: order - 1], word]
         first, place = merged(columns)
         total = np.bincount(place, within, len(first)).astype(np.int64)
         columns = [c[first] for c in columns]
-        context, back = context[first], back[first]
+        new = np.ones(len(first), bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:-1]])
+        group = np.cumsum(new) - 1
+        inside = np.bincount(group, total).astype(np.int64)[group]
+        context = np.where(context[first] > 0, context[first], inside)
+        frequent, shorter = shorter[first] >> CODE_BITS > 0, shorter[first] & (1 << CODE_BITS) - 1
+        lower = strength * value_of(shorter)
+        back = code_of(lower / (context + strength))
         seen = total > 0
-        code = code_of(total[seen] / (context[seen] + strength) + value_of(back[seen]))
+        code = code_of((total[seen] + lower[seen]) / (context[seen] + strength))
         raw = Trie.of(words, [c[seen] for c in columns], code, total[seen]).raw()
         trie = _mapped(raw)
         leaf = trie.find(columns)
         hit = leaf >= 0
         found = [np.where(hit, trie.codes[np.maximum(leaf, 0)] if len(trie.codes) else 0, back).astype(np.int64)]
         if not last:
+            # Only n-grams that will be dealt as contexts need their counts outside.
             counts = np.zeros(len(leaf), np.int64)
-            counts[hit] = trie.counts(leaf[hit])
+            asked = hit & frequent
+            counts[asked] = trie.counts(leaf[asked])
             found.append(counts)
         ends = np.cumsum(sizes)
         packed = [pack(*(x[place[b - n : b]] for x in found)) for b, n in zip(ends, sizes, strict=True)]
@@ -350,7 +361,7 @@ def _answer(words: int, order: int, last: bool):
                 pa.array([*sizes.tolist(), None], pa.int32()), pa.array([*packed, None], pa.binary()), pa.array([None] * len(sizes) + [raw], pa.binary()),
             ],
             names=["slice", "shard", "n", "packed", "trie"],
-        )
+        ).slice(0, len(sizes) + keep)
 
     return of_shard
 
@@ -371,34 +382,36 @@ def _score(totals: Totals, bits: int, last: int):
 
 @dataclass
 class Model:
-    """The model's tables: (shard, trie) of each order, and what holds for the whole corpus."""
+    """The model's tables (shard, trie) of each order, if kept, and what holds for the whole corpus."""
 
     tries: dict[int, DataFrame]
     totals: Totals
 
 
-def scored(docs: DataFrame, train: str, held: str, order: int = ORDER, grams: int = GRAMS) -> tuple[DataFrame, Model]:
+def scored(docs: DataFrame, train: str, held: str, order: int = ORDER, grams: int = GRAMS, keep: bool = False) -> tuple[DataFrame, Model]:
     """Scores of every row of docs(doc_id, text, …), and the model, learned from the rows where `train` holds.
 
     The scores have doc_id, held_out (`held`), n_tokens, n_known, base_score and score; `train` and `held`
-    are SQL conditions on the columns of docs. A shard gets about `grams` n-grams.
+    are SQL conditions on the columns of docs. A shard gets about `grams` n-grams. With `keep` the tries are
+    stored, for later use by `Trie.open`; else they go with the tasks that answer from them.
     """
     flags = [F.expr(f"coalesce({condition}, false)").alias(name) for name, condition in (("train", train), ("held", held))]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), *flags, "text")
     sliced = bucketed(rows.mapInArrow(_slices, SLICES), "slice")
     n_train, n_docs, n_tokens = sliced.agg(F.sum("n_train"), F.sum("docs"), F.sum("n_tokens")).first()
     answers, key_bits = numbers(sliced)
-    answers = written(answers)
-    distinct = answers.agg(F.sum("known")).first()[0] or 0
-    totals = Totals(n_train or 0, distinct, n_docs or 0, ((1 << key_bits) << PLACE_BITS) + 1)
+    answers = bucketed(answers_of(answers, "numbers", "packed", "known"), "slice")
+    distinct = answers.agg(F.sum(F.expr("aggregate(numbers.known, 0L, (a, x) -> a + x)"))).first()[0] or 0
+    totals = Totals(n_train or 0, distinct, n_docs or 0, words_below(key_bits) + 1)
     bits = shard_bits(n_tokens or 0, grams)
 
-    mine = sliced.select("slice", "tokens", "sizes", "ids", "held", "train").join(answers_of(answers, "numbers", "packed"), "slice")
+    mine = sliced.select("slice", "tokens", "sizes", "ids", "held", "train").join(answers, "slice")
     seen, tries = mine, {}
     for k in range(2, order + 1):
         sent = seen.mapInArrow(_send(totals, k, bits, order), SENT)
-        found = written(sent.groupBy("shard").applyInArrow(_answer(totals.words, k, k == order), ANSWERS))
-        tries[k] = found.where("trie is not null").select("shard", "trie")
+        found = written(sent.groupBy("shard").applyInArrow(_answer(totals.words, k, k == order, keep), ANSWERS))
+        if keep:
+            tries[k] = found.where("trie is not null").select("shard", "trie")
         answered = answers_of(found.where("slice is not null"), f"order{k}", "packed")
         seen = seen.join(answered, "slice") if k < order else mine.join(answered, "slice")
     return seen.mapInArrow(_score(totals, bits, order), SCORED), Model(tries, totals)

@@ -5,11 +5,12 @@ A slice holds the texts of up to `SLICE` bytes as one row: the sorted 64-bit has
 whatever is joined to them later does not move them.
 
 Numbers and counts of words come from an exchange: each slice sends its keys with their counts to the
-shards of the key space, a shard sums them, numbers its distinct keys in order, and answers. All that
-is sent is packed by `pack`, since rows of single words or phrases would be many times larger. A key
-appears once a slice in one shard however often it occurs, so frequent words weigh no more than rare ones.
+shards of the key space, a shard sums them, numbers its distinct keys, the most frequent first, and
+answers. So frequent words have small numbers, which pack well. All that is sent is packed by `pack`,
+since rows of single words or phrases would be many times larger. A key appears once a slice in one shard
+however often it occurs, so frequent words weigh no more than rare ones.
 
-A part (say, a language) has its own numbering. Numbers of a part rise with the keys.
+A part (say, a language) has its own numbering.
 """
 
 from __future__ import annotations
@@ -90,13 +91,21 @@ def local(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(keys, return_index=True, return_inverse=True)
 
 
-def narrow(values: np.ndarray) -> bytes:
-    """Places as bytes, in two bytes each where that is enough."""
-    return values.astype("<u2" if not len(values) or values.max() < 1 << 16 else "<u4").tobytes()
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, packed as the steps between them."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
 
 
-def wide(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else "<u2").astype(np.int64)
+def unpack_keys(raw: pa.Buffer, n: int) -> np.ndarray:
+    return np.cumsum(unpack(raw, n)[0], dtype=np.uint64)
+
+
+def by_number(places: np.ndarray, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same words as places among the slice's words in order of their numbers; the numbers and counts in that order."""
+    order = np.argsort(numbers, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank[places], numbers[order], counts[order]
 
 
 def _cut(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -115,11 +124,12 @@ def _send(bits: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
-                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64)
+                n = batch.column("n_keys")[i].as_py()
+                keys = unpack_keys(batch.column("keys")[i].as_buffer(), n)
+                counts = unpack(batch.column("counts")[i].as_buffer(), n)[0]
                 cuts = _cut(keys, bits)
                 shards = np.flatnonzero(np.diff(cuts))
-                raw = [pack(keys[cuts[s] : cuts[s + 1]], counts[cuts[s] : cuts[s + 1]]) for s in shards]
+                raw = [pack(np.diff(keys[cuts[s] : cuts[s + 1]], prepend=np.uint64(0)), counts[cuts[s] : cuts[s + 1]]) for s in shards]
                 n = len(shards)
                 part, number = batch.column("part")[i].as_py(), batch.column("slice")[i].as_py()
                 arrays = [pa.array([part] * n, pa.string()), pa.array(shards, pa.int64()), pa.array([number] * n, pa.int64())]
@@ -137,19 +147,21 @@ def merged(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, rank
 
 
-def _number(rows: pa.Table) -> pa.Table:
-    """Sum the keys of one shard, number them in order, and answer every slice."""
+def _number(rows: pa.Table, bits: int) -> pa.Table:
+    """Sum the keys of one shard, number them by falling count, and answer every slice."""
     order = np.argsort(rows.column("slice").to_numpy(), kind="stable")
     rows = rows.take(pa.array(order))
     sizes = rows.column("n").to_numpy().astype(np.int64)
     sent = [unpack(x.as_buffer(), n, n) for x, n in zip(rows.column("packed"), sizes, strict=True)]
-    keys, counts = (np.concatenate([x[j] for x in sent]) for j in (0, 1))
+    keys = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in sent])
+    counts = np.concatenate([x[1] for x in sent])
     distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
     if len(distinct) >> PLACE_BITS:
         raise ValueError("a shard has more distinct keys than it may number")
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, back, counts.astype(np.int64))
-    shard = rows.column("shard")[0].as_py()
+    number = np.empty(len(distinct), np.int64)
+    number[np.lexsort((distinct, -total))] = (np.arange(len(distinct)) << bits) | rows.column("shard")[0].as_py()
     owner = np.zeros(len(keys), np.uint8)
     owner[first] = 1
     ends = np.cumsum(sizes)
@@ -157,7 +169,7 @@ def _number(rows: pa.Table) -> pa.Table:
     known[0] = (total > 0).sum()
     packed, owned = [], []
     for a, b in zip(ends - sizes, ends, strict=True):
-        packed.append(pack(back[a:b] + (shard << PLACE_BITS), total[back[a:b]]))
+        packed.append(pack(number[back[a:b]], total[back[a:b]]))
         owned.append(np.packbits(owner[a:b]).tobytes())
     return pa.table(
         [rows.column("part"), rows.column("shard"), rows.column("slice"), rows.column("n"), pa.array(packed, pa.binary()), pa.array(owned, pa.binary()), pa.array(known)],
@@ -166,16 +178,15 @@ def _number(rows: pa.Table) -> pa.Table:
 
 
 def numbers(slices: DataFrame) -> tuple[DataFrame, int]:
-    """(part, shard, slice, n, packed, owned, known): answers to slices(part, slice, keys, counts), and the shards' bits.
+    """(part, shard, slice, n, packed, owned, known): answers to slices(part, slice, keys, counts, n_keys), and the shards' bits.
 
     An answer holds, in order of the shard's keys in the slice, their numbers and their counts over all
     slices of the part. `owned` marks each distinct key in exactly one slice; `known` sums to the number of
     distinct keys with a count.
     """
-    total = slices.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
-    bits = shard_bits(total // 8)
-    sent = slices.select("part", "slice", "keys", "counts").mapInArrow(_send(bits), KEYS)
-    return sent.groupBy("part", "shard").applyInArrow(_number, NUMBERS), bits
+    bits = shard_bits(slices.agg(F.sum("n_keys")).first()[0] or 0)
+    sent = slices.select("part", "slice", "keys", "counts", "n_keys").mapInArrow(_send(bits), KEYS)
+    return sent.groupBy("part", "shard").applyInArrow(lambda rows: _number(rows, bits), NUMBERS), bits
 
 
 def answers_of(answers: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -183,6 +194,11 @@ def answers_of(answers: DataFrame, name: str, *columns: str) -> DataFrame:
     return answers.groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("shard", "n", *columns))).alias(name))
 
 
+def words_below(bits: int) -> int:
+    """More than any number that a numbering over 2**bits shards gives."""
+    return 1 << (PLACE_BITS + bits)
+
+
 def of_answers(answers: pa.Scalar, arrays: int) -> list[np.ndarray]:
     """The arrays of all answers of one slice, one shard after the other."""
     parts = [unpack(x["packed"], *[x["n"]] * arrays) for x in answers.as_py()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from halala.llm.numbered import SLICE, Numbering, answers_of, bucketed, local, merged, narrow, numbers, of_answers, pack, shard_bits, unpack, wide
+from halala.llm.numbered import SLICE, Numbering, answers_of, bucketed, by_number, local, merged, numbers, of_answers, pack, pack_keys, shard_bits, unpack
 from halala.llm.shared import written
 from halala.llm.text import Texts, as_texts, mix, slices, strings
 
@@ -38,7 +38,7 @@ BREAK[0x0A:0x0E] = True
 IN_WORD = ~BREAK
 IN_WORD[[0x20, 0x09]] = False
 
-SLICES = "part string, slice bigint, keys binary, counts binary, tokens binary, n_tokens bigint, pieces binary, n_pieces int, words array<string>"
+SLICES = "part string, slice bigint, keys binary, counts binary, n_keys int, tokens binary, n_tokens bigint, pieces binary, n_pieces int, words array<string>"
 SENT = "part string, shard bigint, slice bigint, n int, longer int, packed binary"
 FOUND = "part string, a bigint, b bigint, c bigint, f bigint, left bigint, f_first bigint, f_last bigint, extended bigint"
 
@@ -58,12 +58,12 @@ def _slice(texts: Texts) -> dict | None:
     raw = texts.data[np.repeat(words.starts[first] - (to - sizes), sizes) + np.arange(int(to[-1]))]
     named = strings(raw, np.concatenate([[0], to]))
     counts = np.bincount(place, minlength=len(distinct)).astype(np.int64)
-    return {"keys": distinct.tobytes(), "counts": counts.tobytes(), "tokens": narrow(place), "n_tokens": len(place), "pieces": pack(pieces), "n_pieces": len(pieces), "words": named}
+    return {"keys": pack_keys(distinct), "counts": pack(counts), "n_keys": len(distinct), "tokens": pack(place), "n_tokens": len(place), "pieces": pack(pieces), "n_pieces": len(pieces), "words": named}
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = Numbering()
-    kinds = {"keys": pa.binary(), "counts": pa.binary(), "tokens": pa.binary(), "pieces": pa.binary(), "n_pieces": pa.int32()}
+    kinds = {"keys": pa.binary(), "counts": pa.binary(), "tokens": pa.binary(), "n_keys": pa.int32(), "pieces": pa.binary(), "n_pieces": pa.int32()}
     for piece in slices(batches, limit=SLICE):
         names = piece.column("part")
         for part in names.unique().to_pylist():
@@ -92,7 +92,8 @@ def _send(bits: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 number, counts = of_answers(batch.column("numbers")[i], 2)
-                places = wide(batch.column("tokens")[i].as_py(), batch.column("n_tokens")[i].as_py())
+                places = unpack(batch.column("tokens")[i].as_buffer(), batch.column("n_tokens")[i].as_py())[0].astype(np.int64)
+                places, number, counts = by_number(places, number, counts)
                 pieces = unpack(batch.column("pieces")[i].as_buffer(), batch.column("n_pieces")[i].as_py())[0].astype(np.int64)
                 a, b, times, pair, c, often = stripes_of(places, pieces, len(number))
                 if not len(a):
