@@ -6,19 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halala.functions.keys import date_key
-from halala.operators.lookup import settle
 from halala.plans import dimensions, facts, fx, staging
+from halala.plans.refresh import INTERMEDIATE, LEDGER, refresh_after_late_prices, refresh_after_late_rates, refresh_after_ledger_batch
 from halala.quality import payloads
 from halala.quality.gates import enforce, gate_report
 from halala.quality.ledger import Book, ledger_violations, row_count_violations
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED
 from halala.sources.landing import document_files, ledger_deliveries, ledger_rows
 from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse, create_raw_tables, month_of
-from halala.streaming.late_rates import changed_months, changed_probes
 from halala.streaming.load_once import load_feed, raw_rows
 
-INTERMEDIATE = "intermediate"
-LEDGER = "stg_ledger_transactions"
+__all__ = ["build_tables", "load_landing", "refresh_after_late_prices", "refresh_after_late_rates", "refresh_after_ledger_batch", "run_all"]
 
 
 def load_landing(warehouse: Warehouse, landing: str, book: Book | None = None, expected: DataFrame | None = None, rebase: bool = False) -> None:
@@ -64,15 +62,16 @@ def load_landing(warehouse: Warehouse, landing: str, book: Book | None = None, e
 
 
 def build_tables(
-    warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool = True, rates_to_sar: DataFrame | None = None
+    warehouse: Warehouse, raw: dict[str, DataFrame], gates: bool = True, rates_to_sar: DataFrame | None = None, publish: bool = True
 ) -> dict[str, DataFrame]:
     """All thirteen tables from the RAW tables; a failed gate stops what comes after it.
 
-    `rates_to_sar` takes the place of the rates that the staged documents give.
-
-    Staging is written once, so documents are parsed once although several tables read them.
+    The tables become current together, when all are written and have passed; until then, and after a
+    failure, those of the last build are. `rates_to_sar` takes the place of the rates that the staged
+    documents give. Staging is written once, so documents are parsed once although several tables read them.
     """
     built: dict[str, DataFrame] = {}
+    release = warehouse.release()
 
     def check(*names: str) -> None:
         if gates:
@@ -83,8 +82,8 @@ def build_tables(
         "stg_precious_metals": staging.stg_precious_metals(raw["metal_prices_raw"]),
         "stg_equity_prices": staging.stg_equity_prices(raw["equity_prices_raw"]),
     }.items():
-        built[name] = warehouse.rebuild(STAGING, name, rows)
-    built[LEDGER] = warehouse.rebuild_by_month(
+        built[name] = release.rebuild(STAGING, name, rows)
+    built[LEDGER] = release.rebuild_by_month(
         STAGING,
         LEDGER,
         staging.stg_ledger_transactions(raw["ledger_transactions_raw"]),
@@ -96,7 +95,7 @@ def build_tables(
     equity, ledger = built["stg_equity_prices"], built[LEDGER]
 
     to_sar = fx.int_fx_rates_to_sar(rates) if rates_to_sar is None else rates_to_sar
-    sar = warehouse.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", to_sar)
+    sar = release.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", to_sar)
     built["int_fx_rates_to_sar"] = sar
     for name, rows in {
         "dim_asset": dimensions.dim_asset(equity, ledger),
@@ -105,28 +104,29 @@ def build_tables(
         "dim_date": dimensions.dim_date(ledger, equity, metals, rates),
         "dim_source": dimensions.dim_source(warehouse.spark),
     }.items():
-        built[name] = warehouse.rebuild(ANALYTICS, name, rows)
+        built[name] = release.rebuild(ANALYTICS, name, rows)
     dims = [name for name in built if name.startswith("dim_")]
     check("int_fx_rates_to_sar", *dims)
 
     asset, day, currency = built["dim_asset"], built["dim_date"], built["dim_currency"]
     holdings = facts.fact_holdings(ledger, sar, day, asset, built["dim_client"], currency)
-    built["fact_holdings"] = warehouse.rebuild_by_month(
+    built["fact_holdings"] = release.rebuild_by_month(
         ANALYTICS, "fact_holdings", holdings, month_of("date_key")
     )
     prices = facts.fact_market_prices(equity, metals, sar, asset, day, currency, built["dim_source"])
-    built["fact_market_prices"] = warehouse.rebuild_by_month(ANALYTICS, "fact_market_prices", prices, month_of("date_key"))
+    built["fact_market_prices"] = release.rebuild_by_month(ANALYTICS, "fact_market_prices", prices, month_of("date_key"))
     check("fact_holdings", "fact_market_prices")
 
     summary = facts.fact_daily_portfolio_summary(built["fact_holdings"], built["fact_market_prices"])
-    built["fact_daily_portfolio_summary"] = warehouse.rebuild_by_month(
+    built["fact_daily_portfolio_summary"] = release.rebuild_by_month(
         ANALYTICS, "fact_daily_portfolio_summary", summary, month_of("date_key")
     )
     check("fact_daily_portfolio_summary")
 
-    for name in built:
-        if not name.startswith("int_"):
-            warehouse.publish(STAGING if name.startswith("stg_") else ANALYTICS, name, built[name])
+    release.commit()
+    if publish:
+        for layer, prefixes in {STAGING: ("stg_",), ANALYTICS: ("dim_", "fact_")}.items():
+            warehouse.publish(layer, *(n for n in built if n.startswith(prefixes)))
     return built
 
 
@@ -144,37 +144,3 @@ def run_all(
     load_landing(warehouse, landing, book, expected, rebase)
     tables = [*DOCUMENT_FEEDS.values(), LEDGER_FEED[1]]
     return build_tables(warehouse, {t: raw_rows(spark, warehouse.path(RAW, t)) for t in tables}, gates)
-
-
-def refresh_after_late_rates(
-    warehouse: Warehouse, built: dict[str, DataFrame], new_rates: DataFrame, gates: bool = True
-) -> dict[str, DataFrame]:
-    """Carry late or corrected rates through to the summary, and check the facts again.
-
-    `built` are the tables of the last build, `new_rates` the rates to SAR as they are now. Holdings
-    are revalued only in the months that a rate reaches. Prices and the summary, which are small
-    beside the ledger, are computed anew; only their months that differ are written.
-    """
-    changed = changed_probes(built[LEDGER], built["int_fx_rates_to_sar"], new_rates)
-    months = settle(changed_months(changed))
-    rates = settle(new_rates)
-    ledger = warehouse.read_months(STAGING, LEDGER, months)
-    dims = [built[d] for d in ["dim_date", "dim_asset", "dim_client", "dim_currency"]]
-    revalued = facts.fact_holdings(ledger, rates, *dims)
-    warehouse.replace_months(ANALYTICS, "fact_holdings", revalued, month_of("date_key"))
-
-    now = dict(built)
-    now["fact_holdings"] = warehouse.read(ANALYTICS, "fact_holdings")
-    sources = [built[n] for n in ["stg_equity_prices", "stg_precious_metals"]]
-    keys = [built[d] for d in ["dim_asset", "dim_date", "dim_currency", "dim_source"]]
-    prices = settle(facts.fact_market_prices(*sources, rates, *keys))
-    warehouse.replace_changed_months(ANALYTICS, "fact_market_prices", prices, month_of("date_key"))
-    now["fact_market_prices"] = warehouse.read(ANALYTICS, "fact_market_prices")
-    summary = settle(facts.fact_daily_portfolio_summary(now["fact_holdings"], now["fact_market_prices"]))
-    warehouse.replace_changed_months(ANALYTICS, "fact_daily_portfolio_summary", summary, month_of("date_key"))
-    now["fact_daily_portfolio_summary"] = warehouse.read(ANALYTICS, "fact_daily_portfolio_summary")
-    now["int_fx_rates_to_sar"] = warehouse.rebuild(INTERMEDIATE, "int_fx_rates_to_sar", rates)
-    if gates:
-        checked = ["int_fx_rates_to_sar", "fact_holdings", "fact_market_prices", "fact_daily_portfolio_summary"]
-        enforce(gate_report({n: now[n] for n in checked}, now))
-    return now

@@ -99,8 +99,14 @@ def fact_market_prices(
 
     Equal load times fall back to the later observation, then the higher price.
     """
-    rows = quoted_prices(stg_equity, stg_metals)
-    rows = asof_join(rows, fx_to_sar, ["currency_code"], "date", "rate_date", FX_COLUMNS)
+    return market_prices_of(quoted_prices(stg_equity, stg_metals), fx_to_sar, dim_asset, dim_date, dim_currency, dim_source)
+
+
+def market_prices_of(
+    quotes: DataFrame, fx_to_sar: DataFrame, dim_asset: DataFrame, dim_date: DataFrame, dim_currency: DataFrame, dim_source: DataFrame
+) -> DataFrame:
+    """The same for any part of the quotes that holds each asset's day whole."""
+    rows = asof_join(quotes, fx_to_sar, ["currency_code"], "date", "rate_date", FX_COLUMNS)
     rows = attach(rows, dim_asset, "ticker", "ticker", ["asset_key"], "inner")
     rows = attach(rows, dim_date, "date", "full_date", ["date_key"], "inner")
     rows = attach(rows, dim_currency, "currency_code", "currency_code", ["currency_key"])
@@ -129,37 +135,46 @@ def daily_positions(holdings: DataFrame) -> DataFrame:
     )
 
 
-def priced_positions(positions: DataFrame, market_prices: DataFrame) -> DataFrame:
-    """Positions at the latest market price on or before their date, 0 when there is none.
-
-    When several sources price an asset on one date, the most recently loaded price counts,
-    then the greater source key.
-    """
-    one_price = latest_by(
+def one_price(market_prices: DataFrame) -> DataFrame:
+    """(asset_key, date_key, price_sar, …): of several sources on one date the most recently loaded
+    price counts, then the greater source key."""
+    return latest_by(
         market_prices.select("asset_key", "date_key", "price_sar", "loaded_at", "source_key"),
         ["asset_key", "date_key"],
         ["loaded_at", "source_key"],
     )
-    priced = asof_join(positions, one_price, ["asset_key"], "date_key", "date_key", {"price_sar": "latest_price"})
-    return priced.withColumn("price_sar", F.coalesce("latest_price", F.lit(0.0))).drop("latest_price")
 
 
-def fact_daily_portfolio_summary(holdings: DataFrame, market_prices: DataFrame) -> DataFrame:
-    """One row per client and date: investment, value, fees, return and profit.
+def priced_positions(positions: DataFrame, market_prices: DataFrame) -> DataFrame:
+    """Positions at the latest market price on or before their date, 0 when there is none."""
+    priced = asof_join(positions, one_price(market_prices), ["asset_key"], "date_key", "date_key", {"price_sar": "latest_price"})
+    return priced.withColumn("price_sar", F.coalesce("latest_price", F.lit(0.0))).drop("latest_price")
 
-    The return compares with the client's previous row, whatever its date. Fees stay in
-    transaction currency.
-    """
+
+def portfolio_values(holdings: DataFrame, market_prices: DataFrame) -> DataFrame:
+    """(client_key, date_key, invested, value, fees) of the clients and dates in the holdings."""
     # the positions are read twice below, so they are computed once and their lineage cut
     positions = priced_positions(settle(daily_positions(holdings)), market_prices)
-    portfolio = positions.groupBy("client_key", "date_key").agg(
+    return positions.groupBy("client_key", "date_key").agg(
         F.sum("total_investment").alias("invested"),
         F.sum(F.col("total_quantity").cast("double") * F.col("price_sar")).alias("value"),
         F.sum("total_fees").alias("fees"),
     )
+
+
+def fact_daily_portfolio_summary(holdings: DataFrame, market_prices: DataFrame) -> DataFrame:
+    """One row per client and date: investment, value, fees, return and profit.
+
+    The return compares with the client's previous row, whatever its date. Fees stay in
+    transaction currency.
+    """
     # a client has at most one row per calendar day here
     history = W.partitionBy("client_key").orderBy(F.col("date_key").asc_nulls_last())
-    portfolio = portfolio.withColumn("previous", F.lag("value").over(history))
+    return summary_rows(portfolio_values(holdings, market_prices).withColumn("previous", F.lag("value").over(history)))
+
+
+def summary_rows(portfolio: DataFrame) -> DataFrame:
+    """Rows of the summary from values that know the client's `previous` one."""
     money = "decimal(38,4)"
     return portfolio.select(
         surrogate_key("client_key", "date_key").alias("portfolio_summary_key"),

@@ -8,13 +8,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from halala.operators.pick import latest_by
-from halala.plans.build import build_tables, load_landing, refresh_after_late_rates, run_all
+from halala.plans.build import (
+    build_tables,
+    load_landing,
+    refresh_after_late_prices,
+    refresh_after_late_rates,
+    refresh_after_ledger_batch,
+    run_all,
+)
 from halala.quality.gates import GateFailure
 from halala.quality.payloads import PayloadError
 from halala.sources.warehouse import ANALYTICS, MONTH, Warehouse, month_of
 from halala.streaming.late_rates import changed_probes
 from halala.streaming.latest_copy import latest_copy_merge
-from tests.fixtures import DAY0, book, land_two_weeks, ledger_row, metals, write_ledger, write_text
+from tests.fixtures import DAY0, bar, book, equities, land_two_weeks, ledger_row, metals, raw_ledger, write_ledger, write_text
 
 
 @pytest.fixture(scope="module")
@@ -105,9 +112,62 @@ def test_views_are_published(spark, built):
     assert "month_key" not in spark.table("analytics_fact_holdings").columns
 
 
+def test_tables_of_two_warehouses_do_not_hide_each_other(spark, built, tmp_path):
+    work, tables = built
+    assert spark.sql("select * from analytics.fact_daily_portfolio_summary limit 10").count() == 10
+    land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
+    run_all(spark, f"{tmp_path}/landing", f"{tmp_path}/warehouse")
+    first, second = Warehouse(spark, f"{work}/warehouse"), Warehouse(spark, f"{tmp_path}/warehouse")
+    assert first.schema(ANALYTICS) == "analytics" != second.schema(ANALYTICS)
+    assert spark.sql("select * from analytics.fact_holdings").count() == 1000
+    assert spark.sql(f"select * from {second.schema(ANALYTICS)}.fact_holdings").count() == 15
+    assert spark.sql("select * from staging.stg_equity_prices").columns == tables["stg_equity_prices"].columns
+    assert spark.sql("select * from analytics.fact_holdings").columns == tables["fact_holdings"].columns
+
+
+def test_a_dead_build_leaves_the_tables_as_they_were(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    first = spark.createDataFrame([(20260115, "a"), (20260215, "b"), (None, "c")], "date_key int, v string")
+    warehouse.rebuild(ANALYTICS, "d", first)
+    old = warehouse.rebuild_by_month(ANALYTICS, "f", first, month_of("date_key"))
+    second = spark.createDataFrame([(20260115, "z")], first.schema)
+    with pytest.raises(RuntimeError), warehouse.release() as release:
+        assert rows(release.rebuild(ANALYTICS, "d", second)) == rows(second)
+        release.replace_months(ANALYTICS, "f", second, month_of("date_key"))
+        assert rows(release.frame(ANALYTICS, "f")) == rows(stacked(second, first.where("v <> 'a'")))
+        raise RuntimeError("killed")
+    for name in ("d", "f"):
+        assert rows(warehouse.read(ANALYTICS, name)) == rows(first)
+    with warehouse.release() as release:
+        release.rebuild(ANALYTICS, "d", second)
+        release.rebuild_by_month(ANALYTICS, "f", second, month_of("date_key"))
+        assert rows(warehouse.read(ANALYTICS, "d")) == rows(first)
+    for name in ("d", "f"):
+        assert rows(warehouse.read(ANALYTICS, name)) == rows(second)
+    assert rows(old) == rows(first)
+    assert len(warehouse.drop_old_versions()) == 4  # two old ones, two of the dead build
+    assert rows(warehouse.read(ANALYTICS, "f")) == rows(second)
+
+
+def test_an_empty_table_by_month(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, f"{tmp_path}/w")
+    empty = spark.createDataFrame([], "date_key int, v string")
+    warehouse.rebuild_by_month("empties", "f", empty, month_of("date_key"))
+    assert rows(warehouse.read("empties", "f")) == [] and warehouse.read("empties", "f").columns == empty.columns
+    assert warehouse.publish("empties", "f") == {"f": "empties.f"}
+    assert rows(spark.table("empties.f")) == []
+
+
+def stacked(*frames):
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
 def test_a_failed_gate_stops_the_build(spark, tmp_path):
     land_two_weeks(f"{tmp_path}/landing", rows_per_batch=5)
-    bad = [ledger_row(900, DAY0, client_id="C002", client_name="Somebody else")]
+    bad = [ledger_row(900, DAY0, client_id="H-02", client_name="Somebody else")]
     write_ledger(f"{tmp_path}/landing/internal_ledger/20260320T090000.csv", bad)
     with pytest.raises(GateFailure, match=r"dim_client: unique\(client_id\)"):
         run_all(spark, f"{tmp_path}/landing", f"{tmp_path}/warehouse")
@@ -135,6 +195,58 @@ def test_late_rate_refresh_equals_full_rebuild(spark, built, tmp_path, rows):
         assert rows(now[name], *tables[name].columns) == rows(tables[name]), name
 
 
+RAW_TABLES = ["fx_rates_raw", "metal_prices_raw", "equity_prices_raw", "ledger_transactions_raw"]
+FACTS = ["fact_holdings", "fact_market_prices", "fact_daily_portfolio_summary"]
+
+
+def month_folders(work, table):
+    return {str(p) for p in work.glob(f"analytics/{table}/table_version=*/month_key=*")}
+
+
+def test_late_price_refresh_equals_full_rebuild(spark, built, tmp_path, rows):
+    """A corrected close, a new ticker's series and a metal quote that comes late reach the client days behind them."""
+    work, _ = built
+    raw = {name: spark.read.parquet(f"{work}/warehouse/raw/{name}") for name in RAW_TABLES}
+    text = equities({"SPY": {"2026-03-10": bar(500), "2026-03-11": bar(600), "2026-05-04": bar(7)}, "NEW": {"2026-03-03": bar(1)}})
+    late = spark.createDataFrame([(text, "equity_prices/late.json", dt.datetime(2030, 1, 1))], "raw string, file_name string, loaded_at timestamp")
+    more = {"equity_prices_raw": raw["equity_prices_raw"].drop("load_batch").unionByName(late)}
+    warehouse = Warehouse(spark, f"{tmp_path}/w")
+    old = build_tables(warehouse, raw | {"metal_prices_raw": raw["metal_prices_raw"].where("file_name not like '%2026-03-09%'")}, publish=False)
+    full = build_tables(Warehouse(spark, f"{tmp_path}/full"), raw | more, publish=False)
+    now = refresh_after_late_prices(warehouse, old, full["stg_equity_prices"], full["stg_precious_metals"], publish=False)
+    assert rows(old["fact_daily_portfolio_summary"]) != rows(full["fact_daily_portfolio_summary"])
+    for name in ["dim_asset", "dim_date", *FACTS]:
+        assert rows(now[name], *full[name].columns) == rows(full[name]), name
+        assert rows(warehouse.read(ANALYTICS, name)) == rows(full[name]), name
+
+
+def test_ledger_batch_refresh_equals_full_rebuild(spark, built, tmp_path, rows):
+    """A batch with a new client, ticker and currency, an earlier month, no day, and a client's further name."""
+    work, _ = built
+    raw = {name: spark.read.parquet(f"{work}/warehouse/raw/{name}").drop("load_batch") for name in RAW_TABLES}
+    warehouse = Warehouse(spark, f"{tmp_path}/w")
+    old = build_tables(warehouse, raw, gates=False, publish=False)
+    lines = [
+        ledger_row(901, dt.date(2026, 4, 7), client_id="new", client_name="New"), ledger_row(902, DAY0, ticker="ZZZ", currency="KWD"),
+        ledger_row(903, dt.date(2026, 2, 3)), ledger_row(904, dt.date(2026, 3, 5)), ledger_row(905, "unknown"), ledger_row(906, dt.date(2026, 4, 8)),
+    ]
+    batch = raw_ledger(spark, lines, "internal_ledger/late.csv")
+    for step, more in enumerate([batch, raw_ledger(spark, [ledger_row(907, dt.date(2026, 4, 9), client_name="Another")], "internal_ledger/later.csv")]):
+        raw = raw | {"ledger_transactions_raw": raw["ledger_transactions_raw"].unionByName(more)}
+        before = month_folders(tmp_path / "w", "fact_holdings")
+        old = refresh_after_ledger_batch(warehouse, old, more, gates=False, publish=False)
+        full = build_tables(Warehouse(spark, f"{tmp_path}/full{step}"), raw, gates=False, publish=False)
+        for name in ["dim_asset", "dim_client", "dim_currency", "dim_date", *FACTS]:
+            assert rows(old[name], *full[name].columns) == rows(full[name]), (step, name)
+        written = {p.split("=")[-1] for p in month_folders(tmp_path / "w", "fact_holdings") - before}
+        assert ("202603" in written) and ("202604" in written)
+    quiet = raw_ledger(spark, [ledger_row(908, dt.date(2026, 6, 9))], "internal_ledger/last.csv")
+    before = month_folders(tmp_path / "w", "fact_holdings"), month_folders(tmp_path / "w", "fact_daily_portfolio_summary")
+    refresh_after_ledger_batch(warehouse, old, quiet, gates=False, publish=False)
+    for table, known in zip(["fact_holdings", "fact_daily_portfolio_summary"], before, strict=True):
+        assert {p.split("=")[-1] for p in month_folders(tmp_path / "w", table) - known} == {"202606"}
+
+
 def test_only_differing_months_are_rewritten(spark, tmp_path, rows):
     warehouse = Warehouse(spark, str(tmp_path))
     first = spark.createDataFrame([(20260115, "a"), (20260116, "b"), (20260215, "c")], "date_key int, v string")
@@ -149,10 +261,11 @@ def test_refresh_rewrites_touched_months_only(spark, tmp_path, rows):
     warehouse = Warehouse(spark, str(tmp_path))
     first = spark.createDataFrame([(20260115, "a"), (20260116, "b"), (20260215, "c")], "date_key int, v string")
     warehouse.rebuild_by_month("analytics", "f", first, month_of("date_key"))
-    february = sorted(p.name for p in (tmp_path / "analytics/f/month_key=202602").glob("*.parquet"))
+    february = sorted(p.name for p in (tmp_path / "analytics/f").glob("table_version=*/month_key=202602/*.parquet"))
+    assert february
     warehouse.replace_months("analytics", "f", spark.createDataFrame([(20260115, "x")], first.schema), month_of("date_key"))
     assert rows(warehouse.read("analytics", "f")) == [(20260115, "x"), (20260215, "c")]
-    assert sorted(p.name for p in (tmp_path / "analytics/f/month_key=202602").glob("*.parquet")) == february
+    assert sorted(p.name for p in (tmp_path / "analytics/f").glob("table_version=*/month_key=202602/*.parquet")) == february
 
 
 def test_only_the_asked_months_are_read(spark, built, rows):
@@ -213,8 +326,13 @@ def test_a_new_checkpoint_starts_over(spark, tmp_path, rows):
 
 
 def test_second_run_changes_nothing(spark, built, rows):
-    # last, because it replaces the files behind `built`
     work, tables = built
     before = rows(tables["fact_daily_portfolio_summary"])
     again = run_all(spark, f"{work}/landing", f"{work}/warehouse")
     assert rows(again["fact_daily_portfolio_summary"]) == before
+    assert rows(tables["fact_daily_portfolio_summary"]) == before  # frames of the first run still work
+    warehouse = Warehouse(spark, f"{work}/warehouse")
+    dropped = warehouse.drop_old_versions()
+    assert len(dropped) == len(tables) and warehouse.drop_old_versions() == []
+    assert rows(warehouse.read(ANALYTICS, "fact_daily_portfolio_summary")) == before
+    assert rows(spark.sql("select * from analytics.fact_daily_portfolio_summary")) == before

@@ -60,8 +60,8 @@ def test_quoted_values(spark, tmp_path, rows):
     name = 'Al "the fox", Ltd\\'
     write_ledger(f"{tmp_path}/a.csv", [ledger_row(1, DAY0, client_name=name), ledger_row(2, DAY0, portfolio_id="")])
     raw = ledger_files(spark.read, str(tmp_path))
-    assert rows(raw, "client_name") == [('Al "the fox", Ltd\\',), ("Client C",)]
-    assert rows(raw.where("portfolio_id is null"), "client_id") == [("C003",)]
+    assert rows(raw, "client_name") == [('Al "the fox", Ltd\\',), ("Holder no. 2",)]
+    assert rows(raw.where("portfolio_id is null"), "client_id") == [("H-02",)]
 
 
 @pytest.mark.parametrize(
@@ -145,7 +145,7 @@ def test_a_refused_batch_leaves_the_table_as_it_was(spark, tmp_path):
     write_ledger(f"{folder}/a.csv", [ledger_row(1, DAY0)])
 
     def check(batch):
-        if batch.where("client_id = 'C004'").count():
+        if batch.where("client_id = 'H-03'").count():
             raise ValueError("no such client")
 
     load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c", check=check)
