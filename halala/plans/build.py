@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halala.functions.keys import date_key
+from halala.operators.reshape import stack_rows
 from halala.plans import dimensions, facts, fx, staging
 from halala.plans.refresh import INTERMEDIATE, LEDGER, refresh_after_late_prices, refresh_after_late_rates, refresh_after_ledger_batch
 from halala.quality import payloads
@@ -14,7 +15,9 @@ from halala.quality.ledger import Book, ledger_violations, row_count_violations
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED
 from halala.sources.landing import document_files, ledger_deliveries, ledger_rows
 from halala.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse, create_raw_tables, month_of
-from halala.streaming.load_once import load_feed, raw_rows
+from halala.streaming.load_once import load_feed, loads, raw_rows, stored_violations
+
+NEVER_CAME = "never_came"
 
 __all__ = ["build_tables", "load_landing", "refresh_after_late_prices", "refresh_after_late_rates", "refresh_after_ledger_batch", "run_all"]
 
@@ -22,43 +25,70 @@ __all__ = ["build_tables", "load_landing", "refresh_after_late_prices", "refresh
 def load_landing(warehouse: Warehouse, landing: str, book: Book | None = None, expected: DataFrame | None = None, rebase: bool = False) -> None:
     """Check what is new in the landing folder and load it into RAW.
 
-    A batch with an incomplete or inconsistent delivery is refused whole; its violations are kept in
-    the table checks/violations. Ledger lines are checked against `book`, and their number per file
-    against `expected` (file_name, rows), where these are given. With `rebase`, rate documents in the
+    An incomplete or inconsistent file is refused whole, the others are loaded; its violations are kept in the
+    table checks/violations, and named in the PayloadError that follows when all feeds are loaded. Ledger
+    lines are checked against `book`, and their number per file against `expected` (file_name, rows), where
+    these are given; an expected file that never came is a violation too. With `rebase`, rate documents in the
     legacy base are restated to USD before they are stored; else the rates plan does that later.
     """
     spark, keep = warehouse.spark, warehouse.path("checks", "violations")
 
-    def rates(name: str, symbols: list[str]):
-        return lambda docs: payloads.refuse(payloads.rate_violations(docs, symbols), keep=keep, check=name)
+    def rates(symbols: list[str]):
+        return lambda docs: payloads.rate_violations(docs, symbols)
 
-    def lines(rows: DataFrame) -> None:
+    def lines(rows: DataFrame) -> DataFrame | None:
+        found = []
         if expected is not None:
             own = expected.join(rows.select("file_name").distinct(), "file_name", "left_semi")
             counted = row_count_violations(rows, own)
             said = F.concat(F.col("expected").cast("string"), F.lit(" rows expected, found "), F.col("found").cast("string"))
-            payloads.refuse(counted.select("file_name", F.lit("row_count").alias("rule"), said.alias("subject")), keep=keep, check="internal_ledger")
+            found.append(counted.select("file_name", F.lit("row_count").alias("rule"), said.alias("subject")))
         if book is not None:
-            payloads.refuse(ledger_violations(rows, book), keep=keep, check="internal_ledger")
+            found.append(ledger_violations(rows, book).select("file_name", "rule", F.col("transaction_id").alias("subject")))
+        return stack_rows(*found) if found else None
 
     create_raw_tables(warehouse)
     checks = {
-        "exchange_rates": (rates("exchange_rates", payloads.FX_SYMBOLS), fx.rebased_legacy if rebase else None),
-        "metal_prices": (rates("metal_prices", payloads.METAL_SYMBOLS), None),
-        "equity_prices": (lambda docs: payloads.refuse(payloads.equity_violations(docs, payloads.EQUITY_TICKERS), keep=keep, check="equity_prices"), None),
+        "exchange_rates": (rates(payloads.FX_SYMBOLS), fx.rebased_legacy if rebase else None),
+        "metal_prices": (rates(payloads.METAL_SYMBOLS), None),
+        "equity_prices": (lambda docs: payloads.equity_violations(docs, payloads.EQUITY_TICKERS), None),
     }
     feeds = [(folder, table, document_files, *checks[folder]) for folder, table in DOCUMENT_FEEDS.items()]
     feeds.append((*LEDGER_FEED, ledger_deliveries, lines, ledger_rows))
+    refused = []
     for folder, table, read_files, check, prepare in feeds:
-        load_feed(
-            spark,
-            read_files,
-            f"{landing.rstrip('/')}/{folder}",
-            warehouse.path(RAW, table),
-            warehouse.path("checkpoints", table),
-            check=check,
-            prepare=prepare,
-        )
+        try:
+            load_feed(
+                spark,
+                read_files,
+                f"{landing.rstrip('/')}/{folder}",
+                warehouse.path(RAW, table),
+                warehouse.path("checkpoints", table),
+                check=check,
+                prepare=prepare,
+                keep=keep,
+                name=folder,
+            )
+        except payloads.PayloadError as found:
+            refused.append(str(found))
+    if expected is not None:
+        refused += never_came(warehouse, expected, keep)
+    if refused:
+        raise payloads.PayloadError("\n".join(refused))
+
+
+def never_came(warehouse: Warehouse, expected: DataFrame, keep: str) -> list[str]:
+    """Record the announced ledger files that are neither loaded nor refused; returns accounts of the first ones."""
+    spark, (folder, table) = warehouse.spark, LEDGER_FEED
+    known = loads(spark, warehouse.path(RAW, table)).select("file_name")
+    told = stored_violations(spark, keep)
+    told = told.where(F.col("rule") != NEVER_CAME).select("file_name")
+    missing = expected.select("file_name").join(known.unionByName(told).distinct(), "file_name", "left_anti").distinct()
+    line = missing.select(F.lit(folder).alias("check"), "file_name", F.lit(NEVER_CAME).alias("rule"), F.lit(None).cast("string").alias("subject"))
+    first = line.limit(20).collect()
+    if first:
+        line.withColumn("found_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{keep}/slot=announced")
+    return [f"{r['file_name']} {NEVER_CAME}" for r in first]
 
 
 def build_tables(

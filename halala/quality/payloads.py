@@ -77,14 +77,9 @@ def equity_violations(raw: DataFrame, tickers: Sequence[str]) -> DataFrame:
     )
 
 
-def refuse(violations: DataFrame, shown: int = 20, keep: str | None = None, check: str = "") -> None:
-    """Raise when there is any violation, naming the first ones; all of them are stored at `keep`."""
+def refuse(violations: DataFrame, shown: int = 20) -> None:
+    """Raise when there is any violation, naming the first ones."""
     first = violations.limit(shown + 1).collect()
     if first:
-        if keep:
-            subject = F.col("subject") if "subject" in violations.columns else F.col("transaction_id")
-            found = violations.select(F.lit(check).alias("check"), "file_name", "rule", subject.cast("string").alias("subject"))
-            found.withColumn("found_at", F.current_timestamp()).write.mode("append").parquet(keep)
         lines = [" ".join(str(v) for v in row) for row in first[:shown]]
-        more = ["..."] if len(first) > shown else []
-        raise PayloadError("\n".join(lines + more))
+        raise PayloadError("\n".join(lines + ["..."] * (len(first) > shown)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from halala.quality.payloads import PayloadError
 from halala.sources.warehouse import ANALYTICS, MONTH, Warehouse, month_of
 from halala.streaming.late_rates import changed_probes
 from halala.streaming.latest_copy import latest_copy_merge
+from halala.streaming.load_once import raw_rows
 from tests.fixtures import DAY0, bar, book, equities, land_two_weeks, ledger_row, metals, raw_ledger, write_ledger, write_text
 
 
@@ -80,14 +82,39 @@ def test_refused_deliveries_stay_outside(spark, tmp_path, rows):
         load_landing(other, f"{tmp_path}/landing", expected=expected)
 
 
-def test_incomplete_documents_are_refused(spark, tmp_path):
+def test_incomplete_documents_are_refused(spark, tmp_path, rows):
+    """The bad file stays outside, the good ones of its batch are loaded, and a corrected delivery is."""
     land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
-    write_text(f"{tmp_path}/landing/metal_prices/2026-03-20.json", metals(DAY0, XAU=4000))
+    bad = f"{tmp_path}/landing/metal_prices/2026-03-20.json"
+    write_text(bad, metals(DAY0, XAU=4000))
     warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
     with pytest.raises(PayloadError, match="missing_or_invalid_rate"):
         load_landing(warehouse, f"{tmp_path}/landing")
-    assert warehouse.read("raw", "metal_prices_raw").count() == 0
-    assert warehouse.read("checks", "violations").select("check", "subject").count() == 3
+    for _ in range(2):
+        assert warehouse.read("raw", "metal_prices_raw").count() == 14
+        assert warehouse.read("raw", "ledger_transactions_raw").count() == 15
+        assert warehouse.read("checks", "violations").select("check", "subject").count() == 3
+        load_landing(warehouse, f"{tmp_path}/landing")
+    write_text(bad, metals(DAY0, XAU=4000, XAG=60.5, XPT=1700.25, XPD=1300.125))
+    later = (dt.datetime.now() + dt.timedelta(seconds=5)).timestamp()
+    os.utime(bad, (later, later))
+    for _ in range(2):
+        load_landing(warehouse, f"{tmp_path}/landing")
+        assert warehouse.read("raw", "metal_prices_raw").count() == 15
+    names = raw_rows(spark, warehouse.path("raw", "metal_prices_raw")).select("file_name")
+    assert names.count() == names.distinct().count() == 15
+
+
+def test_an_announced_file_that_never_came_is_reported(spark, tmp_path, rows):
+    land_two_weeks(f"{tmp_path}/landing", rows_per_batch=3)
+    warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
+    names = [("internal_ledger/20260302T090000.csv", 3), ("internal_ledger/20260401T090000.csv", 7)]
+    expected = spark.createDataFrame(names, "file_name string, rows bigint")
+    for _ in range(2):
+        with pytest.raises(PayloadError, match="20260401T090000.csv never_came"):
+            load_landing(warehouse, f"{tmp_path}/landing", expected=expected)
+        assert rows(warehouse.read("checks", "violations"), "file_name", "rule") == [(names[1][0], "never_came")]
+    assert warehouse.read("raw", "ledger_transactions_raw").count() == 15
 
 
 def test_legacy_rates_are_restated_at_ingest(spark, tmp_path, rows):

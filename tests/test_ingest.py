@@ -4,12 +4,14 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from halala.plans.staging import stg_ledger_transactions
-from halala.schemas import DOCUMENT_FEEDS, LEDGER_FILE_COLUMNS, LEDGER_KEPT_COLUMNS, RAW_DOCUMENT
+from halala.schemas import DOCUMENT_FEEDS, LEDGER_FILE_COLUMNS, LEDGER_KEPT_COLUMNS
 from halala.sources.landing import document_files, ledger_files, sample_documents
 from halala.sources.warehouse import RAW, Warehouse, create_raw_tables, layer_name
-from halala.streaming.load_once import load_feed, load_history, load_listed, raw_rows
+from halala.streaming import load_once
+from halala.streaming.load_once import landed_files, load_feed, load_history, load_listed, load_manifest, loads, merge_log, raw_rows
 from tests.fixtures import DAY0, fx, ledger_row, write_ledger, write_text
 
 
@@ -109,7 +111,8 @@ def test_malformed_document_fails_the_load(feed, tmp_path, spark, text):
     with pytest.raises(Exception):
         feed(document_files, "exchange_rates")
     # nothing of the batch was committed
-    assert spark.read.schema(RAW_DOCUMENT).parquet(str(tmp_path / "raw")).count() == 0
+    stored = raw_rows(spark, str(tmp_path / "raw"))
+    assert stored is None or stored.count() == 0
 
 
 def test_listed_files_load_once(spark, tmp_path, rows):
@@ -140,6 +143,50 @@ def test_stream_and_list_share_a_table(spark, tmp_path, rows):
     assert rows(history, "file_name", "row_count") == [(f"internal_ledger/{n}.csv", c) for n, c in (("a", 2), ("b", 3), ("c", 1))]
 
 
+def test_a_batch_without_its_log_rows_is_not_there(spark, tmp_path, rows):
+    """As if the run had died between the rows and the log: nobody sees the rows, and the batch is repeated."""
+    folder, target = f"{tmp_path}/internal_ledger", f"{tmp_path}/raw"
+    write_ledger(f"{folder}/a.csv", [ledger_row(1, DAY0)])
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c")
+    half = raw_rows(spark, target).withColumn("file_name", F.lit("internal_ledger/b.csv"))
+    half.write.parquet(f"{target}/load_batch=died")
+    assert raw_rows(spark, target).count() == 1
+    write_ledger(f"{folder}/b.csv", [ledger_row(2, DAY0), ledger_row(3, DAY0)])
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c")
+    assert rows(loads(spark, target), "file_name", "row_count") == [("internal_ledger/a.csv", 1), ("internal_ledger/b.csv", 2)]
+    assert raw_rows(spark, target).count() == 3
+
+
+def test_the_log_is_merged(spark, tmp_path, rows):
+    folder, target = f"{tmp_path}/internal_ledger", f"{tmp_path}/raw"
+    for n in range(4):
+        write_ledger(f"{folder}/{n}.csv", [ledger_row(n, DAY0)])
+        load_listed(spark, ledger_files, [f"{folder}/{n}.csv"], target)
+    before = rows(loads(spark, target))
+    assert len(before) == 4 and not merge_log(spark, target, 4) and merge_log(spark, target, 3)
+    assert rows(loads(spark, target)) == before and raw_rows(spark, target).count() == 4
+    assert len([p for p in (tmp_path / "raw.loads").iterdir() if p.name.startswith("slot=")]) == 1
+
+
+def test_an_older_table_gets_its_log(spark, tmp_path, rows):
+    folder, target = f"{tmp_path}/internal_ledger", f"{tmp_path}/raw"
+    write_ledger(f"{folder}/a.csv", [ledger_row(1, DAY0), ledger_row(2, DAY0)])
+    ledger_files(spark.read, folder).write.parquet(f"{target}/load_batch=old")
+    load_feed(spark, ledger_files, folder, target, f"{tmp_path}/c")
+    assert raw_rows(spark, target).count() == 2
+    assert rows(loads(spark, target), "batch", "row_count") == [("old", 2)]
+
+
+def test_a_manifest_of_many_files_is_read_by_folder(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(load_once, "FEW", 1)
+    for n in range(5):
+        write_ledger(f"{tmp_path}/internal_ledger/{n}.csv", [ledger_row(n, DAY0)])
+    files = landed_files(spark, f"{tmp_path}/internal_ledger", "*.csv").where("file_name not like '%4.csv'")
+    assert load_manifest(spark, ledger_files, files, f"{tmp_path}/raw").count() == 4
+    assert load_manifest(spark, ledger_files, files, f"{tmp_path}/raw").count() == 0
+    assert raw_rows(spark, f"{tmp_path}/raw").count() == 4
+
+
 def test_a_refused_batch_leaves_the_table_as_it_was(spark, tmp_path):
     folder, target = f"{tmp_path}/internal_ledger", f"{tmp_path}/raw"
     write_ledger(f"{folder}/a.csv", [ledger_row(1, DAY0)])

@@ -17,6 +17,35 @@ def whole(column: str, digits: int = 0):
     return F.round(F.col(column).cast("double"), digits).alias(column)
 
 
+def plain_rates(rates: DataFrame) -> DataFrame:
+    return rates.select(
+        "rate_date",
+        epoch_of("rate_timestamp").alias("rate_epoch"),
+        "base_currency",
+        "target_currency",
+        F.col("exchange_rate").cast("double").alias("exchange_rate"),
+        "file_name",
+    )
+
+
+def plain_metals(metals: DataFrame) -> DataFrame:
+    prices = ["gold_usd", "silver_usd", "platinum_usd", "palladium_usd"]
+    return metals.select(
+        "success",
+        "base_currency",
+        epoch_of("api_timestamp").alias("api_epoch"),
+        *[F.col(p).cast("double").alias(p) for p in prices],
+        "file_name",
+    )
+
+
+def plain_ledger(ledger: DataFrame) -> DataFrame:
+    for amount in ["quantity", "price", "fees"]:
+        ledger = ledger.withColumn(amount, F.col(amount).cast("double"))
+    epoch = epoch_of("transaction_ts").alias("transaction_epoch")
+    return ledger.select("*", epoch).drop("transaction_ts", "_loaded_at")
+
+
 @register(
     "stg_exchange_rates",
     with_blocks("""
@@ -26,14 +55,7 @@ def whole(column: str, digits: int = 0):
     FROM fx_latest"""),
 )
 def stg_exchange_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return staging.stg_exchange_rates(inputs.fx_rates_raw(spark, folder)).select(
-        "rate_date",
-        epoch_of("rate_timestamp").alias("rate_epoch"),
-        "base_currency",
-        "target_currency",
-        F.col("exchange_rate").cast("double").alias("exchange_rate"),
-        "file_name",
-    )
+    return plain_rates(staging.stg_exchange_rates(inputs.fx_rates_raw(spark, folder)))
 
 
 @register(
@@ -47,14 +69,7 @@ def stg_exchange_rates(spark: SparkSession, folder: str) -> DataFrame:
     FROM metal_latest"""),
 )
 def stg_precious_metals(spark: SparkSession, folder: str) -> DataFrame:
-    prices = ["gold_usd", "silver_usd", "platinum_usd", "palladium_usd"]
-    return staging.stg_precious_metals(inputs.metal_prices_raw(spark, folder)).select(
-        "success",
-        "base_currency",
-        epoch_of("api_timestamp").alias("api_epoch"),
-        *[F.col(p).cast("double").alias(p) for p in prices],
-        "file_name",
-    )
+    return plain_metals(staging.stg_precious_metals(inputs.metal_prices_raw(spark, folder)))
 
 
 @register(
@@ -78,11 +93,7 @@ def stg_equity_prices(spark: SparkSession, folder: str) -> DataFrame:
     FROM trade"""),
 )
 def stg_ledger_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    ledger = staging.stg_ledger_transactions(inputs.ledger_transactions_raw(spark, folder))
-    for amount in ["quantity", "price", "fees"]:
-        ledger = ledger.withColumn(amount, F.col(amount).cast("double"))
-    epoch = epoch_of("transaction_ts").alias("transaction_epoch")
-    return ledger.select("*", epoch).drop("transaction_ts", "_loaded_at")
+    return plain_ledger(staging.stg_ledger_transactions(inputs.ledger_transactions_raw(spark, folder)))
 
 
 @register(
@@ -214,3 +225,13 @@ def summary_first_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The analyst's first look at the summary: ten rows, in a stated order."""
     summary = fact_daily_portfolio_summary(spark, folder)
     return summary.orderBy(F.col("date_key").asc_nulls_last(), F.col("client_key").asc_nulls_last()).limit(10)
+
+
+# Stored tables as their queries return them.
+COMPARABLE = {
+    "stg_exchange_rates": plain_rates,
+    "stg_precious_metals": plain_metals,
+    "stg_ledger_transactions": plain_ledger,
+    "fact_holdings": rounded_holdings,
+    "fact_daily_portfolio_summary": rounded_summary,
+}
