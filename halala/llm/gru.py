@@ -62,16 +62,21 @@ class Network:
                 kept.append((z, r, new, u[:, 2 * n :], before))
         return (states, kept) if keep else states
 
-    def _states(self, side: str, codes: np.ndarray) -> np.ndarray:
-        """What `_run` gives, with each gate in an array of its own, written in place."""
+    def _states(self, side: str, codes: np.ndarray, live: np.ndarray | None = None) -> np.ndarray:
+        """What `_run` gives, with each gate in an array of its own, written in place.
+
+        In step t only the first live[t] stretches have a byte: the others' states stay as they are.
+        """
         table, inner, n = self.weights[side + "x"], self.weights[side + "h"], HIDDEN
         (tz, iz), (tr, ir), (tn, im) = (
             [np.ascontiguousarray(w[:, k * n : (k + 1) * n] * sign) for w in (table, inner)] for k, sign in ((0, -1), (1, -1), (2, 1))
         )
-        h = np.zeros((codes.shape[1], n), table.dtype)
-        states = np.empty((len(codes), codes.shape[1], n), table.dtype)
+        live = np.full(len(codes), codes.shape[1]) if live is None else live
+        state = np.zeros((codes.shape[1], n), table.dtype)
+        states = np.zeros((len(codes), codes.shape[1], n), table.dtype)
         with np.errstate(over="ignore"):  # a gate that is shut: exp is infinite, its inverse 0
-            for t, code in enumerate(codes):
+            for t, k in enumerate(live.tolist()):
+                code, h = codes[t, :k], state[:k]
                 z = tz.take(code, axis=0)
                 z += h @ iz
                 np.exp(z, out=z)
@@ -85,16 +90,16 @@ class Network:
                 new *= h @ im
                 new += tn.take(code, axis=0)
                 np.tanh(new, out=new)
-                h = h - new
+                h -= new
                 h *= z
                 h += new
-                states[t] = h
+                states[t, :k] = h
         return states
 
-    def probabilities(self, codes: np.ndarray) -> np.ndarray:
-        """(time, stretch, language)."""
-        forth = self._states("f", codes)
-        back = self._states("b", codes[::-1])[::-1]
+    def probabilities(self, codes: np.ndarray, live: np.ndarray | None = None) -> np.ndarray:
+        """(time, stretch, language), where only the first live[t] stretches, the longer ones, have a byte t."""
+        forth = self._states("f", codes, live)
+        back = self._states("b", codes[::-1], None if live is None else live[::-1])[::-1]
         n = HIDDEN
         score = forth @ self.weights["out"][:n] + back @ self.weights["out"][n:] + self.weights["out0"]
         score = np.exp(score - score.max(axis=2, keepdims=True))
@@ -191,7 +196,7 @@ def pooled(network: Network, texts: Texts) -> np.ndarray:
         at = begin[some][None, :] + np.arange(int((end - begin)[some].max()))[:, None]
         inside = at < end[some][None, :]
         codes = np.where(inside, data[at], 0)
-        p = network.probabilities(codes)
+        p = network.probabilities(codes, inside.sum(axis=1))
         p *= (inside & _COUNTS[codes])[:, :, None]
         np.add.at(out, row[some], p.sum(axis=0))
     total = out.sum(axis=1, keepdims=True)

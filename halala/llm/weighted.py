@@ -8,7 +8,7 @@ equal to their generalised Jaccard similarity, the sum of the least weights over
 A fingerprint is the 16-bit hashes of `SAMPLES` samples, in hexadecimal.
 
 Each text is also compared with its follower by id. Documents are dealt into buckets of ids by
-quantiles; each bucket gets a copy of the next one's first document, so that the follower of every
+quantiles, and those of an id with many rows (or of none) by their texts' hashes; each bucket gets a copy of the next one's first document, so that the follower of every
 document is found within its bucket and texts are shuffled once.
 
 Edge cases: null is the empty text; texts without words share one fingerprint, so two of them are
@@ -20,6 +20,7 @@ ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,6 +84,18 @@ def _text_of(samples: str) -> Column:
     return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")), "")
 
 
+def _bounds(quantiles: list[int]) -> list[tuple[int, int]]:
+    """Cuts in the order of (id, rank); an id that is several quantiles is cut by rank, evenly, as many times."""
+    times = Counter(quantiles)
+    return [(i, (j + 1) * (1 << 64) // (times[i] + 1) - (1 << 63)) for i in sorted(times) for j in range(times[i])]
+
+
+def _bucket_of(cuts: list[tuple[int, int]]) -> Column:
+    ids, ranks = (F.array(*(F.lit(c[k]).cast("bigint") for c in cuts)) for k in (0, 1))
+    both = F.arrays_zip(ids.alias("i"), ranks.alias("r"))
+    return F.size(F.filter(both, lambda x: (x["i"] < F.col("id")) | ((x["i"] == F.col("id")) & (x["r"] < F.col("rank")))))
+
+
 def _bucketed(docs: DataFrame) -> DataFrame:
     """Rows (bucket, id, rank, added, text): all documents, and at each bucket's end the next one's first."""
     base = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("rank"), F.coalesce("text", F.lit("")).alias("text"))
@@ -91,9 +104,8 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     cuts = []
     if count > 1:
         shares = [i / count for i in range(1, count)]
-        cuts = sorted(set(base.agg(F.percentile_approx("id", shares, 20 * count)).first()[0]))
-    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    base = base.withColumn("bucket", F.size(F.filter(bounds, lambda x: x < F.col("id"))))
+        cuts = _bounds(base.agg(F.percentile_approx("id", shares, 20 * count)).first()[0])
+    base = base.withColumn("bucket", F.lit(0) if not cuts else _bucket_of(cuts))
     # One row per bucket, at most MOST_BUCKETS: the first document of each, and the bucket before it.
     firsts = base.groupBy("bucket").agg(F.min(F.struct("id", "rank")).alias("first")).orderBy("bucket").collect()
     order = [r["bucket"] for r in firsts]
