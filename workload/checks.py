@@ -114,6 +114,21 @@ def gate_relationships(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register(
+    "gate_sar_rate",
+    with_blocks("""
+    SELECT 'int_fx_rates_to_sar' AS "table", 'expression' AS gate, 'sar_rate_is_one' AS columns,
+           count(*) FILTER (currency_code = 'SAR' AND day(rate_date) = 13) AS failures
+    FROM sar"""),
+)
+def gate_sar_rate(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate on the rate of the riyal, with rates that break it on one day of each month."""
+    rates = Galaxy(spark, folder).int_fx_rates_to_sar
+    off = (F.col("currency_code") == "SAR") & (F.dayofmonth("rate_date") == 13)
+    broken = rates.withColumn("rate_to_sar", F.when(off, F.lit(1.00001)).otherwise(F.col("rate_to_sar")))
+    return gates.check_rows(broken, "int_fx_rates_to_sar", gates.row_gates()["int_fx_rates_to_sar"])
+
+
 @register(
     "gate_expression",
     """

@@ -14,7 +14,7 @@ from halala.plans.staging import NOT_A_TICKER, SERIES, stg_equity_prices, stg_le
 from halala.schemas import LEDGER_FILE_COLUMNS
 from halala.session import scratch_path
 from halala.quality.payloads import PayloadError
-from halala.sources.landing import document_files, ledger_deliveries, ledger_files, ledger_rows
+from halala.sources.landing import batch_id_of, document_files, ledger_deliveries, ledger_files, ledger_rows
 from halala.sources.warehouse import Warehouse
 from halala.streaming.latest_copy import latest_copy_merge
 from halala.streaming.load_once import landed_files, load_feed, load_manifest, loads, raw_rows, stored_violations
@@ -108,6 +108,16 @@ def load_history_rows(spark: SparkSession, folder: str) -> DataFrame:
     return loads(spark, f"{work}/raw").select(F.substring_index("file_name", "/", 1).alias("delivery"), "row_count")
 
 
+@register(
+    "batch_id_of_file",
+    "SELECT strftime(l_shipdate, '%Y%m%d') || 'T093000' AS batch_id, count(*) AS lines FROM lineitem GROUP BY ALL",
+)
+def batch_id_of_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Ledger lines per batch, as the stems of their files name it."""
+    lines = ledger_transactions_raw(spark, folder).select(batch_id_of(F.col("file_name")).alias("batch_id"))
+    return lines.groupBy("batch_id").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @register(
     "landing_refused",
     """
