@@ -51,10 +51,8 @@ def _months(days: DataFrame) -> DataFrame:
 
 def _of_months(release: Release, layer: str, table: str, months: DataFrame) -> DataFrame:
     """Rows of some months, as they will be after the release; their columns only."""
-    warehouse = release.warehouse
-    state = warehouse.states(release.entries)[(layer, table)]
     named = [f"{MONTH}={'__HIVE_DEFAULT_PARTITION__' if r[MONTH] is None else r[MONTH]}" for r in months.distinct().collect()]
-    return warehouse.frame(layer, table, state, named)
+    return release.warehouse.frame(layer, table, release.state(layer, table), named)
 
 
 def changed_prices(old: DataFrame, new: DataFrame) -> DataFrame:

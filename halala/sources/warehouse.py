@@ -90,20 +90,20 @@ class Warehouse:
 
     # ---- what is current --------------------------------------------------------------------
 
-    def _log(self, entries: Iterable = ()) -> list:
+    def _log(self) -> list:
         """The log's entries, oldest first: a few for each table and release."""
         try:
             log = self.spark.read.schema(_ENTRY).parquet(f"{self.root.rstrip('/')}/{_LOG}")
-            return [*sorted(log.collect(), key=lambda e: (e["release"], e["part"])), *entries]
+            return sorted(log.collect(), key=lambda e: (e["release"], e["part"]))
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return list(entries)
+            return []
 
-    def states(self, entries: Iterable = ()) -> dict[tuple[str, str], TableState]:
-        """Current tables by (layer, name), as if the given entries were released too."""
+    def states(self, log: Iterable | None = None) -> dict[tuple[str, str], TableState]:
+        """Current tables by (layer, name), after the entries of the log."""
         found: dict[tuple[str, str], TableState] = {}
-        for e in self._log(entries):
+        for e in self._log() if log is None else log:
             key = (e["layer"], e["name"])
             before = found.get(key)
             columns = T.StructType.fromJson(json.loads(e["columns"]))
@@ -255,7 +255,8 @@ class Release:
     entries: list[dict] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        self.number = max((e["release"] for e in self.warehouse._log()), default=0) + 1
+        self.before = self.warehouse._log()  # read once: a release is the only writer
+        self.number = max((e["release"] for e in self.before), default=0) + 1
 
     def __enter__(self) -> Release:
         return self
@@ -284,9 +285,13 @@ class Release:
                 self.entries.append({**entry, "part": _month_folder(row[MONTH]), **(size if not whole and i == 0 else none)})
         return self.frame(layer, table)
 
+    def state(self, layer: str, table: str) -> TableState:
+        """What the table will consist of after the release."""
+        return self.warehouse.states([*self.before, *self.entries])[(layer_name(layer), table)]
+
     def frame(self, layer: str, table: str) -> DataFrame:
         """The table as it will be after the release."""
-        return self.warehouse.frame(layer, table, self.warehouse.states(self.entries)[(layer_name(layer), table)])
+        return self.warehouse.frame(layer, table, self.state(layer, table))
 
     def rebuild(self, layer: str, table: str, rows: DataFrame) -> DataFrame:
         return self._write(layer, table, rows, None, whole=True)
@@ -295,7 +300,7 @@ class Release:
         return self._write(layer, table, rows, month, whole=True)
 
     def replace_months(self, layer: str, table: str, rows: DataFrame, month: Column) -> DataFrame:
-        state = self.warehouse.states(self.entries)[(layer_name(layer), table)]
+        state = self.state(layer, table)
         return self._write(layer, table, rows.select(*state.columns.names), month, whole=False)
 
     def replace_changed_months(self, layer: str, table: str, rows: DataFrame, month: Column) -> tuple[DataFrame, list[int]]:
