@@ -10,7 +10,7 @@ from halala.operators.reshape import stack_rows
 from halala.plans import dimensions, facts, fx, staging
 from halala.plans.refresh import INTERMEDIATE, LEDGER, refresh_after_late_prices, refresh_after_late_rates, refresh_after_ledger_batch
 from halala.quality import payloads
-from halala.quality.gates import enforce, gate_report
+from halala.quality.evidence import enforce_release
 from halala.quality.ledger import Book, ledger_violations, row_count_violations
 from halala.schemas import DOCUMENT_FEEDS, LEDGER_FEED
 from halala.sources.landing import document_files, ledger_deliveries, ledger_rows
@@ -105,7 +105,7 @@ def build_tables(
 
     def check(*names: str) -> None:
         if gates:
-            enforce(gate_report({n: built[n] for n in names}, built))
+            enforce_release(release, names, built)
 
     for name, rows in {
         "stg_exchange_rates": staging.stg_exchange_rates(raw["fx_rates_raw"]),

@@ -22,8 +22,8 @@ from halala.operators.asof import asof_join
 from halala.operators.lookup import checked_broadcast, settle
 from halala.operators.reshape import stack_rows
 from halala.plans import dimensions, facts, staging
-from halala.quality.gates import enforce, gate_report
-from halala.sources.warehouse import ANALYTICS, MONTH, STAGING, Release, Warehouse, month_of
+from halala.quality.evidence import enforce_release
+from halala.sources.warehouse import ANALYTICS, MONTH, STAGING, Release, Warehouse, month_folder, month_of
 from halala.streaming.late_rates import changed_months, changed_probes
 
 INTERMEDIATE = "intermediate"
@@ -51,7 +51,7 @@ def _months(days: DataFrame) -> DataFrame:
 
 def _of_months(release: Release, layer: str, table: str, months: DataFrame) -> DataFrame:
     """Rows of some months, as they will be after the release; their columns only."""
-    named = [f"{MONTH}={'__HIVE_DEFAULT_PARTITION__' if r[MONTH] is None else r[MONTH]}" for r in months.distinct().collect()]
+    named = [month_folder(r[MONTH]) for r in months.distinct().collect()]
     return release.warehouse.frame(layer, table, release.state(layer, table), named)
 
 
@@ -111,7 +111,7 @@ def _refresh_prices(release: Release, now: dict[str, DataFrame], changed: DataFr
 
 def _finish(release: Release, now: dict[str, DataFrame], touched: list[str], gates: bool, publish: bool) -> dict[str, DataFrame]:
     if gates:
-        enforce(gate_report({n: now[n] for n in touched}, now))
+        enforce_release(release, touched, now)
     layers = {(e["layer"], e["name"]) for e in release.entries}
     release.commit()
     if publish:

@@ -65,10 +65,14 @@ def in_partitions(stored: DataFrame, partition: str, wanted: DataFrame) -> DataF
     return stored.where(named | F.col(partition).isNull() if None in values else named)
 
 
-def _month_folder(month: int | None) -> str:
+def month_folder(month: int | None) -> str:
     return _NULL_MONTH if month is None else f"{MONTH}={month}"
 
 
+def month_of_folder(part: str) -> int | None:
+    return None if part == _NULL_MONTH else int(part.split("=")[1])
+
+
 @dataclass(frozen=True)
 class TableState:
     """What a table consists of: its columns, its folders below the table's, and its size."""
@@ -142,7 +146,7 @@ class Warehouse:
         """Rows of the given months (one column, MONTH); the other folders are not read."""
         state = self.states()[(layer_name(layer), table)]
         # one row per month reaches the driver, which knows the months anyway
-        return self.frame(layer, table, state, [_month_folder(r[MONTH]) for r in months.select(MONTH).distinct().collect()])
+        return self.frame(layer, table, state, [month_folder(r[MONTH]) for r in months.select(MONTH).distinct().collect()])
 
     # ---- writing ----------------------------------------------------------------------------
 
@@ -282,7 +286,7 @@ class Release:
             if whole:
                 self.entries.append({**entry, "part": "", **size})
             for i, row in enumerate(found):
-                self.entries.append({**entry, "part": _month_folder(row[MONTH]), **(size if not whole and i == 0 else none)})
+                self.entries.append({**entry, "part": month_folder(row[MONTH]), **(size if not whole and i == 0 else none)})
         return self.frame(layer, table)
 
     def state(self, layer: str, table: str) -> TableState:
