@@ -96,11 +96,26 @@ def token_classes(judged: DataFrame, support: float = SUPPORT) -> list[list[str]
     return sorted(r["members"] for r in classes.collect())
 
 
-def _parts(tokens: Column) -> Column:
-    """All shorter lists, but the empty one, that leave out some of the tokens."""
-    none = F.array(F.array().cast("array<string>"))
-    lists = F.aggregate(tokens, none, lambda found, x: F.concat(found, F.transform(found, lambda y: F.concat(y, F.array(x)))))
-    return F.filter(lists, lambda y: (F.size(y) > 0) & (F.size(y) < F.size(tokens)))
+def _needed(rules: DataFrame, confidence: float) -> DataFrame:
+    """The rules that are sure enough, and surer of their verdict than every part of their tokens.
+
+    `rules` holds all frequent ones, however unsure. Level by level: the surest part of a rule is the surest among
+    those that lack one token and their parts, so a rule of n tokens is compared with n others.
+    """
+    longest_rule = rules.agg(F.max("size")).first()[0] or 0
+    kept, before = [], None
+    for size in range(1, longest_rule + 1):
+        level = rules.where(F.col("size") == size)
+        if before is None:
+            level = level.withColumn("part_confidence", F.lit(None).cast("double"))
+        else:
+            known = before.select(F.col("tokens").alias("part"), "verdict", F.greatest("confidence", "part_confidence").alias("best"))
+            parts = level.select("tokens", "verdict", F.explode(F.transform("tokens", lambda t: F.array_except("tokens", F.array(t)))).alias("part"))
+            best = parts.join(known, ["part", "verdict"]).groupBy("tokens", "verdict").agg(F.max("best").alias("part_confidence"))
+            level = level.join(best, ["tokens", "verdict"])
+        before = written(level.select(*rules.columns, "part_confidence"))
+        kept.append(before.where((F.col("confidence") >= confidence) & (F.col("part_confidence").isNull() | (F.col("confidence") > F.col("part_confidence")))))
+    return reduce(DataFrame.unionByName, kept, rules.limit(0).withColumn("part_confidence", F.lit(None).cast("double"))).drop("part_confidence")
 
 
 def _choices(lists: Column) -> Column:
@@ -117,17 +132,13 @@ def mined(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFI
     first = [c[0] for c in classes]
     kept = F.filter("tokens", lambda t: t.isin(first))
     baskets = judged.select(F.concat(kept, F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(baskets)
     found = model.associationRules.where(F.element_at("consequent", 1).startswith("verdict:")).select(
         F.array_sort("antecedent").alias("tokens"), F.size("antecedent").alias("size"),
         F.substring_index(F.element_at("consequent", 1), ":", -1).alias("verdict"), "confidence", "support",
     )
     rules = written(found.where("not exists(tokens, t -> t like 'verdict:%')"))
-    # A rule is needless when a part of its tokens is as sure of the same verdict.
-    part = rules.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("part_confidence"))
-    inside = rules.select("tokens", "verdict", "confidence", F.explode(_parts(F.col("tokens"))).alias("part")).join(part, ["part", "verdict"])
-    needless = inside.where("part_confidence >= confidence").select("tokens", "verdict").distinct()
-    needed = rules.join(needless, ["tokens", "verdict"], "left_anti")
+    needed = _needed(rules, confidence)
     # Whatever member of a class a url has, the rule holds for it.
     members = F.create_map(*(x for c in classes for x in (F.lit(c[0]), F.array(*map(F.lit, c)))))
     every = needed.withColumn("tokens", F.explode(_choices(F.transform("tokens", lambda t: members[t]))))
@@ -135,17 +146,18 @@ def mined(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFI
     return written(every.select("rule", "tokens", "size", "verdict", "confidence", "support"))
 
 
-def _indexed(rules: DataFrame) -> DataFrame:
-    """Rules by their rarest token: the one that the fewest rules hold."""
-    each = rules.select("rule", "verdict", "tokens", "size", "confidence", "support", F.explode("tokens").alias("token"))
-    often = each.groupBy("token").agg(F.count("*").alias("often"))
-    rarest = each.join(often, "token").groupBy("rule", "verdict").agg(F.min(F.struct("often", "token")).alias("first"))
+def _indexed(rules: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Rules by their rarest token: the one that the fewest urls have."""
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    each = rules.select("rule", "verdict", F.explode("tokens").alias("token")).join(often, "token", "left")
+    rarest = each.groupBy("rule", "verdict").agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "token")).alias("first"))
     return rules.join(rarest, ["rule", "verdict"]).select("*", F.col("first.token").alias("token")).drop("first")
 
 
 def judged_by_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, mined_rule, mined_verdict): the surest mined rule that fits each of urls(url, tokens)."""
-    found = urls.select("url", F.col("tokens").alias("own"), F.explode("tokens").alias("token")).join(_indexed(rules), "token")
+    each = urls.select("url", F.col("tokens").alias("own"), F.explode("tokens").alias("token"))
+    found = each.join(_indexed(rules, each.select("token")), "token")
     fits = found.where(F.size(F.array_intersect("own", "tokens")) == F.col("size"))
     rank = F.struct("confidence", "support", F.col("size"), F.col("verdict"), F.col("rule"))
     best = fits.groupBy("url").agg(F.max(rank).alias("best"))

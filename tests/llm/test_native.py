@@ -155,6 +155,25 @@ def test_all_frequent_tokens_are_mined(spark):
     assert {t for some, _ in want for t in some} == set(tokens)
 
 
+def test_a_part_counts_beyond_unsure_rules(spark):
+    """a b c is less sure than a, though no rule of two tokens with a is sure enough to be one."""
+    lists = [("a", 90, 90), ("a b", 10, 2), ("a c", 10, 2), ("a b c", 10, 8), ("b c", 10, 0), ("d", 10, 0), ("a d e", 10, 10)]
+    rows = [(own.split(), "block" if i < bad else "allow") for own, n, bad in lists for i in range(n)]
+    want, sure = {}, {}
+    for size in (1, 2, 3):
+        for some in itertools.combinations("abcde", size):
+            held = [v for own, v in rows if set(some) <= set(own)]
+            for verdict in ("allow", "block"):
+                if held.count(verdict):
+                    sure[some, verdict] = held.count(verdict) / len(held)
+                    shorter = [sure.get((part, verdict), 0) for k in range(1, size) for part in itertools.combinations(some, k)]
+                    if sure[some, verdict] >= urlrules.CONFIDENCE and sure[some, verdict] > max(shorter, default=0):
+                        want[some, verdict] = sure[some, verdict]
+    rules = urlrules.mined(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    assert {(tuple(r["tokens"]), r["verdict"]): pytest.approx(r["confidence"]) for r in rules} == want
+    assert (("a", "b", "c"), "block") not in want and (("a",), "block") in want
+
+
 @pytest.mark.parametrize("native", ["weighted", "urlrules"])
 def test_native_operators_run_no_python(spark, native):
     if native == "weighted":
