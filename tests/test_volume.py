@@ -48,3 +48,41 @@ def test_settled_rows_are_compressed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(lookup, "scratch_path", lambda _: str(tmp_path / "settled"))
     settle(spark.range(10).selectExpr("id", "md5(cast(id as string)) as key"))
     assert codecs(tmp_path / "settled") == {"ZSTD"}
+
+
+@pytest.fixture
+def trades(spark):
+    holdings = [("c1", 20260105, "a", 1, 10.0, 1), ("c1", 20260105, "a", 2, None, 1), ("c2", 20260101, "a", 5, 7.0, 1),
+                ("c2", None, "b", 1, 3.0, 1), (None, 20260105, None, 1, 2.0, 1)]
+    prices = [("a", 20260103, 2.0, 1, "s"), ("a", 20260103, 3.0, 2, "r"), ("a", 20260110, 9.0, 1, "s"), ("b", 20260101, 4.0, 1, "s")]
+    typed = spark.createDataFrame(holdings, "c string, d int, a string, q int, v double, f int").toDF(*[c.split()[0] for c in HOLDINGS.split(", ")])
+    for column in ("quantity", "fees"):
+        typed = typed.withColumn(column, typed[column].cast("decimal(18,4)"))
+    return typed, spark.createDataFrame(prices, PRICES)
+
+
+def test_positions_meet_their_prices_where_they_were_added_up(spark, trades, rows, monkeypatch):
+    holdings, prices = trades
+    columns = ["client_key", "date_key", "invested", "value"]
+    few = rows(facts.portfolio_values(holdings, prices), *columns)
+    assert set(few) == {("c1", 20260105, 10.0, 9.0), ("c2", 20260101, 7.0, 0.0), ("c2", None, 3.0, 0.0), (None, 20260105, 2.0, 0.0)}
+
+    holdings = settle(holdings)
+    monkeypatch.setattr(asof, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(asof, "settle", lambda _: pytest.fail("many answers are not copied"))
+    monkeypatch.setattr(facts, "settle", lambda _: pytest.fail("stored trades are not copied"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = facts.portfolio_values(holdings, prices)
+        plan = physical(many)
+        assert rows(many, *columns) == few
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(client_key#" not in plan.split("SortMergeJoin", 1)[1]
+
+
+def test_probes_may_be_named(spark, rows):
+    left = spark.createDataFrame([(1, "a", 5), (2, "b", 5)], "id int, k string, t int")
+    right = spark.createDataFrame([("a", 4, "x"), ("b", 4, "y")], "k string, t int, v string")
+    found = asof_join(left, right, ["k"], "t", "t", {"v": "v"}, probes=left.where("k = 'a'"))
+    assert rows(found, "id", "v") == [(1, "x"), (2, None)]
