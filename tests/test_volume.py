@@ -86,3 +86,11 @@ def test_probes_may_be_named(spark, rows):
     right = spark.createDataFrame([("a", 4, "x"), ("b", 4, "y")], "k string, t int, v string")
     found = asof_join(left, right, ["k"], "t", "t", {"v": "v"}, probes=left.where("k = 'a'"))
     assert rows(found, "id", "v") == [(1, "x"), (2, None)]
+
+
+def test_two_states_of_prices_are_compared_once(spark, trades, rows):
+    _, old = trades
+    new = old.where("date_key <> 20260110")
+    found = changed_prices(old, new)
+    assert rows(found) == [("a", 20260103, False), ("a", 20260110, True)]
+    assert optimized(found).count("LogicalRDD") == 2
