@@ -29,6 +29,10 @@ def _differs(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
+def _names(broken: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in broken.items()]))
+
+
 def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
     """One row per broken rule of a ledger line (all file columns as text, plus `file_name`)."""
     known = F.lit(True)
@@ -38,7 +42,6 @@ def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
     rows = lines.select("file_name", *LEDGER_FILE_COLUMNS)
     rows = attach(rows, clients, "client_id", "_client", ["_name", "_known_client"])
     rows = attach(rows, portfolios, "portfolio_id", "_portfolio", ["_known_portfolio"])
-    rows = attach(rows, instruments, "ticker", "_ticker", ["_currency", "_known_ticker"])
 
     amount = {c: F.col(c).try_cast("decimal(38,4)") for c in ["quantity", "price", "fee_amount"]}
     delivered = F.col("total").try_cast("decimal(38,8)")
@@ -57,14 +60,18 @@ def ledger_violations(lines: DataFrame, book: Book) -> DataFrame:
         "unknown_client": F.col("_known_client").isNull(),
         "client_name_mismatch": F.col("_known_client").isNotNull() & _differs(F.col("client_name"), F.col("_name")),
         "unknown_portfolio": F.col("_known_portfolio").isNull(),
-        "unknown_ticker": F.col("_known_ticker").isNull(),
-        "currency_mismatch": F.col("_known_ticker").isNotNull() & _differs(F.col("currency"), F.col("_currency")),
         "unknown_type": ~F.coalesce(F.col("transaction_type").isin(SIDES), F.lit(False)),
         "not_positive": not_positive("quantity") | not_positive("price") | not_positive("fee_amount"),
         "total_mismatch": F.coalesce(side.isin(SIDES), F.lit(False)) & ~F.coalesce(matches, F.lit(False)),
     }
-    rules = F.array(*[F.when(condition, F.lit(name)) for name, condition in broken.items()])
-    return rows.select("file_name", "transaction_id", F.explode(F.array_compact(rules)).alias("rule"))
+    # instruments may be too many to broadcast, so what meets them is narrow: a line's other broken rules, mostly none
+    rows = rows.select("file_name", "transaction_id", "ticker", "currency", _names(broken).alias("_rules"))
+    rows = attach(rows, instruments, "ticker", "_ticker", ["_currency", "_known_ticker"])
+    broken = {
+        "unknown_ticker": F.col("_known_ticker").isNull(),
+        "currency_mismatch": F.col("_known_ticker").isNotNull() & _differs(F.col("currency"), F.col("_currency")),
+    }
+    return rows.select("file_name", "transaction_id", F.explode(F.concat("_rules", _names(broken))).alias("rule"))
 
 
 def row_count_violations(lines: DataFrame, expected: DataFrame) -> DataFrame:

@@ -94,3 +94,11 @@ def test_two_states_of_prices_are_compared_once(spark, trades, rows):
     found = changed_prices(old, new)
     assert rows(found) == [("a", 20260103, False), ("a", 20260110, True)]
     assert optimized(found).count("LogicalRDD") == 2
+
+
+def test_a_line_meets_the_instruments_without_its_columns(spark):
+    lines = spark.createDataFrame([tuple(ledger_row(1, DAY0)[c] for c in LEDGER_FILE_COLUMNS)], ", ".join(f"{c} string" for c in LEDGER_FILE_COLUMNS))
+    lines = lines.selectExpr("'f' as file_name", "*")
+    many = ledger.ledger_violations(lines, book(spark))
+    first = optimized(many).split("Join", 2)[1]
+    assert "_rules" in first
