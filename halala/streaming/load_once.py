@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from halala.operators.lookup import checked_broadcast, settle
 from halala.quality.payloads import PayloadError
+from halala.session import STORED
 from halala.sources.warehouse import BATCH
 
 # The file source forgets files older than this against the newest one, and would skip a file
@@ -103,7 +104,8 @@ def raw_rows(spark: SparkSession, target: str) -> DataFrame | None:
 def _not_loaded(rows: DataFrame, target: str, slot: str = "") -> DataFrame:
     """Rows of files that no other batch has loaded."""
     known = loads(rows.sparkSession, target).where(F.col("batch") != slot).select("file_name").distinct()
-    return rows.join(known, "file_name", "left_anti").select(*rows.columns)
+    # a name per file: shuffled by it, the rows of a large file would meet in one task
+    return rows.join(checked_broadcast(known), "file_name", "left_anti").select(*rows.columns)
 
 
 def _store(
@@ -122,7 +124,7 @@ def _store(
             rows = rows.join(checked_broadcast(told.select("file_name").distinct()), "file_name", "left_anti").select(*rows.columns)
             lines = [" ".join(str(v) for v in row) for row in first[:SHOWN]] + ["..."] * (len(first) > SHOWN)
     place = f"{target}/{BATCH}={slot}"
-    (prepare(rows) if prepare else rows).write.mode("overwrite").parquet(place)
+    (prepare(rows) if prepare else rows).write.mode("overwrite").options(**STORED).parquet(place)
     _log(spark.read.schema("file_name string").parquet(place), target, slot)
     return lines
 

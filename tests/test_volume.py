@@ -96,6 +96,18 @@ def test_two_states_of_prices_are_compared_once(spark, trades, rows):
     assert optimized(found).count("LogicalRDD") == 2
 
 
+def test_rows_of_a_file_are_not_brought_together(spark, tmp_path, rows):
+    lines = spark.createDataFrame([("f", 1), ("f", 2), (None, 3)], "file_name string, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = _not_loaded(lines, str(tmp_path / "raw"))
+        plan = physical(left)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert left.count() == 3
+    assert "SortMergeJoin" not in plan
+
+
 def test_a_line_meets_the_instruments_without_its_columns(spark):
     lines = spark.createDataFrame([tuple(ledger_row(1, DAY0)[c] for c in LEDGER_FILE_COLUMNS)], ", ".join(f"{c} string" for c in LEDGER_FILE_COLUMNS))
     lines = lines.selectExpr("'f' as file_name", "*")

@@ -94,7 +94,14 @@ def load_stream_then_list(spark: SparkSession, folder: str) -> DataFrame:
 def land_by(spark: SparkSession, folder: str, landing: str, name: str, value: str) -> None:
     """The ledger as one file for each value, in folders `<name>=<value>`."""
     lines = ledger_lines(spark, folder, F.expr(value).alias(name)).select(*LEDGER_FILE_COLUMNS, name)
-    lines.repartition(name).write.partitionBy(name).option("header", True).option("escape", '"').csv(landing)
+    # a task has few values, so it keeps their files open instead of sorting its lines by value
+    files_at_once = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(files_at_once, None)
+    spark.conf.set(files_at_once, "100")
+    try:
+        lines.repartition(name).write.partitionBy(name).option("header", True).option("escape", '"').csv(landing)
+    finally:
+        spark.conf.unset(files_at_once) if before is None else spark.conf.set(files_at_once, before)
 
 
 @register(
