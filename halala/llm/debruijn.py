@@ -7,8 +7,10 @@ equal minimizers, so a minimizer that stays in one document cannot hold a repeat
 * keep the fragments whose minimizer occurs in two documents,
 * find each fragment's first document, and whether its predecessor and successor are the same in
   every occurrence (such fragments are glued into nonbranching paths),
-* take the windows apart only where one minimizer has different fragments, from the source
-  coordinates (document, first word) of one occurrence of each, and
+* take windows apart only where different fragments agree around one minimizer, from the source
+  coordinates (document, first word) of one occurrence of each: a window has at least half of its
+  other words to the left or to the right of its minimizer, so fragments with a common window agree in
+  that half, and only the windows over it are wanted. And they
 * hand each document its paths as spans of words.
 
 Fragments are identified by two 64-bit hashes, of their minimizer and of all their words.
@@ -35,7 +37,7 @@ WINDOW, MINIMIZER = 50, 6
 NO_ID = (1 << 63) - 1
 _PLACE = np.uint64((1 << 28) - 1)
 
-FRAGMENTS = "least bigint, whole bigint, id bigint, rank bigint, start int, n int, times int, before int, after int"
+FRAGMENTS = "least bigint, whole bigint, id bigint, rank bigint, start int, n int, times int, before int, after int, place int, left_half int, right_half int"
 WINDOWS = "least bigint, whole bigint, first_id bigint, at int, w1 bigint, w2 bigint"
 KEPT = "id bigint, n_words bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -51,8 +53,27 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], forth[width - 1 : n])
 
 
+def _half(window: int, k: int) -> int:
+    """The fewest words that every window has on one side of its minimizer."""
+    return -(-(window - k) // 2)
+
+
+def _halves(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, least: np.ndarray, window: int, k: int) -> list[np.ndarray]:
+    """Hashes of the minimizer with half of a window's other words to its left, and to its right; 0 where a fragment ends before.
+
+    Equal halves only let windows be compared, so 31 bits do; left ones are even, right ones odd.
+    """
+    half, found = _half(window, k), []
+    for side, (a, b) in enumerate([(least - half, least + k), (least, least + k + half)]):
+        inside = (a >= start) & (b <= end)
+        out = np.zeros(len(start), np.int32)
+        out[inside] = ((SECOND.runs(hashes, a[inside], b[inside]) >> np.uint64(33)).astype(np.int32) & ~1 | 2) + side
+        found.append(out)
+    return found
+
+
 def _fragments_of(words: Words, window: int, k: int):
-    """Row, first word, windows, minimizer and hash of each fragment, in order of place."""
+    """Row, first word, windows, minimizer, hash, place of the minimizer and halves of each fragment, in order of place."""
     hashes = words.hashes()
     at = run_starts(words, window)
     if not len(at):
@@ -69,7 +90,8 @@ def _fragments_of(words: Words, window: int, k: int):
     n = np.diff(np.append(first, len(at)))
     start = at[first]
     whole = FIRST.runs(hashes, start, start + n + window - 1)
-    return rows[first], start, n, kmers[chosen[first]], whole
+    halves = _halves(hashes, start, start + n + window - 1, chosen[first], window, k)
+    return rows[first], start, n, kmers[chosen[first]], whole, chosen[first] - start, *halves
 
 
 def _fragments(window: int, k: int):
@@ -79,13 +101,13 @@ def _fragments(window: int, k: int):
             found = _fragments_of(words, window, k)
             if found is None:
                 continue
-            rows, start, n, least, whole = found
+            rows, start, n, least, whole, *_ = found
             # The same fragment again and again (one word repeated) is one row.
             new = np.ones(len(rows), bool)
             new[1:] = (rows[1:] != rows[:-1]) | (whole[1:] != whole[:-1]) | (start[1:] != start[:-1] + n[:-1])
             head = np.flatnonzero(new)
             times = np.diff(np.append(head, len(rows)))
-            rows, start, n, least, whole = (x[head] for x in (rows, start, n, least, whole))
+            rows, start, n, least, whole, place, left_half, right_half = (x[head] for x in found)
             joined = rows[1:] == rows[:-1]
             # Neighbours only decide what is glued, so 31 bits of their hash do; 0 is none.
             short = ((whole >> np.uint64(33)) | np.uint64(1)).astype(np.int32)
@@ -93,8 +115,8 @@ def _fragments(window: int, k: int):
             before[1:][joined], after[:-1][joined] = short[:-1][joined], short[1:][joined]
             start = start - words.first[rows]
             by_row = (piece.column(c).to_numpy(zero_copy_only=False)[rows] for c in ("id", "rank"))
-            arrays = [signed(least), signed(whole), *by_row, start.astype(np.int32), n.astype(np.int32), times.astype(np.int32), before, after]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["least", "whole", "id", "rank", "start", "n", "times", "before", "after"])
+            arrays = [signed(least), signed(whole), *by_row, start.astype(np.int32), n.astype(np.int32), times.astype(np.int32), before, after, place.astype(np.int32), left_half, right_half]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=[c.split()[0] for c in FRAGMENTS.split(", ")])
 
     return of_batches
 
@@ -107,7 +129,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, dict[str, pa.Array]]:
 
 
 def _windows(window: int):
-    """Windows of the wanted fragments, taken from the words at their source coordinates."""
+    """The wanted windows of fragments, taken from the words at their source coordinates."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -119,6 +141,7 @@ def _windows(window: int):
             each = np.repeat(np.arange(len(n)), n)
             at = ranges(n)
             begin = start[each] + at
+            at += wanted["at"].to_numpy()[each]
             arrays = [wanted["least"].to_numpy()[each], wanted["whole"].to_numpy()[each], piece.column("id").to_numpy()[rows][each], at.astype(np.int32)]
             arrays += [signed(by.runs(hashes, begin, begin + window)) for by in (FIRST, SECOND)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["least", "whole", "first_id", "at", "w1", "w2"])
@@ -211,19 +234,24 @@ def repeated_spans(keyed: DataFrame, window: int, k: int) -> DataFrame:
     pieces = written(found.join(shared, "least"))
     graph = written(
         pieces.groupBy("least", "whole").agg(
-            F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min(F.struct("id", "rank", "start", "n")).alias("source"),
-            _one("before").alias("one_before"), _one("after").alias("one_after"),
+            F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min(F.struct("id", "rank", "start", "n", "place")).alias("source"),
+            _one("before").alias("one_before"), _one("after").alias("one_after"), F.min("left_half").alias("left_half"), F.min("right_half").alias("right_half"),
         )
     )
-    forks = graph.groupBy("least").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select("least")
-    wanted = graph.join(forks, "least").select("source.*", "least", "whole").groupBy("id", "rank")
-    wanted = wanted.agg(F.collect_list(F.struct("least", "whole", "start", "n")).alias("wanted"))
-    # Repeated rows have equal windows: one of them is enough.
-    windows = keyed.join(wanted, ["id", "rank"]).mapInArrow(_windows(window), WINDOWS)
-    windows = written(windows.groupBy("least", "whole", "at", "w1", "w2").agg(F.min("first_id").alias("first_id")))
+    halves = graph.select("least", "whole", "source", F.explode(F.array("left_half", "right_half")).alias("half")).where("half <> 0")
+    forks = halves.groupBy("least", "half").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a <> b").select("least", "half")
+    # Written first, like the minimizers.
+    agreeing = halves.join(written(forks), ["least", "half"]).select("least", "whole", "source.*", "half")
+    # Windows that reach as far to the left as a left half, or to the right as a right one.
+    skip = F.when(F.col("half") % 2 == 0, 0).otherwise(F.greatest(F.lit(0), F.col("place") + (k + _half(window, k) - window)))
+    upto = F.when(F.col("half") % 2 == 0, F.least("n", F.col("place") - (_half(window, k) - 1))).otherwise(F.col("n"))
+    wanted = agreeing.select("id", "rank", F.struct("least", "whole", (F.col("start") + skip).alias("start"), (upto - skip).alias("n"), skip.alias("at")).alias("w"))
+    wanted = wanted.groupBy("id", "rank").agg(F.collect_set("w").alias("wanted"))
+    # Repeated rows, and both halves, give a window more than once, which the sets below take in.
+    windows = written(keyed.join(wanted, ["id", "rank"]).mapInArrow(_windows(window), WINDOWS))
     firsts = windows.groupBy("w1", "w2").agg(F.min("first_id").alias("low"), F.max("first_id").alias("high")).where("low < high")
     late = windows.join(firsts, ["w1", "w2"]).where("first_id > low")
-    late = late.groupBy("least", "whole").agg(F.collect_list("at").alias("early"))
+    late = late.groupBy("least", "whole").agg(F.collect_set("at").alias("early"))
     known = graph.join(late, ["least", "whole"], "left").where("first_id < last_id or early is not null")
     placed = pieces.join(known.select("least", "whole", "first_id", "early", "one_before", "one_after"), ["least", "whole"])
     full = F.col("id") > F.col("first_id")

@@ -262,3 +262,30 @@ def test_words_and_hashes():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (10, 500, 10, 10)])], names=["text"])
     assert [p.num_rows for p in slices([batch], limit=300)] != [4]
     assert sum(p.num_rows for p in slices([batch], limit=300)) == 4
+
+
+def test_windows_are_taken_apart_only_around_a_common_half(spark, monkeypatch):
+    """A common run shorter than half a window is no reason to compare windows; a common half is, on its own side only."""
+
+    def text(name, n, common):
+        return " ".join([f"{name}{i}" for i in range(n)] + common + [f"{name}{i}" for i in range(n, 2 * n)])
+
+    def windows_of(rows, window, k):
+        tables = []
+
+        def kept_table(df, write=debruijn.written):
+            tables.append(write(df))
+            return tables[-1]
+
+        monkeypatch.setattr(debruijn, "written", kept_table)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert removed(df, window, k) == kept(rows, window)
+        monkeypatch.undo()
+        return next(t for t in tables if "w1" in t.columns).select("whole", "at").distinct().count()
+
+    # Only the two words of the minimizer are the same.
+    short = [(i, text(f"d{i}x", 40, ["same", "words"])) for i in range(40)]
+    assert windows_of(short, 20, 2) == 0
+    long = [(i, text(f"d{i}x", 40, [f"c{j}" for j in range(60)])) for i in range(3)]
+    fragments = debruijn._key(spark.createDataFrame(long, "doc_id long, text string")).mapInArrow(debruijn._fragments(20, 2), debruijn.FRAGMENTS)
+    assert 0 < windows_of(long, 20, 2) < fragments.agg({"n": "sum"}).first()[0]
