@@ -111,7 +111,8 @@ def market_prices_of(
     rows = attach(rows, dim_date, "date", "full_date", ["date_key"], "inner")
     rows = attach(rows, dim_currency, "currency_code", "currency_code", ["currency_key"])
     rows = attach(rows, dim_source, "source_name", "source_name", ["source_key"])
-    latest = latest_by(rows, ["asset_key", "date_key", "source_key"], ["loaded_at", "observed_at", "price"])
+    # a ticker has one key and some quotes a day; named beside it, rows dealt by ticker to meet many assets stay there
+    latest = latest_by(rows, ["ticker", "asset_key", "date_key", "source_key"], ["loaded_at", "observed_at", "price"])
     return latest.select(
         surrogate_key("asset_key", "date_key", "source_key").alias("market_price_key"),
         "asset_key",

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from halala.operators import asof, lookup
 from halala.operators.asof import asof_join
 from halala.operators.lookup import settle
-from halala.plans import facts
+from halala.plans import dimensions, facts
 from halala.plans.refresh import changed_prices
+from halala.plans.staging import stg_equity_prices
 from halala.quality import ledger
 from halala.schemas import LEDGER_FILE_COLUMNS
 from halala.sources.warehouse import Warehouse, month_of
 from halala.streaming.load_once import _not_loaded
 from tests.fixtures import DAY0, book, ledger_row
+from workload import inputs
 
 HOLDINGS = "client_key string, date_key int, asset_key string, quantity decimal(18,4), value_sar double, fees decimal(18,4)"
 PRICES = "asset_key string, date_key int, price_sar double, loaded_at int, source_key string"
@@ -114,3 +117,65 @@ def test_a_line_meets_the_instruments_without_its_columns(spark):
     many = ledger.ledger_violations(lines, book(spark))
     first = optimized(many).split("Join", 2)[1]
     assert "_rules" in first
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """Folder with a few lines of two parts, one of them on two days."""
+    made = [(1, 1, 7, 3, "1996-01-02", 5.0, 10.0, "N", "O"), (1, 2, 7, 3, "1996-01-02", 1.0, 12.5, "N", "O"),
+            (2, 4, 7, 4, "1996-01-03", 2.0, 11.0, "A", "O"), (3, 4, 9, 4, "1996-01-03", 3.0, 8.0, "R", "F")]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, day string, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string"
+    rows = spark.createDataFrame(made, columns).selectExpr("* except (day)", "cast(day as date) as l_shipdate", "0.02D as l_tax", "0.05D as l_discount")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_dimensions_read_few_columns_of_the_ledger(spark, lines, rows, monkeypatch):
+    settled = []
+
+    def recorded(df):
+        settled.append(df.columns)
+        return settle(df)
+
+    monkeypatch.setattr(inputs, "settle", recorded)
+    galaxy = inputs.Galaxy(spark, lines)
+    assert rows(galaxy.dim_client) == rows(dimensions.dim_client(galaxy.ledger))
+    assert galaxy.dim_client.count() == 2
+    assert not any("transaction_id" in columns for columns in settled)
+    assert galaxy.ledger_names.count() == 4
+    assert galaxy.stg_ledger_transactions.columns == galaxy.ledger.columns
+
+
+def test_lists_of_days_are_begun_where_they_end(spark, lines, rows):
+    made = inputs.equity_prices_raw(spark, lines)
+    staged = stg_equity_prices(made).withColumn("date", F.col("date").cast("string"))
+    assert rows(staged, "ticker", "date", "low_price", "close_price", "volume") == [
+        ("P7", "1996-01-02", 10.0, 12.5, 6),
+        ("P7", "1996-01-03", 11.0, 11.0, 2),
+        ("P9", "1996-01-03", 8.0, 8.0, 3),
+    ]
+    plan = physical(made)
+    assert "Exchange" not in plan[plan.index("collect_list") : plan.index("partial_collect_list")]
+
+
+def test_prices_that_met_their_assets_by_ticker_stay_there(spark, rows, monkeypatch):
+    quotes = spark.sql("""
+        select ticker, cast(date as date) as date, price, source_name, loaded_at, observed_at, 'USD' as currency_code
+        from values ('a', '2026-01-05', 2D, 's', 1, 1), ('a', '2026-01-05', 3D, 's', 1, 2), ('b', '2026-01-05', 4D, 's', 1, 1),
+                    ('b', '2026-01-06', 5D, null, 1, 1), (null, '2026-01-05', 9D, 's', 1, 1)
+             as t(ticker, date, price, source_name, loaded_at, observed_at)""")
+    fx = spark.sql("select date'2026-01-01' as rate_date, 'USD' as currency_code, 3.75D as rate_to_sar")
+    assets = spark.sql("select md5(ticker) as asset_key, ticker from values ('a'), ('b') as t(ticker)")
+    dates = spark.sql("select d as full_date, 20260100 + day(d) as date_key from values (date'2026-01-05'), (date'2026-01-06') as t(d)")
+    currency = spark.sql("select 'USD' as currency_code, md5('USD') as currency_key")
+    source = spark.sql("select 's' as source_name, md5('s') as source_key")
+    monkeypatch.setattr(lookup, "checked_broadcast", lambda df: df if "asset_key" in df.columns else F.broadcast(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = facts.market_prices_of(quotes, fx, assets, dates, currency, source)
+        plan = physical(found)
+        assert rows(found, "date_key", "price", "price_sar") == [(20260105, 3.0, 11.25), (20260105, 4.0, 15.0), (20260106, 5.0, 18.75)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(asset_key" not in plan
