@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halala.llm.monotone import EliasFano
+from halala.llm.shared import over_texts
 from halala.llm.text import FIRST, SECOND, Texts, as_texts, slices, strings
 from halala.session import scratch_path
 
@@ -43,6 +44,7 @@ NO_ID = (1 << 63) - 1
 CODED = "struct<n int, low_bits int, low binary, high binary, samples binary, base bigint>"
 BLOCKS = f"shard int, block int, base bigint, first bigint, n_ids bigint, width int, ids binary, ends {CODED}, doc_ids {CODED}"
 READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+BEFORE = pa.schema([("shard", pa.int32()), ("ids_before", pa.int64()), ("docs_before", pa.int64())])
 
 
 class Encoder:
@@ -52,7 +54,7 @@ class Encoder:
     pieces before the library sees it: the ids of the parts, one after the other, are its ids.
     """
 
-    KEPT = 1 << 20  # pieces remembered between slices
+    KEPT, KEPT_IDS = 1 << 20, 1 << 22  # pieces remembered between slices, and their ids: long pieces have many
     AT_ONCE = 1 << 16  # bytes of new pieces that the library encodes at once
 
     def __init__(self, path: str):
@@ -184,7 +186,7 @@ class Encoder:
         hashes, example, back = np.unique(FIRST.bytes(data, cuts, ends), return_index=True, return_inverse=True)
         every = SECOND.bytes(data, cuts, ends)
         checks = every[example]
-        if len(self.hashes) > self.KEPT:
+        if len(self.hashes) > self.KEPT or len(self.flat) > self.KEPT_IDS:
             self._forget()
         place = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
         new = self.hashes[place] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
@@ -267,7 +269,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = 0, block
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id")
     placed = docs.select(key, F.xxhash64("text").alias("rank"), "text").repartitionByRange("id", "rank")
     ordered = placed.sortWithinPartitions("id", "rank", "text")
-    ordered.mapInArrow(_blocks(tokenizer, end, block_ids), BLOCKS).write.parquet(path)
+    over_texts(ordered, _blocks(tokenizer, end, block_ids), BLOCKS).write.parquet(path)
 
 
 def open_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -276,9 +278,10 @@ def open_tokens(spark: SparkSession, path: str) -> DataFrame:
     totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"), F.sum("ends.n").alias("docs")).orderBy("shard").collect()
     rows, ids, docs = [], 0, 0
     for row in totals:  # as many as partitions of the write
-        rows.append((row["shard"], ids, docs))
+        rows.append({"shard": row["shard"], "ids_before": ids, "docs_before": docs})
         ids, docs = ids + row["n"], docs + row["docs"]
-    before = spark.createDataFrame(rows, "shard int, ids_before bigint, docs_before bigint")
+    # From Arrow, a local table needs no Python workers of its own, which would stay beside those of the texts.
+    before = spark.createDataFrame(pa.Table.from_pylist(rows, BEFORE))
     joined = blocks.join(F.broadcast(before), "shard")
     return joined.withColumns({"base": F.col("base") + F.col("ids_before"), "first": F.col("first") + F.col("docs_before")}).drop("ids_before", "docs_before")
 

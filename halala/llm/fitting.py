@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,13 +49,14 @@ def of_each_class(rows: DataFrame, label: str, key: list[str], wanted: int, most
     """
     counts = rows.groupBy(label).agg(F.count("*").alias("n_of_class")).orderBy(F.desc("n_of_class"), label).limit(most)
     few = counts.toArrow()  # at most `most` names
-    names, n = few.column(label).to_pylist(), few.column("n_of_class").to_pylist()
+    names, n = few.column(label), few.column("n_of_class").to_pylist()
     each = min(wanted, most // max(1, len(names)))
     whole = 1 << 40
-    shares = [(name, int(min(1.0, each / count) * whole)) for name, count in zip(names, n, strict=True)]
-    if not shares:
+    if not len(names):
         return rows.limit(0)
-    chosen = rows.sparkSession.createDataFrame(shares, f"class_name {dict(rows.dtypes)[label]}, share bigint")
+    shares = pa.array([int(min(1.0, each / count) * whole) for count in n], pa.int64())
+    # From Arrow, a local table needs no Python workers of its own, which would stay beside those of the texts.
+    chosen = rows.sparkSession.createDataFrame(pa.table([names, shares], names=["class_name", "share"]))
     place = F.pmod(F.xxhash64(*key, F.lit("fit")), F.lit(whole))
     return rows.join(F.broadcast(chosen), F.col(label) == F.col("class_name")).where(place < F.col("share")).select(*rows.columns)
 

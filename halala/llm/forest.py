@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halala.llm.components import components
-from halala.llm.shared import written
+from halala.llm.shared import over_texts, written
 from halala.llm.text import FIRST, SECOND, WHITE, Texts, as_texts, mix, run_starts, signed, slices
 
 TREES, DEPTH, BASE = 20, 8, 4
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, least: int = 85) -> DataFrame:
     smallest (doc_id, rank), and its exact repetitions, and all rows without words.
     """
     ids = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
-    sets = written(docs.select(ids.alias("id"), F.xxhash64("text").alias("rank"), "text").mapInArrow(_signatures(k), SETS))
+    sets = written(over_texts(docs.select(ids.alias("id"), F.xxhash64("text").alias("rank"), "text"), _signatures(k), SETS))
     distinct = _distinct_sets(sets).withColumn("node", node_of())
     clusters = components(candidate_edges(distinct)).withColumnRenamed("component", "cluster")
 
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, least: int = 85) -> DataFrame:
     # Joined by sorting at every size: what is shuffled then grows in proportion to the texts.
     wanted = members.select("id").distinct().hint("merge")
     # A repeated id may have other texts: only the text whose set is meant is compared.
-    sized = texts.join(wanted, "id", "left_semi").mapInArrow(_sized(k), "id bigint, d1 bigint, d2 bigint, text string")
+    sized = over_texts(texts.join(wanted, "id", "left_semi"), _sized(k), "id bigint, d1 bigint, d2 bigint, text string")
     of_node = members.select("node", "id", "d1", "d2")
     picked = sized.join(of_node, ["id", "d1", "d2"]).groupBy("node").agg(F.min("text").alias("text"))
     pairs = placed.select("node", "cluster", "low", "high").join(picked, "node").withColumnRenamed("node", "id")

@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halala.llm.fitting import FIT_BYTES, Adam, of_each_class
-from halala.llm.shared import written
-from halala.llm.text import LOWER, WHITE, Texts, as_texts, mix, slices
+from halala.llm.shared import over_texts, written
+from halala.llm.text import LOWER, SMALL, WHITE, Texts, as_texts, mix, slices
 
 SLOTS = 1024
 FIT_EACH, FIT_ROWS, FIT_STEPS = 1000, 8000, 120  # documents of each domain, about, and of all
@@ -96,7 +96,7 @@ def fitted(docs: DataFrame, labelled: DataFrame, each: int = FIT_EACH, rows: int
 def _members(sent):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for piece in slices(batches):
+        for piece in slices(batches, limit=SMALL):
             texts = as_texts(piece.column("text"))
             p = model.probabilities(trigrams(texts))
             ends = np.arange(len(texts) + 1, dtype=np.int32) * p.shape[1]
@@ -161,7 +161,7 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low:
         words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
         blank = [F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("probability"), F.lit(1.0).alias("rate")]
         return keyed.select("doc_id", "rank", words.cast("bigint").alias("n_words"), *blank)
-    members = written(keyed.mapInArrow(_members(spark.sparkContext.broadcast(model)), MEMBERS))
+    members = written(over_texts(keyed, _members(spark.sparkContext.broadcast(model)), MEMBERS))
 
     def totals(steps: np.ndarray) -> np.ndarray:
         parts = members.select("n_words", "p").mapInArrow(_totals(steps, low), "domain bigint, words double")

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from halala.llm.fitting import FIT_BYTES, Adam, fold, sample, sigmoid
-from halala.llm.text import FIRST, WHITE, Texts, as_texts, ranges, run_starts, slices
+from halala.llm.shared import over_texts
+from halala.llm.text import FIRST, SMALL, WHITE, Texts, as_texts, ranges, run_starts, slices
 
 PASSAGE = 64  # words
 FIT_ROWS = 3000
@@ -163,7 +164,7 @@ class Attention:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches):
+    for piece in slices(batches, limit=SMALL):
         x, first = encode(as_texts(piece.column("text")))
         raw = [x[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
         yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), piece.column("label")], names=["bag", "label"])
@@ -171,7 +172,7 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS, size: int = FIT_BYTES) -> Attention:
     """A model of labels(doc_id, label) over docs(doc_id, text); passages are encoded by the tasks."""
-    got = sample(docs, labels, label, rows, size).mapInArrow(_encoded, "bag binary, label int").toArrow()
+    got = over_texts(sample(docs, labels, label, rows, size), _encoded, "bag binary, label int").toArrow()
     known = got.column("label").to_numpy().astype(np.float64)
     sizes = pc.binary_length(got.column("bag")).to_numpy().astype(np.int64) // (4 * FEATURES)
     raw = bytearray()
@@ -184,7 +185,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 def _scores(sent):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for piece in slices(batches):
+        for piece in slices(batches, limit=SMALL):
             score = model.scores(*encode(as_texts(piece.column("text"))))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
@@ -194,7 +195,7 @@ def _scores(sent):
 def scored(docs: DataFrame, model: Attention) -> DataFrame:
     """(doc_id, score) of every row of docs(doc_id, text, …); higher is better."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_scores(sent), "doc_id bigint, score double")
+    return over_texts(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), _scores(sent), "doc_id bigint, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, parts: int = 5) -> DataFrame:
@@ -207,7 +208,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, parts: i
 def _filter(sent, threshold: float):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for piece in slices(batches):
+        for piece in slices(batches, limit=SMALL):
             yield piece.filter(pa.array(model.scores(*encode(as_texts(piece.column("text")))) >= threshold))
 
     return of_batches
@@ -216,4 +217,4 @@ def _filter(sent, threshold: float):
 def kept(docs: DataFrame, model: Attention, threshold: float) -> DataFrame:
     """The rows of docs whose score reaches the threshold; nothing is shuffled."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_filter(sent, threshold), docs.schema)
+    return over_texts(docs, _filter(sent, threshold), docs.schema)

@@ -1,7 +1,7 @@
 """Whole texts as byte arrays inside tasks: slices of Arrow batches, words, and hashes of words and word runs.
 
-Every function works on all rows of a slice at once; a slice holds at most `SLICE` bytes of text,
-or one row that is longer.
+Every function works on all rows of a slice at once; a slice holds at most `SLICE` bytes of text, or
+another limit, or one row that is longer.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE, SMALL = 1 << 20, 1 << 18  # the small one where each byte or row becomes many numbers
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halala.llm.shared import written
+from halala.llm.shared import over_texts, written
 from halala.llm.text import FIRST, Texts, Words, as_texts, list_sizes, lists, mix, ranges, run_starts, slices
 
 SPAN = 10  # words of a window
@@ -223,7 +223,7 @@ def _judged(sent):
 def _blocks(docs: DataFrame, benchmark: DataFrame, span: int, block: int) -> tuple[DataFrame, list]:
     """Documents to search, and the tables of each block of windows as broadcasts."""
     spark = docs.sparkSession
-    windows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").mapInArrow(_item_windows(span), WINDOWS)
+    windows = over_texts(benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text"), _item_windows(span), WINDOWS)
     windows = written(windows.distinct())
     blocks = max(1, -(-windows.count() // block))
     place = F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks))
@@ -233,7 +233,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, span: int, block: int) -> tup
 
 
 def _hits(read: DataFrame, sent: list) -> DataFrame:
-    found = [read.mapInArrow(_search(x), HITS) for x in sent]
+    found = [over_texts(read, _search(x), HITS) for x in sent]
     if len(found) == 1:
         return found[0]
     every = reduce(DataFrame.union, found).groupBy("doc_id", "rank", "n_words")
@@ -266,7 +266,7 @@ def _clean(sent):
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block: int = BLOCK) -> DataFrame:
     """The rows of docs without any window; each row is judged where it is read, nothing is shuffled."""
     for sent in _blocks(docs, benchmark, span, block)[1]:
-        docs = docs.mapInArrow(_clean(sent), docs.schema)
+        docs = over_texts(docs, _clean(sent), docs.schema)
     return docs
 
 
@@ -274,5 +274,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, block
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row of docs(doc_id, text, …)."""
     read, sent = _blocks(docs, benchmark, span, block)
     if len(sent) == 1:
-        return read.mapInArrow(_judged(sent[0]), JUDGED)
+        return over_texts(read, _judged(sent[0]), JUDGED)
     return _hits(read, sent).drop("rank").mapInArrow(_judge, JUDGED)

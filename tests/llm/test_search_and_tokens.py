@@ -13,7 +13,9 @@ import pyarrow as pa
 import pytest
 
 from halala.llm import eliasfano, wumanber
+from halala.llm.fitting import of_each_class
 from halala.llm.queries import tokenizer_file
+from halala.llm.shared import BATCH_SETTING, over_texts
 from halala.session import scratch_path
 from tests.llm.rows import lower, odd
 
@@ -167,3 +169,47 @@ def test_token_files_of_odd_rows(spark):
     wanted = {(i, n, c) for i, _, n, c in expected([(r["doc_id"], r["text"]) for r in df.collect()])}
     assert {(r[0], r[2], r[3]) for r in got} == wanted
     assert eliasfano.encoded(df.limit(0), tokenizer_file()).collect() == []
+
+
+def test_ids_of_long_pieces_are_not_kept_without_end(monkeypatch):
+    monkeypatch.setattr(eliasfano.Encoder, "KEPT_IDS", 2000, raising=False)
+    encoder = eliasfano.Encoder(tokenizer_file())
+    draw = random.Random(3)
+    for _ in range(12):
+        text = "".join(draw.choice("漢字語文一二三") for _ in range(500))
+        own, _ = encoder.encode(pa.array([text]))
+        assert own.tolist() == library().encode(text, add_special_tokens=False).ids
+        assert len(encoder.flat) <= 2000 + len(own)
+
+
+def test_texts_come_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('x', 3000) as text")
+    before = spark.conf.get(BATCH_SETTING, None)
+    try:
+        spark.conf.unset(BATCH_SETTING)
+        got = over_texts(texts, sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in got) == 4000
+        assert max(r["size"] for r in got) < 5_000_000
+        spark.conf.set(BATCH_SETTING, "64m")
+        assert len(over_texts(texts, sizes, "n long, size long").collect()) == 1
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+        if before is not None:
+            spark.conf.set(BATCH_SETTING, before)
+
+
+def test_small_tables_of_the_driver_need_no_python_workers(spark, capsys):
+    """Rows of Python objects are read by workers of a second kind, which stay beside those of the texts."""
+    path = scratch_path(spark)
+    eliasfano.write_tokens(odd(spark), path, tokenizer_file())
+    eliasfano.open_tokens(spark, path).explain()
+    rows = spark.range(40).selectExpr("id", "if(id % 4 = 0, 'a', 'b') as name")
+    few = of_each_class(rows, "name", ["id"], 20, 40)
+    few.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    assert sum(r["name"] == "a" for r in few.collect()) == 10
+    assert of_each_class(rows.limit(0), "name", ["id"], 20, 40).collect() == []
