@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from halala.operators import asof, lookup
 from halala.operators.asof import asof_join
-from halala.operators.lookup import settle
+from halala.functions.keys import packed, unpacked
+from halala.operators.lookup import remember_size, settle
 from halala.plans import dimensions, facts
-from halala.plans.refresh import changed_prices
+from halala.plans.refresh import changed_prices, changed_quotes
 from halala.plans.staging import stg_equity_prices
 from halala.quality import ledger
 from halala.schemas import LEDGER_FILE_COLUMNS
@@ -179,3 +180,57 @@ def test_prices_that_met_their_assets_by_ticker_stay_there(spark, rows, monkeypa
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(asset_key" not in plan
+
+
+def test_keys_are_packed_and_unpacked(spark):
+    digest = "0123456789abcdef" * 2
+    keys = [digest, digest.upper(), digest[:31] + "\n", digest + "\n", "a" * 16, "a" * 15 + "\0", "\0", "", "x", None, "é" * 8, "a" * 16 + "\0" * 16, "z" * 32]
+    made = spark.createDataFrame([(k,) for k in keys], "k string").select("k", packed("k").alias("p")).select("k", "p", unpacked("p").alias("back")).collect()
+    assert [r["back"] for r in made] == keys
+    assert len({bytes(r["p"]) for r in made if r["p"] is not None}) == len(keys) - 1
+    assert len(made[0]["p"]) == 16
+
+
+def test_portfolios_are_valued_with_packed_keys(spark, trades, rows, monkeypatch):
+    holdings, prices = trades
+    digests = holdings.withColumn("client_key", F.md5("client_key")).withColumn("asset_key", F.md5("asset_key"))
+    found = facts.portfolio_values(digests, prices.withColumn("asset_key", F.md5("asset_key")))
+    assert "client_key#" in physical(found) and found.schema["client_key"].dataType.typeName() == "string"
+    plain = rows(facts.portfolio_values(holdings, prices).withColumn("client_key", F.md5("client_key")))
+    assert rows(found) == plain
+    assert dict(facts.packed_trades(digests).dtypes)["asset_key"] == "binary"
+
+
+def test_ties_of_day_keys_are_told_in_the_merge(spark, rows, monkeypatch):
+    monkeypatch.setattr(asof, "_may_be_few", lambda *_: False)
+    left = spark.createDataFrame([("a", 5), ("a", 3), ("b", 9)], "k string, t int")
+    right = spark.createDataFrame([("a", 3, 1, "x", 1.0), ("a", 3, 2, None, 2.0), ("a", 3, 2, "r", 3.0), ("a", 3, None, "z", 4.0), ("b", 9, 1, "s", None)], "k string, t int, l int, s string, v double")
+    found = [asof_join(left, right, ["k"], "t", "t", {"v": "v"}, tie=["l", "s"], few_ties=few) for few in (False, True)]
+    assert rows(found[0]) == rows(found[1]) == [("a", 3, 3.0), ("a", 5, 3.0), ("b", 9, None)]
+    assert physical(found[1]).count("Window") < physical(found[0]).count("Window")
+
+
+def test_few_tasks_write_the_files_of_months(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    tasks = spark.sparkContext.defaultParallelism + 3
+    first = settle(spark.range(1, 29).selectExpr("cast(20260100 + id as int) as date_key", "id as v").repartition(tasks, "date_key"))
+    stored = warehouse.rebuild_by_month("analytics", "f", remember_size(first.repartition(tasks, "v"), 28, 1000), month_of("date_key"))
+    assert rows(stored) == rows(first)
+    assert len(list((tmp_path / "analytics/f").rglob("*.parquet"))) <= tasks - 3
+
+
+def test_changed_quotes_are_those_of_one_state_only(spark, rows):
+    columns = "ticker string, date int, price double, source string"
+    before = spark.createDataFrame([("a", 1, 1.0, "s"), ("a", 2, 2.0, "s"), ("b", 1, None, "s"), ("c", 1, 5.0, "s"), ("d", 1, 1.0, "s"), (None, 1, 1.0, "s")], columns)
+    after = spark.createDataFrame([("a", 1, 1.0, "s"), ("a", 2, 2.5, "s"), ("b", 1, None, "s"), ("d", 1, 1.0, "s"), ("d", 1, 1.0, "s"), ("e", 3, 1.0, "s")], columns)
+    assert rows(changed_quotes(before, after)) == [("a", 2), ("c", 1), ("d", 1), ("e", 3)]
+    assert physical(changed_quotes(before, after)).count("Exchange hashpartitioning") == 1
+
+
+def test_prices_and_dimensions_read_few_columns_of_the_equities(spark, lines, rows):
+    galaxy = inputs.Galaxy(spark, lines)
+    assert galaxy.equity_closes.columns == ["ticker", "date", "close_price", "loaded_at"]
+    whole = inputs.Galaxy(spark, lines)
+    whole.keep_whole()
+    assert whole.equity_closes is whole.stg_equity_prices and whole.ledger_names is whole.stg_ledger_transactions
+    assert rows(galaxy.dim_client) == rows(whole.dim_client)
