@@ -234,3 +234,16 @@ def test_prices_and_dimensions_read_few_columns_of_the_equities(spark, lines, ro
     whole.keep_whole()
     assert whole.equity_closes is whole.stg_equity_prices and whole.ledger_names is whole.stg_ledger_transactions
     assert rows(galaxy.dim_client) == rows(whole.dim_client)
+
+
+def test_many_answers_stay_off_the_driver(spark, rows, monkeypatch):
+    left = spark.createDataFrame([("a", 5), ("a", 3), ("b", 9)], "k string, t int")
+    right = spark.createDataFrame([("a", 3, 1.0), ("b", 9, None)], "k string, t int, v double")
+    monkeypatch.setattr(asof, "ANSWER_ROWS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = asof_join(left, right, ["k"], "t", "t", {"v": "v"})
+        assert rows(found) == [("a", 3, 1.0), ("a", 5, 1.0), ("b", 9, None)]
+        assert "SortMergeJoin" in physical(found)  # a million answers were broadcast
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
